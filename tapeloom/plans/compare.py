@@ -75,7 +75,7 @@ def main(argv: list[str]) -> int:
     spark = build_session(
         "compare", "local[8]",
         **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g",
-           "spark.ui.enabled": "false"},
+           "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
     )
     con = duck(sf_dir)
     failed = 0
