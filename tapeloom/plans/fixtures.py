@@ -305,4 +305,4 @@ def with_tables(sql: str, extra: dict[str, str] | None = None) -> str:
     need(sql)
     if not ordered:
         return sql
-    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({known[n]})" for n in ordered) + "\n" + sql
+    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({known[n]})" for n in ordered) + f"\nSELECT * FROM ({sql})"
