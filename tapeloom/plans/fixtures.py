@@ -18,6 +18,9 @@ from tapeloom.session import tune
 from tapeloom.sources.staging import staged_once
 
 BENCHMARK = "SPY"
+# Prices are rounded, which makes both engines agree on them, then scaled by this
+# factor, which leaves no decimal ties in their averages.
+UNTIE = 1.0000371093
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -58,10 +61,10 @@ def _build_bars(spark, sf):
     return path.select("ticker", "date", "tax", "q", close.alias("close"), open_.alias("open")).select(
         "ticker",
         "date",
-        "open",
-        F.round(F.greatest("open", "close") * (1 + 0.1 * F.col("tax")), 6).alias("high"),
-        F.round(F.least("open", "close") * (1 - 0.1 * F.col("tax")), 6).alias("low"),
-        "close",
+        (F.col("open") * UNTIE).alias("open"),
+        (F.round(F.greatest("open", "close") * (1 + 0.1 * F.col("tax")), 6) * UNTIE).alias("high"),
+        (F.round(F.least("open", "close") * (1 - 0.1 * F.col("tax")), 6) * UNTIE).alias("low"),
+        (F.col("close") * UNTIE).alias("close"),
         (F.col("q") * 1000).alias("volume"),
     )
 
@@ -211,11 +214,11 @@ def ticks(spark, sf) -> DataFrame:
 
 
 SQL = {
-    "bars": """
-  SELECT ticker, date, open,
-         round(greatest(open, close) * (1 + 0.1::DOUBLE * tax), 6) AS high,
-         round(least(open, close) * (1 - 0.1::DOUBLE * tax), 6) AS low,
-         close, CAST(q * 1000 AS BIGINT) AS volume
+    "bars": f"""
+  SELECT ticker, date, open * {UNTIE}::DOUBLE AS open,
+         round(greatest(open, close) * (1 + 0.1::DOUBLE * tax), 6) * {UNTIE}::DOUBLE AS high,
+         round(least(open, close) * (1 - 0.1::DOUBLE * tax), 6) * {UNTIE}::DOUBLE AS low,
+         close * {UNTIE}::DOUBLE AS close, CAST(q * 1000 AS BIGINT) AS volume
   FROM (SELECT ticker, date, tax, q, round(100 * exp(level), 6) AS close,
                coalesce(round(100 * exp(lag(level) OVER (PARTITION BY ticker ORDER BY date)), 6), 100.0::DOUBLE) AS open
         FROM (SELECT *, sum(step) OVER (PARTITION BY ticker ORDER BY date ROWS UNBOUNDED PRECEDING) AS level
