@@ -77,6 +77,7 @@ def main(argv: list[str]) -> int:
         **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g",
            "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
     )
+    spark.sparkContext.setLogLevel("OFF")
     con = duck(sf_dir)
     failed = 0
     for name in names:
@@ -84,7 +85,7 @@ def main(argv: list[str]) -> int:
         try:
             diff, n = differences(spark, con, name, sf_dir)
         except Exception as e:  # report and go on to the next query
-            diff, n = [f"{type(e).__name__}: {str(e)[:1500]}"], -1
+            diff, n = [f"{type(e).__name__}: {str(e)[:400]}"], -1
         mark = "same" if not diff else "DIFF"
         if REGISTRY[name].sql is None and not diff:
             mark = "rows"

@@ -123,7 +123,7 @@ def _build_econ(spark, sf):
         .withColumn("x", F.col("c").cast("double") / F.col("n") / 100 / 499979)
     )
     pick = lambda i: F.coalesce(*[F.when(F.col("p") == p, F.lit(v[i])) for p, v in INDICATORS.items()])
-    value = F.round(pick(1) + pick(2) * F.col("x"), 6)
+    value = F.round(pick(1) + pick(2) * F.col("x"), 6) * UNTIE
     return means.select("date", pick(0).alias("indicator_id"), value.alias("value"))
 
 
@@ -248,13 +248,13 @@ SQL = {
   UNION ALL
   SELECT ticker, date, open, high, low, round(close * 1.01::DOUBLE, 6), volume,
          CAST(date AS TIMESTAMP) + INTERVAL 1 DAY FROM faulty WHERE k % 50 = 0""",
-    "econ": """
+    "econ": f"""
   SELECT date,
          CASE p WHEN '1-URGENT' THEN 'VIXCLS' WHEN '2-HIGH' THEN 'UNRATE' WHEN '3-MEDIUM' THEN 'DFF'
                 WHEN '4-NOT SPECIFIED' THEN 'DGS10' WHEN '5-LOW' THEN 'CPIAUCSL' END AS indicator_id,
          round(CASE p WHEN '1-URGENT' THEN 10 WHEN '2-HIGH' THEN 3 WHEN '5-LOW' THEN 250 ELSE 0 END::DOUBLE
              + CASE p WHEN '1-URGENT' THEN 30 WHEN '2-HIGH' THEN 5 WHEN '3-MEDIUM' THEN 5.5
-                      WHEN '4-NOT SPECIFIED' THEN 6 WHEN '5-LOW' THEN 50 END::DOUBLE * x, 6) AS value
+                      WHEN '4-NOT SPECIFIED' THEN 6 WHEN '5-LOW' THEN 50 END::DOUBLE * x, 6) * {UNTIE}::DOUBLE AS value
   FROM (SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS p,
                sum(CAST(round(o_totalprice * 100) AS BIGINT))::DOUBLE / count(*) / 100 / 499979 AS x
         FROM orders GROUP BY 1, 2)""",
