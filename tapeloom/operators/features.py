@@ -1,7 +1,7 @@
 """Rolling features per ticker, in date order.
 
-Every feature looks a bounded number of rows back (the exponential averages
-forget: after ``EMA_BACK`` rows the rest weighs less than the rounding of a
+Every feature looks a bounded number of rows back (an exponential average
+forgets: after some hundred rows the rest weighs less than the rounding of a
 double), so all are computed in one pass over row blocks, whatever the length
 of a series. A rolling value is null until its window is full.
 """
@@ -11,18 +11,14 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
 from tapeloom.operators import unify
-from tapeloom.operators.timeblocks import BLOCK, ROW, frame, full_frame, rolling
+from tapeloom.operators.timeblocks import ROW, frame, full_frame, rolling
 
 YEAR_ROOT = math.sqrt(252)
-EMA_BACK = 640
 SMA_PERIODS = (5, 10, 20, 50)
 EMA_PERIODS = (12, 26)
 ROC_PERIODS = (5, 10, 20)
@@ -144,40 +140,46 @@ def target_step(horizon: int = 1, keep_last: bool = True) -> Step:
     return step
 
 
-def _ema_block(periods: Sequence[int], macd: tuple[int, int, int] | None):
-    """Exponential averages of one block of rows, oldest first."""
+def _ema(df: DataFrame, w: WindowSpec, of: str, name: str, span: int) -> DataFrame:
+    """Exponential average of column ``of``, seeded with the first value of the series.
 
-    def average(x: pd.Series, n: int) -> pd.Series:
-        return x.ewm(span=n, adjust=False).mean()
+    The weighted sum over 2^(k+1) rows is the one over 2^k rows plus the same sum
+    2^k rows earlier, faded; so a handful of lags reach the length at which the
+    remaining weight is below the rounding of a double.
+    """
+    alpha, fade = 2 / (span + 1), 1 - 2 / (span + 1)
+    df = df.withColumn(name, F.when(F.col(ROW) == 1, F.col(of)).otherwise(alpha * F.col(of)))
+    for k in range(_ema_levels(span)):
+        earlier = F.coalesce(F.lag(name, 1 << k).over(w), F.lit(0.0))
+        df = df.withColumn(name, F.col(name) + fade ** (1 << k) * earlier)
+    return df
 
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values(ROW)
-        close = block["close"]
-        for n in periods:
-            block[f"ema_{n}"] = average(close, n)
-        if macd:
-            fast, slow, signal = macd
-            line = average(close, fast) - average(close, slow)
-            block["macd"] = line
-            block["macd_signal"] = average(line, signal)
-            block["macd_hist"] = line - block["macd_signal"]
-        return block.replace({np.nan: None}) if close.isna().any() else block
 
-    return run
+def _ema_levels(span: int) -> int:
+    fade = 1 - 2 / (span + 1)
+    return math.ceil(math.log2(math.log(1e-17) / math.log(fade)))
+
 
+def ema_rows(*spans: int) -> int:
+    """Rows back that an average (of an average ...) of these spans needs."""
+    return sum(1 << _ema_levels(n) for n in spans)
 
-def ema_step(periods: Sequence[int] = EMA_PERIODS, macd: tuple[int, int, int] | None = (12, 26, 9),
-             by: Sequence[str] = ("ticker",)) -> Step:
-    """EMA and MACD. A recursion has no built-in form; each Python call sees one
-    block of bounded size and only the columns it needs."""
+
+def ema_step(periods: Sequence[int] = EMA_PERIODS, macd: tuple[int, int, int] | None = (12, 26, 9)) -> Step:
+    """EMA columns, and MACD line, signal and histogram."""
 
     def step(df, w):
-        names = [f"ema_{n}" for n in periods] + (["macd", "macd_signal", "macd_hist"] if macd else [])
-        keys = [*by, BLOCK, ROW]
-        slim = df.select(*keys, "close")
-        schema = T.StructType(list(slim.schema.fields) + [T.StructField(n, T.DoubleType()) for n in names])
-        done = slim.groupBy(*by, BLOCK).applyInPandas(_ema_block(periods, macd), schema).drop("close")
-        return df.join(done, keys, "left")
+        kept = {n: f"ema_{n}" for n in periods}
+        extra = {n: f"__ema_{n}" for n in (macd or ())[:2] if n not in kept}
+        for n, name in {**kept, **extra}.items():
+            df = _ema(df, w, "close", name, n)
+        if macd:
+            fast, slow, signal = macd
+            column = {**kept, **extra}
+            df = df.withColumn("macd", F.col(column[fast]) - F.col(column[slow]))
+            df = _ema(df, w, "macd", "macd_signal", signal)
+            df = df.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
+        return df.drop(*extra.values())
 
     return step
 
@@ -196,11 +198,11 @@ def sma(df, periods=SMA_PERIODS, **kw):
 
 
 def ema(df, periods=EMA_PERIODS, **kw):
-    return _run(df, [ema_step(periods, None)], EMA_BACK, **kw)
+    return _run(df, [ema_step(periods, None)], ema_rows(max(periods)), **kw)
 
 
 def macd(df, fast=12, slow=26, signal=9, **kw):
-    return _run(df, [ema_step((), (fast, slow, signal))], EMA_BACK, **kw)
+    return _run(df, [ema_step((), (fast, slow, signal))], ema_rows(max(fast, slow), signal), **kw)
 
 
 def rsi(df, period=14, **kw):
@@ -235,27 +237,30 @@ def target(df, horizon=1, keep_last=True, **kw):
     return _run(df, [target_step(horizon, keep_last)], 0, horizon, **kw)
 
 
-def technical_features(df: DataFrame, horizon: int | None = 1, **kw) -> DataFrame:
-    """All price and volume features, in one pass over the blocks."""
+def technical_features(df: DataFrame, horizon: int | None = 1, more: Sequence[Step] = (), **kw) -> DataFrame:
+    """All price and volume features (and ``more`` steps), in one pass over the blocks."""
     steps = [sma_step(), rsi_step(), roc_step(), bollinger_step()]
     if {"high", "low"} <= set(df.columns):
         steps.append(atr_step())
     steps.append(volatility_step())
     if "volume" in df.columns:
         steps.append(volume_step())
-    steps.append(returns_step())
+    steps += [returns_step(), ema_step(), *more]
     if horizon:
         steps.append(target_step(horizon))
-    steps.append(ema_step())
-    return _run(df, steps, EMA_BACK, horizon or 0, **kw)
+    return _run(df, steps, ema_rows(26, 9), horizon or 0, **kw)
 
 
 def engineer_features(df: DataFrame, econ: DataFrame | None = None, news: DataFrame | None = None,
                       horizon: int | None = 1, **kw) -> DataFrame:
-    out = technical_features(df, horizon, **kw)
-    if econ is not None:
-        out = unify.economic_features(out, econ)
-    return unify.news_features(out, news) if news is not None else out
+    """Price, indicator and news features. News is joined first, so that its
+    rolling mean shares the one pass; indicators are a day table."""
+    more = []
+    if news is not None:
+        df = unify.attach_news(df, news)
+        more.append(unify.sentiment_mean)
+    out = technical_features(df, horizon, more, **kw)
+    return unify.economic_features(out, econ, dates=df) if econ is not None else out
 
 
 # The names of the model inputs.

@@ -59,9 +59,9 @@ def return_stability(mean: Column, std: Column, rows: Column) -> Column:
 def low_beta_candidates(df: DataFrame, bench: DataFrame, min_days: int = 252) -> DataFrame:
     r = risk.fraction()
     stats = df.groupBy("ticker").agg(
-        F.min_by("sector", "date").alias("sector"), F.count(F.lit(1)).alias("num_days"),
+        F.count(F.lit(1)).alias("num_days"),
         F.avg(r).alias("m"), F.stddev_samp(r).alias("s"), F.stddev_pop(r).alias("p"))
-    stats = stats.where(F.col("num_days") >= min_days)
+    stats = stats.where(F.col("num_days") >= min_days).join(risk.first_sector(df), "ticker", "left")
     beta = risk.beta_static(df, bench).select("ticker", F.col("beta_static").alias("beta"))
     return stats.join(beta.dropna(), "ticker").select(
         "ticker", "sector", "beta",

@@ -32,17 +32,26 @@ def fraction() -> Column:
 def risk_base(df: DataFrame) -> DataFrame:
     """First and last day, rows, sector, mean and sample deviation of the return, first and last price."""
     r = fraction()
-    return df.groupBy("ticker").agg(
+    stats = df.groupBy("ticker").agg(
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
         F.count("date").alias("num_records"),
-        F.min_by("sector", F.when(F.col("sector").isNotNull(), F.col("date"))).alias("sector"),
         F.avg(r).alias("mean_return"),
         F.stddev_samp(r).alias("std_return"),
         F.min_by("close", F.when(F.col("close").isNotNull(), F.col("date"))).alias("first_price"),
         F.max_by("close", F.when(F.col("close").isNotNull(), F.col("date"))).alias("last_price"),
         F.stddev_samp(F.when(r < 0, r)).alias("std_down"),
     )
+    return stats.join(first_sector(df), "ticker", "left")
+
+
+def first_sector(df: DataFrame) -> DataFrame:
+    """(ticker, sector): the first one seen. Text in an aggregate buffer would make
+    the big aggregate sort its input, so names are grouped on, and only the first
+    day of each is compared."""
+    spans = df.where(F.col("sector").isNotNull()).groupBy("ticker", "sector").agg(
+        F.min("date").alias("since"))
+    return spans.groupBy("ticker").agg(F.min_by("sector", "since").alias("sector"))
 
 
 def sharpe(mean: Column, std: Column, rows: Column, rf: float = DAILY_RF) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.operators import metadata, timeblocks
-from tapeloom.operators.risk import YEAR_ROOT, fraction
+from tapeloom.operators.risk import YEAR_ROOT, first_sector, fraction
 
 SECTOR_RF = 0.02
 
@@ -63,14 +63,13 @@ def ticker_metrics(df: DataFrame, top_n: int = 100, rf: float = SECTOR_RF) -> Da
     top = keep_densest(df, top_n)
     r = fraction()
     stats = top.groupBy("ticker").agg(
-        F.min_by("sector", "date").alias("sector"),
         F.count(F.lit(1)).alias("num_records"),
         F.min("date").alias("first_date"), F.max("date").alias("last_date"),
         F.min_by("close", "date").alias("first_price"), F.max_by("close", "date").alias("last_price"),
         F.avg(r).alias("m"), F.stddev_samp(r).alias("s"), F.avg("volume").alias("avg_volume"))
     falls = timeblocks.drawdown_by(top, ["ticker"], "date", "close").select("ticker", "max_drawdown")
     change = F.when(F.col("first_price") > 0, (F.col("last_price") / F.col("first_price") - 1) * 100)
-    return stats.join(falls, "ticker", "left").select(
+    return stats.join(first_sector(top), "ticker", "left").join(falls, "ticker", "left").select(
         "ticker", "sector", "num_records", "first_date", "last_date", "first_price", "last_price",
         F.coalesce(change, F.lit(0.0)).alias("price_change_pct"),
         (F.col("m") * 100).alias("avg_daily_return"),

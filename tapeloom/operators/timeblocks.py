@@ -26,7 +26,12 @@ from pyspark.sql.window import WindowSpec
 SLICE = "__slice"
 BLOCK = "__block"
 ROW = "__row"
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 3072  # with the edges of the widest feature still within one window buffer
+
+
+def _position(order: Sequence[str]) -> Column:
+    """The order as one value. A struct would force sort-based aggregation."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
 
 
 def _so_far(w: WindowSpec) -> WindowSpec:
@@ -94,7 +99,7 @@ def row_numbers(df, by, order, name: str = ROW, slice_by=None) -> DataFrame:
 
 def previous(df, by, order, cols: Mapping[str, Column], slice_by=None) -> DataFrame:
     """The value of the row before, null on the first row of a series."""
-    position = F.struct(*[F.col(c) for c in order])
+    position = _position(order)
     return with_carry(
         df, by, order, slice_by=slice_by,
         local=lambda w: {
@@ -112,7 +117,7 @@ def previous(df, by, order, cols: Mapping[str, Column], slice_by=None) -> DataFr
 
 def last_known(df, by, order, cols: Mapping[str, Column], slice_by=None) -> DataFrame:
     """Forward fill: the newest non-null value at or before each row."""
-    position = F.struct(*[F.col(c) for c in order])
+    position = _position(order)
     return with_carry(
         df, by, order, slice_by=slice_by,
         local=lambda w: {f"__l_{n}": F.last(c, True).over(_so_far(w)) for n, c in cols.items()},

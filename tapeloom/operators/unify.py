@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from tapeloom.functions import labels
 from tapeloom.operators import clean, timeblocks, universe as uni
@@ -101,10 +102,11 @@ def _first_of(df: DataFrame, names: Sequence[str]) -> str | None:
     return next((n for n in names if n in df.columns), None)
 
 
-def economic_features(df: DataFrame, econ: DataFrame) -> DataFrame:
+def economic_features(df: DataFrame, econ: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     """VIX, its bucket (0, 1, 2) and 5-day change, EFFR and its 20-day change.
 
     Changes count rows of the trading-date series, resolved before the join.
+    ``dates`` is a cheaper table with the same dates as ``df``, if there is one.
     """
     picked = {"VIX": _first_of(econ, ("vix", "VIX", "VIXCLS")),
               "EFFR": _first_of(econ, ("fed_funds_rate", "EFFR", "DFF"))}
@@ -112,7 +114,7 @@ def economic_features(df: DataFrame, econ: DataFrame) -> DataFrame:
     if not cols:
         return df
     one = clean.deduplicate(econ.select("date", *[F.col(v).alias(k) for k, v in cols.items()]), ["date"])
-    days = asof_days(df, one, list(cols))
+    days = asof_days(df if dates is None else dates, one, list(cols))
     by_day = Window.orderBy("date")
     if "VIX" in cols:
         level = labels.buckets(F.col("VIX"), (0, 15, 25, 100), (0.0, 1.0, 2.0))
@@ -123,16 +125,22 @@ def economic_features(df: DataFrame, econ: DataFrame) -> DataFrame:
     return df.join(F.broadcast(days), "date", "left")
 
 
-def news_features(df: DataFrame, news: DataFrame) -> DataFrame:
-    """Sentiment and count with 0 for no news, log count, 5-row mean of sentiment."""
-    joined = df.join(
+def attach_news(df: DataFrame, news: DataFrame) -> DataFrame:
+    """Sentiment and count of each row's ticker and day, 0 for no news, and the log count."""
+    return df.join(
         news.select("date", "ticker", F.col("avg_sentiment").alias("news_sentiment"), "news_count"),
         ["date", "ticker"], "left",
     ).fillna(0, subset=["news_sentiment", "news_count"]).withColumn(
         "news_attention", F.log1p("news_count"))
-    mean = lambda d, w: d.withColumn(
-        "sentiment_ma5", F.avg("news_sentiment").over(timeblocks.frame(w, 5)))
-    return timeblocks.rolling(joined, ["ticker"], ["date"], mean, back=4)
+
+
+def sentiment_mean(df: DataFrame, w: WindowSpec) -> DataFrame:
+    return df.withColumn("sentiment_ma5", F.avg("news_sentiment").over(timeblocks.frame(w, 5)))
+
+
+def news_features(df: DataFrame, news: DataFrame) -> DataFrame:
+    """:func:`attach_news` and the 5-row mean of sentiment."""
+    return timeblocks.rolling(attach_news(df, news), ["ticker"], ["date"], sentiment_mean, back=4)
 
 
 # Indicator columns of the daily market table.
@@ -155,5 +163,8 @@ def market_with_econ(market: DataFrame, econ: DataFrame) -> DataFrame:
 
 def ticker_sector(df: DataFrame) -> DataFrame:
     """(ticker, sector): the first sector seen, missing ones ``Unknown``."""
-    first = F.min_by("sector", F.when(F.col("sector").isNotNull(), F.col("date")))
-    return df.groupBy("ticker").agg(F.coalesce(first, F.lit("Unknown")).alias("sector"))
+    spans = df.groupBy("ticker", F.coalesce("sector", F.lit("Unknown")).alias("sector")).agg(
+        F.min("date").alias("since"), F.count("sector").alias("n"))
+    since = F.when(F.col("n") > 0, F.col("since"))
+    return spans.groupBy("ticker").agg(
+        F.coalesce(F.min_by("sector", since), F.lit("Unknown")).alias("sector"))
