@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from tapeloom.operators import unify
-from tapeloom.operators.timeblocks import ROW, frame, full_frame, rolling
+from tapeloom.operators.timeblocks import BLOCK, ROW, frame, full_frame, rolling
 
 YEAR_ROOT = math.sqrt(252)
 SMA_PERIODS = (5, 10, 20, 50)
@@ -25,7 +25,11 @@ ROC_PERIODS = (5, 10, 20)
 VOLATILITY_PERIODS = (10, 20, 60)
 RETURN_PERIODS = (1, 5, 10, 20)
 
-Step = Callable[[DataFrame, WindowSpec], DataFrame]
+# A feature is a list of waves: each wave maps a window to columns that may use
+# the columns of earlier waves. The waves of all features run together, so the
+# whole frame needs as many window passes as the longest feature has waves.
+Wave = Callable[[WindowSpec], dict[str, Column]]
+Step = Sequence[Wave]
 
 
 def _change(w: WindowSpec, n: int) -> Column:
@@ -34,161 +38,164 @@ def _change(w: WindowSpec, n: int) -> Column:
 
 def sma_step(periods: Sequence[int] = SMA_PERIODS) -> Step:
     c = F.col("close")
-    return lambda df, w: df.withColumns({
-        f"sma_{n}": full_frame(F.avg(c), c, w, n) for n in periods})
+    return [lambda w: {f"sma_{n}": full_frame(F.avg(c), c, w, n) for n in periods}]
 
 
 def rsi_step(period: int = 14) -> Step:
     """Simple means of gains and losses; the first change counts as 0."""
-
-    def step(df, w):
-        delta = F.coalesce(F.col("close") - F.lag("close", 1).over(w), F.lit(0.0))
-        df = df.withColumn("__delta", delta)
-        d = F.col("__delta")
-        gain = full_frame(F.avg(F.greatest(d, F.lit(0.0))), d, w, period)
-        loss = full_frame(F.avg(F.greatest(-d, F.lit(0.0))), d, w, period)
-        df = df.withColumns({"__gain": gain, "__loss": loss})
-        strength = F.try_divide(F.col("__gain"), F.col("__loss"))
-        return df.withColumn("rsi", 100 - 100 / (1 + strength)).drop("__delta", "__gain", "__loss")
-
-    return step
+    d = F.col("__delta")
+    ratio = F.try_divide(F.col("__gain"), F.col("__loss"))
+    return [
+        lambda w: {"__delta": F.coalesce(F.col("close") - F.lag("close", 1).over(w), F.lit(0.0))},
+        lambda w: {
+            "__gain": full_frame(F.avg(F.greatest(d, F.lit(0.0))), d, w, period),
+            "__loss": full_frame(F.avg(F.greatest(-d, F.lit(0.0))), d, w, period)},
+        lambda w: {"rsi": 100 - 100 / (1 + ratio)},
+    ]
 
 
 def roc_step(periods: Sequence[int] = ROC_PERIODS) -> Step:
-    return lambda df, w: df.withColumns({f"roc_{n}": _change(w, n) * 100 for n in periods})
+    return [lambda w: {f"roc_{n}": _change(w, n) * 100 for n in periods}]
 
 
 def returns_step(periods: Sequence[int] = RETURN_PERIODS) -> Step:
-    return lambda df, w: df.withColumns({f"return_{n}d": _change(w, n) for n in periods})
+    return [lambda w: {f"return_{n}d": _change(w, n) for n in periods}]
 
 
 def bollinger_step(period: int = 20, width: float = 2.0) -> Step:
-    def step(df, w):
-        c = F.col("close")
-        df = df.withColumns({
+    c, middle, half = F.col("close"), F.col("bb_middle"), width * F.col("__sd")
+    return [
+        lambda w: {
             "bb_middle": full_frame(F.avg(c), c, w, period),
-            "__sd": full_frame(F.stddev_samp(c), c, w, period),
-        })
-        df = df.withColumns({
-            "bb_upper": F.col("bb_middle") + width * F.col("__sd"),
-            "bb_lower": F.col("bb_middle") - width * F.col("__sd"),
-        })
-        span = F.col("bb_upper") - F.col("bb_lower")
-        return df.withColumns({
-            "bb_width": F.try_divide(span, F.col("bb_middle")),
-            "bb_pct": F.try_divide(c - F.col("bb_lower"), span),
-        }).drop("__sd")
-
-    return step
+            "__sd": full_frame(F.stddev_samp(c), c, w, period)},
+        lambda w: {
+            "bb_upper": middle + half,
+            "bb_lower": middle - half,
+            "bb_width": F.try_divide(2 * half, middle),
+            "bb_pct": F.try_divide(c - (middle - half), 2 * half)},
+    ]
 
 
 def atr_step(period: int = 14) -> Step:
     """Mean true range; ``greatest`` skips the missing previous close of the first row."""
+    high, low, tr = F.col("high"), F.col("low"), F.col("__tr")
 
-    def step(df, w):
+    def true_range(w):
         before = F.lag("close", 1).over(w)
-        df = df.withColumn("__tr", F.greatest(
-            F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before)))
-        tr = F.col("__tr")
-        return df.withColumn("atr", full_frame(F.avg(tr), tr, w, period)).drop("__tr")
+        return {"__tr": F.greatest(high - low, F.abs(high - before), F.abs(low - before))}
 
-    return step
+    return [true_range, lambda w: {"atr": full_frame(F.avg(tr), tr, w, period)}]
 
 
 def volatility_step(periods: Sequence[int] = VOLATILITY_PERIODS) -> Step:
-    def step(df, w):
-        df = df.withColumn("__r", _change(w, 1))
-        r = F.col("__r")
-        return df.withColumns({
-            f"volatility_{n}": full_frame(F.stddev_samp(r), r, w, n) * YEAR_ROOT for n in periods
-        }).drop("__r")
-
-    return step
+    r = F.col("__r")
+    return [
+        lambda w: {"__r": _change(w, 1)},
+        lambda w: {f"volatility_{n}": full_frame(F.stddev_samp(r), r, w, n) * YEAR_ROOT for n in periods},
+    ]
 
 
 def volume_step(mean_rows: int = 20, obv_rows: int = 10) -> Step:
     """Volume over its mean, and whether on-balance volume is above its mean.
 
     The balance minus its mean does not depend on where the sum starts, so the
-    sum may start at the edge of a block.
+    sum may start at the edge of a block; its mean is defined from the tenth row
+    of the series on, not of the block.
     """
+    v, obv = F.col("volume"), F.col("__obv")
 
-    def step(df, w):
-        v = F.col("volume")
-        mean = full_frame(F.avg(v), v, w, mean_rows)
+    def first(w):
         sign = F.coalesce(F.signum(F.col("close") - F.lag("close", 1).over(w)), F.lit(0.0))
-        df = df.withColumns({"volume_ratio": F.try_divide(v.cast("double"), mean), "__flow": sign * v})
-        df = df.withColumn("__obv", F.sum("__flow").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        obv = F.col("__obv")
-        # the mean is defined from the tenth row of the series on, not of the block
-        level = F.when(F.col(ROW) >= obv_rows, F.avg(obv).over(frame(w, obv_rows)))
-        return df.withColumn("obv_trend", F.when(obv > level, 1).otherwise(-1)).drop("__flow", "__obv")
+        return {
+            "volume_ratio": F.try_divide(v.cast("double"), full_frame(F.avg(v), v, w, mean_rows)),
+            "__flow": sign * v}
 
-    return step
+    return [
+        first,
+        lambda w: {"__obv": F.sum("__flow").over(w.rowsBetween(Window.unboundedPreceding, 0))},
+        lambda w: {"__level": F.when(F.col(ROW) >= obv_rows, F.avg(obv).over(frame(w, obv_rows)))},
+        lambda w: {"obv_trend": F.when(obv > F.col("__level"), 1).otherwise(-1)},
+    ]
 
 
 def target_step(horizon: int = 1, keep_last: bool = True) -> Step:
     """Forward return and its direction; without a forward return the direction is 0."""
+    up = F.col("target_return") > 0
+    return [
+        lambda w: {"target_return": F.try_divide(F.lead("close", horizon).over(w), F.col("close")) - 1},
+        lambda w: {"target_direction": F.when(up, 1).otherwise(0) if keep_last else up.cast("int")},
+    ]
 
-    def step(df, w):
-        ahead = F.try_divide(F.lead("close", horizon).over(w), F.col("close")) - 1
-        df = df.withColumn("target_return", ahead)
-        up = F.col("target_return") > 0
-        direction = F.when(up, 1).otherwise(0) if keep_last else up.cast("int")
-        return df.withColumn("target_direction", direction)
 
-    return step
+def _ema_strides(span: int) -> list[int]:
+    """Factors whose product is the number of rows an average of this span needs."""
+    need = math.ceil(math.log(1e-17) / math.log(1 - 2 / (span + 1)))
+    factors, reach = [], 1
+    while reach < need:
+        factors.append(min(8, math.ceil(need / reach)))
+        reach *= factors[-1]
+    return factors
 
 
-def _ema(df: DataFrame, w: WindowSpec, of: str, name: str, span: int) -> DataFrame:
-    """Exponential average of column ``of``, seeded with the first value of the series.
+def ema_rows(*spans: int) -> int:
+    """Rows back that an average (of an average ...) of these spans needs."""
+    return sum(math.prod(_ema_strides(n)) for n in spans)
+
 
-    The weighted sum over 2^(k+1) rows is the one over 2^k rows plus the same sum
-    2^k rows earlier, faded; so a handful of lags reach the length at which the
-    remaining weight is below the rounding of a double.
+def _ema_waves(of: Column, name: str, span: int) -> Step:
+    """Exponential average of ``of``, seeded with the first value of the series.
+
+    The weighted sum over r*m rows is that over m rows now, m rows earlier, and
+    so on, each faded; three waves of eight terms reach the 512 rows after which
+    the remaining weight of span 26 is below the rounding of a double.
     """
     alpha, fade = 2 / (span + 1), 1 - 2 / (span + 1)
-    df = df.withColumn(name, F.when(F.col(ROW) == 1, F.col(of)).otherwise(alpha * F.col(of)))
-    for k in range(_ema_levels(span)):
-        earlier = F.coalesce(F.lag(name, 1 << k).over(w), F.lit(0.0))
-        df = df.withColumn(name, F.col(name) + fade ** (1 << k) * earlier)
-    return df
+    factors = _ema_strides(span)
+    waves, reach = [], 1
+    for i, terms in enumerate(factors):
+        src = F.when(F.col(ROW) == 1, of).otherwise(alpha * of) if i == 0 else F.col(f"__{name}_{i}")
+        out = name if i == len(factors) - 1 else f"__{name}_{i + 1}"
 
+        def wave(w, src=src, out=out, reach=reach, terms=terms):
+            total = src
+            for k in range(1, terms):
+                earlier = F.coalesce(F.lag(src, k * reach).over(w), F.lit(0.0))
+                total = total + fade ** (k * reach) * earlier
+            return {out: total}
 
-def _ema_levels(span: int) -> int:
-    fade = 1 - 2 / (span + 1)
-    return math.ceil(math.log2(math.log(1e-17) / math.log(fade)))
+        waves.append(wave)
+        reach *= terms
+    return waves
 
 
-def ema_rows(*spans: int) -> int:
-    """Rows back that an average (of an average ...) of these spans needs."""
-    return sum(1 << _ema_levels(n) for n in spans)
+def together(*steps: Step) -> list[Wave]:
+    """Several features side by side."""
+    def at(i: int) -> Wave:
+        return lambda w: {n: c for s in steps if i < len(s) for n, c in s[i](w).items()}
+
+    return [at(i) for i in range(max((len(s) for s in steps), default=0))]
 
 
 def ema_step(periods: Sequence[int] = EMA_PERIODS, macd: tuple[int, int, int] | None = (12, 26, 9)) -> Step:
     """EMA columns, and MACD line, signal and histogram."""
-
-    def step(df, w):
-        kept = {n: f"ema_{n}" for n in periods}
-        extra = {n: f"__ema_{n}" for n in (macd or ())[:2] if n not in kept}
-        for n, name in {**kept, **extra}.items():
-            df = _ema(df, w, "close", name, n)
-        if macd:
-            fast, slow, signal = macd
-            column = {**kept, **extra}
-            df = df.withColumn("macd", F.col(column[fast]) - F.col(column[slow]))
-            df = _ema(df, w, "macd", "macd_signal", signal)
-            df = df.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
-        return df.drop(*extra.values())
-
-    return step
+    named = {n: f"ema_{n}" for n in periods}
+    if macd:
+        named |= {n: f"__ema_{n}" for n in macd[:2] if n not in named}
+    waves = together(*[_ema_waves(F.col("close"), name, n) for n, name in named.items()])
+    if macd:
+        fast, slow, signal = macd
+        line = F.col("macd")
+        waves.append(lambda w: {"macd": F.col(named[fast]) - F.col(named[slow])})
+        waves += _ema_waves(line, "macd_signal", signal)
+        waves.append(lambda w: {"macd_hist": line - F.col("macd_signal")})
+    return waves
 
 
 def _run(df: DataFrame, steps: Sequence[Step], back: int, ahead: int = 0, **kw) -> DataFrame:
     def build(block, w):
-        for s in steps:
-            block = s(block, w)
-        return block
+        for wave in together(*steps):
+            block = block.withColumns(wave(w))
+        return block.drop(*[c for c in block.columns if c.startswith("__") and c not in (ROW, BLOCK)])
 
     return rolling(df, ["ticker"], ["date"], build, back=back, ahead=ahead, **kw)
 
@@ -258,7 +265,7 @@ def engineer_features(df: DataFrame, econ: DataFrame | None = None, news: DataFr
     more = []
     if news is not None:
         df = unify.attach_news(df, news)
-        more.append(unify.sentiment_mean)
+        more.append([unify.sentiment_mean])
     out = technical_features(df, horizon, more, **kw)
     return unify.economic_features(out, econ, dates=df) if econ is not None else out
 

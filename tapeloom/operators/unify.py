@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
@@ -134,13 +134,14 @@ def attach_news(df: DataFrame, news: DataFrame) -> DataFrame:
         "news_attention", F.log1p("news_count"))
 
 
-def sentiment_mean(df: DataFrame, w: WindowSpec) -> DataFrame:
-    return df.withColumn("sentiment_ma5", F.avg("news_sentiment").over(timeblocks.frame(w, 5)))
+def sentiment_mean(w: WindowSpec) -> dict[str, Column]:
+    return {"sentiment_ma5": F.avg("news_sentiment").over(timeblocks.frame(w, 5))}
 
 
 def news_features(df: DataFrame, news: DataFrame) -> DataFrame:
     """:func:`attach_news` and the 5-row mean of sentiment."""
-    return timeblocks.rolling(attach_news(df, news), ["ticker"], ["date"], sentiment_mean, back=4)
+    add = lambda d, w: d.withColumns(sentiment_mean(w))
+    return timeblocks.rolling(attach_news(df, news), ["ticker"], ["date"], add, back=4)
 
 
 # Indicator columns of the daily market table.

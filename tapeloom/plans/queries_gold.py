@@ -18,13 +18,17 @@ view("priced", """
   FROM silver s LEFT JOIN meta_std m USING (ticker)""")
 
 
-def priced(spark, sf):
-    """Bars with returns and standard sector names."""
+def _build_priced(spark, sf):
     meta = _meta(spark, sf).select("ticker", F.col("sector").alias("std"))
     return silver(spark, sf).join(meta, "ticker", "left").withColumn(
         "sector", F.coalesce("std", F.lit("Unknown"))).drop("std", "industry")
 
 
+def priced(spark, sf):
+    """Bars with returns and standard sector names."""
+    return staged_once(spark, sf, "priced", lambda: _build_priced(spark, sf))
+
+
 # ------------------------------------------------------------------ risk
 view("risk_base", """
   SELECT ticker, min(date) AS first_date, max(date) AS last_date, count(*) AS num_records,

@@ -338,7 +338,7 @@ view("news_table", """
         WHERE ticker IN (SELECT ticker FROM universe_sources)) GROUP BY date, ticker""")
 
 
-def universe_table(spark, sf):
+def _build_universe(spark, sf):
     b, m = fx.bars(spark, sf), fx.metadata(spark, sf)
     return universe.build_universe({
         "prices": b.where("ticker <> 'S3'").select("ticker"),
@@ -348,6 +348,10 @@ def universe_table(spark, sf):
     })
 
 
+def universe_table(spark, sf):
+    return staged_once(spark, sf, "universe", lambda: _build_universe(spark, sf))
+
+
 def articles(spark, sf):
     return news.process_articles(fx.news(spark, sf), universe_table(spark, sf))
 
@@ -494,7 +498,7 @@ def _(spark, sf):
 
 @query("universe_build", "U08", "SELECT source, ticker FROM universe_sources")
 def _(spark, sf):
-    return universe_table(spark, sf)
+    return _build_universe(spark, sf)
 
 
 # ------------------------------------------------------------- unified table

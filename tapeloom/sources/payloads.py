@@ -46,7 +46,9 @@ def flatten_news_payload(df: DataFrame, kind: str, payload: str = "payload") ->
             keywords=F.to_json(F.coalesce(d("keywords.value"), F.array().cast("array<string>"))),
             raw_json=F.to_json("d"))
     if kind == "market":
-        rows = df.select(F.explode(F.from_json(payload, MARKET_NEWS)).alias("d"))
+        # a lone object would be read as a list of one
+        listed = F.when(F.ltrim(payload).startswith("["), F.col(payload))
+        rows = df.select(F.explode(F.from_json(listed, MARKET_NEWS)).alias("d"))
         related = F.when(d("related") != "", F.split(d("related"), ","))
         return _news(
             rows, news_id=d("id"), title=d("headline"), summary=d("summary"), content=d("summary"),

@@ -43,7 +43,7 @@ def export_json_preview(df: DataFrame, path: str, order: Sequence[str], n: int =
 
 def upsert_by_key(df: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is not in ``delta``, plus ``delta``."""
-    kept = df.join(delta.select(*keys).distinct(), list(keys), "left_anti")
+    kept = df.join(delta.select(*keys).distinct(), list(keys), "left_anti").select(*df.columns)
     return kept.unionByName(delta, allowMissingColumns=True)
 
 

@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _staged: dict[tuple[str, str], DataFrame] = {}
+_own_dir: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -22,9 +23,10 @@ def shared_dir(spark: SparkSession) -> str:
         return path
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    path = tempfile.mkdtemp(prefix="tapeloom-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    app = spark.sparkContext.applicationId
+    if app not in _own_dir:
+        _own_dir[app] = tempfile.mkdtemp(prefix="tapeloom-")
+    return _own_dir[app]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
