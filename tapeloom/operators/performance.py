@@ -102,10 +102,9 @@ def portfolio_value(bars: DataFrame, targets: DataFrame, capital: float = CAPITA
     w = Window.orderBy("start")
     earlier = w.rowsBetween(Window.unboundedPreceding, -1)
     paid = w.rowsBetween(Window.unboundedPreceding, 0)
-    chain = ends.join(costs, "start", "left").withColumn(
-        "base",
-        F.exp(F.coalesce(F.sum(F.log("growth")).over(earlier), F.lit(0.0))
-              + F.sum(F.log1p(-F.coalesce("cost", F.lit(0.0)))).over(paid)))
+    grown = F.coalesce(F.product("growth").over(earlier), F.lit(1.0))
+    left = F.product(1 - F.coalesce("cost", F.lit(0.0))).over(paid)
+    chain = ends.join(costs, "start", "left").withColumn("base", grown * left)
     day = values.join(F.broadcast(chain.select("start", "base")), "start")
     # a rebalance day is valued after the rebalance
     return day.groupBy("date").agg(

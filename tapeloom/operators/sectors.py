@@ -27,12 +27,9 @@ def sector_metrics(df: DataFrame, rf: float = SECTOR_RF) -> DataFrame:
     df = metadata.mock_sector(df)
     daily = sector_daily(df)
     r = F.col("daily_return")
-    # product(1 + r) as a sum of logarithms; a total loss makes it 0
-    growth = F.when(F.min(r) <= -1, F.lit(0.0)).otherwise(
-        F.exp(F.sum(F.when(r > -1, F.log1p(r)))))
     stats = daily.groupBy("sector").agg(
         F.avg(r).alias("m"), F.stddev_samp(r).alias("s"),
-        F.stddev_samp(F.when(r < 0, r)).alias("d"), growth.alias("g"))
+        F.stddev_samp(F.when(r < 0, r)).alias("d"), F.product(1 + r).alias("g"))
     counts = df.groupBy("sector").agg(
         F.count_distinct("ticker").alias("num_tickers"), F.count(F.lit(1)).alias("total_records"),
         F.min("date").alias("min_date"), F.max("date").alias("max_date"))

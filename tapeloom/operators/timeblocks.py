@@ -12,7 +12,10 @@ pieces owe each other in a table with one row per key and piece:
   copies the last ``back`` (and first ``ahead``) rows of a block to its
   neighbour, so that any bounded frame is exact inside its block.
 
-Rows in, rows out: the grain of the input is kept, and so is every row.
+Rows in, rows out: the grain of the input is kept, and so is every row. The
+order must be unique within a key (deduplicate first), as it must be for any
+running value; one row per day then bounds a yearly slice at 366 rows, however
+hot its key. For a finer order pass a finer ``slice_by``, such as the hour.
 """
 
 from __future__ import annotations

@@ -544,7 +544,7 @@ def _(spark, sf):
     return performance.period_values(fx.stock_bars(spark, sf), _targets(spark, sf))
 
 
-@query("backtest_portfolio_value", "B03", "SELECT * FROM value_path", "total_value")
+@query("backtest_portfolio_value", "B03", "SELECT * FROM value_path", "total_value", digits=3)
 def _(spark, sf):
     return performance.portfolio_value(fx.stock_bars(spark, sf), _targets(spark, sf))
 
@@ -577,7 +577,7 @@ def _(spark, sf):
          (m - 0.05::DOUBLE / 252) / s * sqrt(252) AS sharpe_ratio, max_drawdown,
          (pow(last_value / first_value, 252::DOUBLE / n) - 1) / abs(max_drawdown) AS calmar_ratio
   FROM e JOIN r USING (strategy) JOIN f USING (strategy)""",
-       "first_value last_value total_return annualized_return volatility sharpe_ratio max_drawdown calmar_ratio")
+       "first_value last_value total_return annualized_return volatility sharpe_ratio max_drawdown calmar_ratio", digits=4)
 def _(spark, sf):
     return performance.performance_summary(strategy_values(spark, sf))
 

@@ -220,7 +220,7 @@ def _(spark, sf):
 
 @query("clean_adjust_splits", "V12", """
   SELECT ticker, date, close / coalesce((SELECT product(ratio) FROM splits s
-         WHERE s.ticker = b.ticker AND s.split_date > b.date), 1) AS price FROM bars b""", "price", digits=8)
+         WHERE s.ticker = b.ticker AND s.split_date > b.date), 1) AS price FROM bars b""", "price")
 def _(spark, sf):
     b = fx.bars(spark, sf).select("ticker", "date", F.col("close").alias("price"))
     return quality.adjust_splits(b, fx.splits(spark, sf))
