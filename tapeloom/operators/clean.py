@@ -131,17 +131,14 @@ def stamp(df: DataFrame, version: str, at: str = "enriched_at") -> DataFrame:
 
 
 def quality_flags(df: DataFrame, min_history: int = MIN_HISTORY) -> DataFrame:
-    """Four flags per row. Only the short tickers are joined back, never a hot one."""
-    short = (
-        df.groupBy("ticker").agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") < min_history).select("ticker", F.lit(True).alias("__short"))
-    )
-    return df.join(short, "ticker", "left").withColumns({
+    """Four flags per row."""
+    sized = timeblocks.series_size(df, ["ticker"], ["date"], "__n")
+    return sized.withColumns({
         "is_penny_stock": F.col("close") < 1.0,
         "has_outlier_return": F.abs("daily_return") > OUTLIER_RETURN_PCT,
         "low_liquidity": F.col("volume") < LOW_VOLUME,
-        "insufficient_history": F.coalesce(F.col("__short"), F.lit(False)),
-    }).drop("__short")
+        "insufficient_history": F.coalesce(F.col("__n") < min_history, F.lit(False)),
+    }).drop("__n")
 
 
 FLAGS = ("is_penny_stock", "has_outlier_return", "low_liquidity", "insufficient_history")

@@ -100,6 +100,18 @@ def row_numbers(df, by, order, name: str = ROW, slice_by=None) -> DataFrame:
     )
 
 
+def series_size(df, by, order, name: str, slice_by=None) -> DataFrame:
+    """Number of rows of each row's series, joined by slice and not by the (maybe hot) key."""
+    whole = Window.partitionBy(*by)
+    return with_carry(
+        df, by, order, slice_by=slice_by,
+        local=lambda w: {},
+        summary={"__s": F.count(F.lit(1))},
+        carry=lambda e: {"__c": F.sum("__s").over(whole)},
+        combine={name: F.col("__c")},
+    )
+
+
 def previous(df, by, order, cols: Mapping[str, Column], slice_by=None) -> DataFrame:
     """The value of the row before, null on the first row of a series."""
     position = _position(order)

@@ -45,6 +45,14 @@ def test_whole_texts_by_file_stem(spark, tmp_path):
     assert rows(readers.read_text_documents(spark, str(tmp_path))) == [("a", "one\ntwo"), ("b.note", "été")]
 
 
+def test_ticker_sample_is_whole_and_stable(spark):
+    df = spark.createDataFrame([(f"T{i % 9}", i) for i in range(90)], "ticker string, n int")
+    a = rows(readers.sample_tickers(df, 4))
+    assert a == rows(readers.sample_tickers(df.repartition(7), 4)) and len(a) == 40
+    assert len({t for t, _ in a}) == 4
+    assert a != rows(readers.sample_tickers(df, 4, seed=7)) or a != rows(readers.sample_tickers(df, 4, seed=8))
+
+
 def test_json_array_file(spark, tmp_path):
     (tmp_path / "x.json").write_text(json.dumps([{"id": 1, "value": "a"}, {"id": 2, "value": "b"}]))
     assert rows(readers.read_json_records(spark, str(tmp_path), KV)) == [(1, "a"), (2, "b")]

@@ -50,6 +50,11 @@ def test_row_numbers(data):
          data.withColumn("n", F.row_number().over(plain())), ["k", "date", "n"])
 
 
+def test_series_size(data):
+    same(tb.series_size(data, ["k"], ["date"], "n"),
+         data.withColumn("n", F.count("*").over(Window.partitionBy("k"))), ["k", "date", "n"])
+
+
 def test_previous_keeps_nulls(data):
     same(tb.previous(data, ["k"], ["date"], {"p": F.col("v")}),
          data.withColumn("p", F.lag("v").over(plain())), ["k", "date", "p"])
