@@ -8,7 +8,6 @@ from tapeloom.plans import fixtures as fx
 from tapeloom.plans.queries_clean import silver
 from tapeloom.plans.queries_reference import econ_daily, _meta
 from tapeloom.plans.registry import query, view
-from tapeloom.operators.metadata import add_sector_metadata
 from tapeloom.sources.staging import staged_once
 
 RF = "(0.05::DOUBLE / 252)"

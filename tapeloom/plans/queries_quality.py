@@ -5,7 +5,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from tapeloom.contracts import CONTRACTS
-from tapeloom.operators import calendars, clean, quality
+from tapeloom.operators import calendars, quality
 from tapeloom.plans import fixtures as fx
 from tapeloom.plans.queries_clean import clean_table, silver
 from tapeloom.plans.registry import query, view

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tapeloom.functions import labels, text
-from tapeloom.operators import clean, economic, metadata, news, unify, universe
+from tapeloom.operators import economic, metadata, news, unify, universe
 from tapeloom.plans import fixtures as fx
 from tapeloom.plans.queries_clean import silver
 from tapeloom.plans.registry import query, view
