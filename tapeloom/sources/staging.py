@@ -7,26 +7,25 @@ readers prune columns and push filters, and a lost executor costs one task.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _staged: dict[tuple[str, str], DataFrame] = {}
-_own_dir: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; a folder of our own only in local mode."""
+    """The folder in ``spark.checkpoint.dir``; where that is unset, one inside the session's warehouse.
+
+    Both are shared by the driver and all executors. Outside local mode the
+    setting is required.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own_dir:
-        _own_dir[app] = tempfile.mkdtemp(prefix="tapeloom-")
-    return _own_dir[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
