@@ -4,23 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tapeloom.llm import language, lm_score
 from tapeloom.llm import quality as quality_op
 from tapeloom.llm import toxicity as toxicity_op
 from tapeloom.llm.common import prepare, read
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and lattice likelihood of every document."""
+    prepare(spark)
+    return lm_score.held_out_scores(read(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     prepare(spark)
     return toxicity_op.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    prepare(spark)
+    return language.languages(read(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     prepare(spark)
     return quality_op.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op4_toxicity, op10_quality)}
+QUERIES = {f.__name__: f for f in (op3_lm_score, op4_toxicity, op8_language, op10_quality)}
 
 SQL: dict[str, str] = {}
