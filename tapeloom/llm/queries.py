@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import language, lm_score
+from tapeloom.llm import language, lm_score, token_file
 from tapeloom.llm import quality as quality_op
 from tapeloom.llm import toxicity as toxicity_op
 from tapeloom.llm.common import prepare, read
@@ -28,12 +28,18 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(read(spark, sf_dir, "documents"))
 
 
+def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places and checksums of every document's ids, read back from the written files."""
+    prepare(spark)
+    return token_file.token_files(read(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     prepare(spark)
     return quality_op.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op3_lm_score, op4_toxicity, op8_language, op10_quality)}
+QUERIES = {f.__name__: f for f in (op3_lm_score, op4_toxicity, op8_language, op9_token_file, op10_quality)}
 
 SQL: dict[str, str] = {}
