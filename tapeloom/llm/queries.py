@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import fingerprints, language, lm_score, near_dups, token_file
+from tapeloom.llm import fingerprints, html_text, language, lm_score, near_dups, token_file
 from tapeloom.llm import quality as quality_op
 from tapeloom.llm import toxicity as toxicity_op
 from tapeloom.llm.common import prepare, read
@@ -28,6 +28,12 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(read(spark, sf_dir, "documents"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    prepare(spark)
+    return html_text.main_text(read(spark, sf_dir, "pages"))
+
+
 def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document by near-equal sets of four-word shingles."""
     prepare(spark)
@@ -52,7 +58,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_op.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op3_lm_score, op4_toxicity, op5_fingerprints, op7_near_dups, op8_language, op9_token_file, op10_quality)}
+QUERIES = {f.__name__: f for f in (op3_lm_score, op4_toxicity, op5_fingerprints, op6_html_text, op7_near_dups, op8_language, op9_token_file, op10_quality)}
 
 #: words of a text, A-Z in lower case
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
