@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import fingerprints, html_text, language, lm_score, near_dups, token_file
+from tapeloom.llm import decontam, fingerprints, html_text, language, lm_score, near_dups, token_file
 from tapeloom.llm import quality as quality_op
 from tapeloom.llm import toxicity as toxicity_op
 from tapeloom.llm.common import prepare, read
 
 
+def op2_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold passages of benchmark items."""
+    prepare(spark)
+    return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and lattice likelihood of every document."""
     prepare(spark)
@@ -58,7 +64,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_op.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op3_lm_score, op4_toxicity, op5_fingerprints, op6_html_text, op7_near_dups, op8_language, op9_token_file, op10_quality)}
+QUERIES = {f.__name__: f for f in (op2_decontam, op3_lm_score, op4_toxicity, op5_fingerprints, op6_html_text, op7_near_dups, op8_language, op9_token_file, op10_quality)}
 
 #: words of a text, A-Z in lower case
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
