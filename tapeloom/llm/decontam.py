@@ -32,13 +32,16 @@ class Queries:
     """Benchmark passages of a block: item, words, and the words of the item's answer."""
 
     items: list[int]
-    words: list[list[bytes]]
-    answers: list[list[bytes]]
+    words: list[list[str]]
+    answers: list[list[str]]
 
 
-def tidy(text: bytes) -> list[bytes]:
+_MARKS = ".,;:!?\"'()[]{}<>*#$%&|\u00ab\u00bb\u201c\u201d\u2018\u2019\u2026"
+
+
+def tidy(text: bytes) -> list[str]:
     """Words in lower case without marks around them."""
-    return [w for w in (w.strip(b".,;:!?\"'()[]*#$%&|") for w in text.lower().split()) if w]
+    return [w for w in (w.strip(_MARKS) for w in text.decode("utf-8", "replace").lower().split()) if w]
 
 
 def pieces_of(items: list[tuple[int, bytes, bytes | None]]) -> Queries:
@@ -80,9 +83,9 @@ def term_rows(ids: np.ndarray, terms: int) -> tuple[np.ndarray, np.ndarray, np.n
     return key // terms, key % terms, times, sizes
 
 
-def common_subsequence(a: list[bytes], b: list[bytes]) -> int:
+def common_subsequence(a: list[str], b: list[str]) -> int:
     """Length of the longest common subsequence, bit-parallel over ``a``."""
-    masks: dict[bytes, int] = {}
+    masks: dict[str, int] = {}
     for i, w in enumerate(a):
         masks[w] = masks.get(w, 0) | 1 << i
     full = (1 << len(a)) - 1
@@ -95,18 +98,18 @@ def common_subsequence(a: list[bytes], b: list[bytes]) -> int:
     return len(a) - row.bit_count()
 
 
-def holds(words: list[bytes], run: list[bytes]) -> bool:
+def holds(words: list[str], run: list[str]) -> bool:
     """Whether ``run`` stands in ``words`` without a gap."""
     return bool(run) and any(words[i:i + len(run)] == run for i, w in enumerate(words) if w == run[0])
 
 
-def _identified(texts, index: dict[bytes, int]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+def _identified(texts, index: dict[str, int]) -> Iterator[tuple[list[str], np.ndarray]]:
     for text in texts:
         words = tidy(text)
         yield words, np.fromiter((index.get(w, -1) for w in words), np.int64, len(words))
 
 
-def idf_of(texts: DataFrame, queries: Queries, *, common: float) -> tuple[dict[bytes, int], np.ndarray, float]:
+def idf_of(texts: DataFrame, queries: Queries, *, common: float) -> tuple[dict[str, int], np.ndarray, float]:
     """(term numbers, their weights, the weight of a word outside the benchmark) from all passages of ``texts``.
 
     Terms in more than a share ``common`` of the passages weigh nothing.
@@ -139,7 +142,7 @@ def idf_of(texts: DataFrame, queries: Queries, *, common: float) -> tuple[dict[b
     return index, np.maximum(weight, 0.0), float(np.log((passages + 1) / 1.5))
 
 
-def query_rows(queries: Queries, index: dict[bytes, int], weight: np.ndarray) -> np.ndarray:
+def query_rows(queries: Queries, index: dict[str, int], weight: np.ndarray) -> np.ndarray:
     """TF-IDF of the benchmark passages, one normalised row each."""
     out = np.zeros((len(queries.words), len(index)))
     for k, words in enumerate(queries.words):
@@ -148,7 +151,7 @@ def query_rows(queries: Queries, index: dict[bytes, int], weight: np.ndarray) ->
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
 
-def latent(texts: DataFrame, queries: Queries, index: dict[bytes, int], weight: np.ndarray, *, rank: int,
+def latent(texts: DataFrame, queries: Queries, index: dict[str, int], weight: np.ndarray, *, rank: int,
            seed: int = 11) -> np.ndarray:
     """Right singular vectors (terms by ``rank``) of the TF-IDF rows of all passages, by a randomised SVD.
 
@@ -214,7 +217,7 @@ def latent(texts: DataFrame, queries: Queries, index: dict[bytes, int], weight:
     return left[:, :rank].astype(np.float32)
 
 
-def search(docs: DataFrame, queries: Queries, index: dict[bytes, int], weight: np.ndarray, unknown: float,
+def search(docs: DataFrame, queries: Queries, index: dict[str, int], weight: np.ndarray, unknown: float,
            basis: np.ndarray, *, cosine: float, covered: float, partly: float) -> DataFrame:
     """(doc_id, item_id, cosine, covered, answered) of the hits, the best passage of each pair."""
     own = query_rows(queries, index, weight).astype(np.float32) @ basis

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import decontam, fingerprints, html_text, language, lm_score, near_dups, token_file
+from tapeloom.llm import decontam, fingerprints, html_text, language, lm_score, near_dups, packing, token_file
 from tapeloom.llm import quality as quality_op
 from tapeloom.llm import toxicity as toxicity_op
 from tapeloom.llm.common import prepare, read
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all documents in length buckets and batches."""
+    prepare(spark)
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 def op2_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold passages of benchmark items."""
     prepare(spark)
@@ -64,7 +70,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_op.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontam, op3_lm_score, op4_toxicity, op5_fingerprints, op6_html_text, op7_near_dups, op8_language, op9_token_file, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_decontam, op3_lm_score, op4_toxicity, op5_fingerprints, op6_html_text, op7_near_dups, op8_language, op9_token_file, op10_quality)}
 
 #: words of a text, A-Z in lower case
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
@@ -93,4 +99,7 @@ def components_sql(table: str, size: int, percent: int) -> str:
     FROM g LEFT JOIN s USING (g) LEFT JOIN c ON c.id = s.id"""
 
 
-SQL: dict[str, str] = {"op7_near_dups": components_sql("documents", 4, 80)}
+SQL: dict[str, str] = {
+    "op1_packing": packing.pack_sql("documents"),
+    "op7_near_dups": components_sql("documents", 4, 80),
+}
