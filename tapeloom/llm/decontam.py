@@ -112,7 +112,8 @@ def _identified(texts, index: dict[str, int]) -> Iterator[tuple[list[str], np.nd
 def idf_of(texts: DataFrame, queries: Queries, *, common: float) -> tuple[dict[str, int], np.ndarray, float]:
     """(term numbers, their weights, the weight of a word outside the benchmark) from all passages of ``texts``.
 
-    Terms in more than a share ``common`` of the passages weigh nothing.
+    Terms in more than a share ``common`` of the passages weigh nothing, unless
+    they are in the rarer half of a benchmark passage's terms.
     """
     vocabulary = sorted(set().union(*map(set, queries.words)) if queries.words else ())
     index = {w: i for i, w in enumerate(vocabulary)}
@@ -135,11 +136,13 @@ def idf_of(texts: DataFrame, queries: Queries, *, common: float) -> tuple[dict[s
     passages = count[-1] + len(queries.words)
     own = Counter(w for words in queries.words for w in set(words))
     df = count[:-1] + np.array([own[w] for w in vocabulary], float)
-    weight = np.log((passages + 1) / (df + 0.5))
-    weight[df > common * passages] = 0.0
-    if len(weight) and not weight.any():  # a corpus of little but the benchmark: nothing is common then
-        weight = np.log((passages + 1) / (df + 0.5))
-    return index, np.maximum(weight, 0.0), float(np.log((passages + 1) / 1.5))
+    weight = np.log1p(passages / (df + 0.5))
+    needed = np.zeros(len(weight), bool)
+    for words in queries.words:
+        own_terms = np.array(sorted({index[w] for w in words}), int)
+        needed[own_terms[np.argsort(df[own_terms], kind="stable")][:(len(own_terms) + 1) // 2]] = True
+    weight[(df > common * passages) & ~needed] = 0.0
+    return index, weight, float(np.log1p(passages / 1.5))
 
 
 def query_rows(queries: Queries, index: dict[str, int], weight: np.ndarray) -> np.ndarray:
