@@ -91,7 +91,7 @@ def span_share(words: DataFrame, pieces: list[tuple[str, float]], logp: np.ndarr
     return float(grid[max(best, key=lambda r: (r["value"], -r["k"]))["k"]])
 
 
-def lm_scores(docs: DataFrame, training: Column, *, vocabulary_path: str | None = None, frequent: int = 200_000,
+def lm_scores(docs: DataFrame, training: Column, *, vocabulary_path: str | None = None, frequent: int = 50_000,
               rounds: int = 2) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score (both log10) of every row of ``docs``.
 
@@ -110,7 +110,8 @@ def lm_scores(docs: DataFrame, training: Column, *, vocabulary_path: str | None
     spread = total + 0.5 * (distinct + 1)
     logp = reweigh(counts, pieces, ends=ends, rounds=rounds)
     span = span_share(counts, pieces, logp, size["n"])
-    top = {bytes(r["word"]): r["n"] for r in counts.orderBy(F.desc("n"), "word").limit(frequent).collect()}
+    often = counts.orderBy(F.desc("n"), "word").limit(frequent).toPandas()
+    top = dict(zip(map(bytes, often["word"]), often["n"].tolist()))
     end_base, end_score = float(np.log10((ends + 0.5) / spread)), float(logp[-1] / np.log(10))
 
     def rows(batches):
