@@ -6,28 +6,22 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-_TYPES = {
-    "date": T.DateType(), "ts": T.TimestampType(), "str": T.StringType(),
-    "double": T.DoubleType(), "long": T.LongType(),
-}
+DATE, TIMESTAMP, STRING = T.DateType(), T.TimestampType(), T.StringType()
+DOUBLE, LONG = T.DoubleType(), T.LongType()
 
 
 @dataclass(frozen=True)
 class TableContract:
-    """``columns`` is text: name, type, and ``!`` for not null, comma separated."""
+    """``columns`` has the name, the type and whether nulls are allowed."""
 
     name: str
-    columns: str
+    columns: tuple[tuple[str, T.DataType, bool], ...]
     key: tuple[str, ...]
     allowed: dict[str, tuple[str, ...]] = field(default_factory=dict)
     version: str = "1.0"
 
     def fields(self) -> list[tuple[str, T.DataType, bool]]:
-        out = []
-        for item in self.columns.split(","):
-            name, kind = item.split()
-            out.append((name, _TYPES[kind.rstrip("!")], not kind.endswith("!")))
-        return out
+        return list(self.columns)
 
     def schema(self) -> T.StructType:
         return T.StructType([T.StructField(n, t, nullable) for n, t, nullable in self.fields()])
@@ -41,53 +35,129 @@ CONTRACTS = {
     for c in (
         TableContract(
             "bronze_prices",
-            "Date ts!, Ticker str!, Open double!, High double!, Low double!, Close double!, "
-            "Volume long!, ingested_at ts!",
+            (
+                ("Date", TIMESTAMP, False),
+                ("Ticker", STRING, False),
+                ("Open", DOUBLE, False),
+                ("High", DOUBLE, False),
+                ("Low", DOUBLE, False),
+                ("Close", DOUBLE, False),
+                ("Volume", LONG, False),
+                ("ingested_at", TIMESTAMP, False),
+            ),
             ("Date", "Ticker"),
         ),
         TableContract(
             "bronze_stock_metadata",
-            "ticker str!, company_name str, sector str, industry str, market_cap double, "
-            "exchange str, currency str, country str, website str, description str, raw_json str, "
-            "fetched_at ts!",
+            (
+                ("ticker", STRING, False),
+                ("company_name", STRING, True),
+                ("sector", STRING, True),
+                ("industry", STRING, True),
+                ("market_cap", DOUBLE, True),
+                ("exchange", STRING, True),
+                ("currency", STRING, True),
+                ("country", STRING, True),
+                ("website", STRING, True),
+                ("description", STRING, True),
+                ("raw_json", STRING, True),
+                ("fetched_at", TIMESTAMP, False),
+            ),
             ("ticker",),
         ),
         TableContract(
             "bronze_market_news",
-            "news_id str!, title str!, summary str, content str, source str, url str, "
-            "published_at ts, tickers str, sentiment_score double, sentiment_label str, "
-            "raw_json str, fetched_at ts!",
+            (
+                ("news_id", STRING, False),
+                ("title", STRING, False),
+                ("summary", STRING, True),
+                ("content", STRING, True),
+                ("source", STRING, True),
+                ("url", STRING, True),
+                ("published_at", TIMESTAMP, True),
+                ("tickers", STRING, True),
+                ("sentiment_score", DOUBLE, True),
+                ("sentiment_label", STRING, True),
+                ("raw_json", STRING, True),
+                ("fetched_at", TIMESTAMP, False),
+            ),
             ("news_id",),
         ),
         TableContract(
             "bronze_economic_indicators",
-            "date ts!, indicator_id str!, indicator_name str, value double, unit str, "
-            "frequency str, source_file str, fetched_at ts!",
+            (
+                ("date", TIMESTAMP, False),
+                ("indicator_id", STRING, False),
+                ("indicator_name", STRING, True),
+                ("value", DOUBLE, True),
+                ("unit", STRING, True),
+                ("frequency", STRING, True),
+                ("source_file", STRING, True),
+                ("fetched_at", TIMESTAMP, False),
+            ),
             ("date", "indicator_id"),
         ),
         TableContract(
             "bronze_benchmarks",
-            "date ts!, ticker str!, open double!, high double!, low double!, close double!, "
-            "volume long!, fetched_at ts!",
+            (
+                ("date", TIMESTAMP, False),
+                ("ticker", STRING, False),
+                ("open", DOUBLE, False),
+                ("high", DOUBLE, False),
+                ("low", DOUBLE, False),
+                ("close", DOUBLE, False),
+                ("volume", LONG, False),
+                ("fetched_at", TIMESTAMP, False),
+            ),
             ("date", "ticker"),
         ),
         TableContract(
             "silver_enriched_stocks",
-            "date ts!, ticker str!, open double!, high double!, low double!, close double!, "
-            "volume long!, daily_return double, sector str!, industry str!, "
-            "market_cap_category str, spy_return double, enriched_at ts!, data_version str!",
+            (
+                ("date", TIMESTAMP, False),
+                ("ticker", STRING, False),
+                ("open", DOUBLE, False),
+                ("high", DOUBLE, False),
+                ("low", DOUBLE, False),
+                ("close", DOUBLE, False),
+                ("volume", LONG, False),
+                ("daily_return", DOUBLE, True),
+                ("sector", STRING, False),
+                ("industry", STRING, False),
+                ("market_cap_category", STRING, True),
+                ("spy_return", DOUBLE, True),
+                ("enriched_at", TIMESTAMP, False),
+                ("data_version", STRING, False),
+            ),
             ("date", "ticker"),
         ),
         TableContract(
             "silver_processed_news",
-            "date ts!, ticker str!, news_count long!, avg_sentiment double, positive_count long, "
-            "negative_count long, neutral_count long, headlines str, processed_at ts!",
+            (
+                ("date", TIMESTAMP, False),
+                ("ticker", STRING, False),
+                ("news_count", LONG, False),
+                ("avg_sentiment", DOUBLE, True),
+                ("positive_count", LONG, True),
+                ("negative_count", LONG, True),
+                ("neutral_count", LONG, True),
+                ("headlines", STRING, True),
+                ("processed_at", TIMESTAMP, False),
+            ),
             ("date", "ticker"),
         ),
         TableContract(
             "silver_economic_indicators",
-            "date ts!, gdp double, cpi double, unemployment_rate double, fed_funds_rate double, "
-            "treasury_10y double, vix double, processed_at ts!",
+            (
+                ("date", TIMESTAMP, False),
+                ("gdp", DOUBLE, True),
+                ("cpi", DOUBLE, True),
+                ("unemployment_rate", DOUBLE, True),
+                ("fed_funds_rate", DOUBLE, True),
+                ("treasury_10y", DOUBLE, True),
+                ("vix", DOUBLE, True),
+                ("processed_at", TIMESTAMP, False),
+            ),
             ("date",),
         ),
     )

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 # Capitalised words that are not tickers.
 TICKER_BLACKLIST = (
-    "A I IT AT GO BE DO IS AS OR AN ON US UK EU CEO CFO IPO ETF GDP CPI FED NYSE NASDAQ SEC FDA "
-    "DOW USD EUR GBP Q1 Q2 Q3 Q4 YTD YOY MOM WOW EPS PE BUY SELL HOLD NEW THE AND FOR ALL TOP "
-    "INC LLC LTD CORP CO EST PM AM"
-).split()
+    "A", "I", "IT", "AT", "GO", "BE", "DO", "IS", "AS", "OR", "AN", "ON",
+    "US", "UK", "EU", "CEO", "CFO", "IPO", "ETF", "GDP", "CPI", "FED",
+    "NYSE", "NASDAQ", "SEC", "FDA", "DOW", "USD", "EUR", "GBP",
+    "Q1", "Q2", "Q3", "Q4", "YTD", "YOY", "MOM", "WOW", "EPS", "PE",
+    "BUY", "SELL", "HOLD", "NEW", "THE", "AND", "FOR", "ALL", "TOP",
+    "INC", "LLC", "LTD", "CORP", "CO", "EST", "PM", "AM",
+)
 # Words that colour a headline.
 POSITIVE_WORDS = ("strong", "surge", "rise", "climb", "rally", "bullish", "optimistic", "raise")
 NEGATIVE_WORDS = ("weak", "drop", "fall", "slide", "tumble", "bearish", "skeptical", "cut")

@@ -186,11 +186,21 @@ def last_close(df: DataFrame) -> DataFrame:
 
 
 def refresh_prices(metrics: DataFrame, live: DataFrame, at: Column | None = None) -> DataFrame:
-    """Overwrite ``last_price`` where ``live`` (ticker, last_price) has one."""
-    new = live.select("ticker", F.col("last_price").alias("__new"))
+    """Overwrite ``last_price`` where ``live`` (ticker, last_price) has one.
+
+    If ``live`` has the time ``last_ts`` of its prices, that is the stamp, and
+    only prices newer than a ticker's ``updated_at`` count.
+    """
+    timed = "last_ts" in live.columns
+    new = live.select("ticker", F.col("last_price").alias("__new"), *([F.col("last_ts").cast("timestamp").alias("__ts")] if timed else []))
     out = metrics.join(new, "ticker", "left")
+    if timed:
+        at = F.col("__ts")
+        if "updated_at" in metrics.columns:
+            newer = F.col("updated_at").isNull() | (at > F.col("updated_at"))
+            out = out.withColumn("__new", F.when(newer, F.col("__new")))
     cols = {"last_price": F.coalesce(F.col("__new"), F.col("last_price"))}
     stamped = F.when(F.col("__new").isNotNull(), at if at is not None else F.current_timestamp())
     if "updated_at" in metrics.columns:
         stamped = F.coalesce(stamped, F.col("updated_at"))
-    return out.withColumns({**cols, "updated_at": stamped}).drop("__new")
+    return out.withColumns({**cols, "updated_at": stamped}).drop("__new", "__ts")

@@ -18,12 +18,15 @@ CAPITAL = 100_000.0
 
 
 def rebalance_dates(dates: DataFrame, freq: str = "monthly") -> DataFrame:
-    """The first date, and the first of each month (or every date for ``daily``)."""
+    """The first date, and the first of each month or week (``weekly``), or every date (``daily``)."""
+    units = {"daily": None, "weekly": "week", "monthly": "month"}
+    if freq not in units:
+        raise ValueError(f"unknown frequency {freq}")
     days = dates.select("date").distinct()
     if freq == "daily":
         return days
     before = F.lag("date").over(Window.orderBy("date"))
-    changed = before.isNull() | (F.trunc("date", "month") != F.trunc(before, "month"))
+    changed = before.isNull() | (F.trunc("date", units[freq]) != F.trunc(before, units[freq]))
     return days.withColumn("__new", changed).where("__new").select("date")
 
 
@@ -31,7 +34,7 @@ def equal_weight_targets(bars: DataFrame, dates: DataFrame, n: int = 10) -> Data
     """(date, ticker, weight): the first ``n`` tickers of each rebalance day."""
     w = Window.partitionBy("date").orderBy("ticker")
     top = (
-        bars.select("date", "ticker").join(F.broadcast(dates.select("date")), "date", "left_semi")
+        bars.select("date", "ticker").join(F.broadcast(dates.select("date").distinct()), "date", "left_semi")
         .withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= n)
     )
     return top.select(
@@ -71,7 +74,7 @@ def period_values(bars: DataFrame, targets: DataFrame) -> DataFrame:
     held = _held(bars, targets)
     filled = timeblocks.last_known(held, ["start", "ticker"], ["date"], {"__px": F.col("close")})
     return filled.groupBy("start", "date").agg(
-        F.sum(F.col("weight") * F.col("__px") / F.col("entry")).alias("growth"))
+        F.sum(F.col("weight") * F.try_divide("__px", "entry")).alias("growth"))
 
 
 def rebalance_costs(bars: DataFrame, targets: DataFrame, commission: float = COMMISSION,
@@ -82,10 +85,10 @@ def rebalance_costs(bars: DataFrame, targets: DataFrame, commission: float = COM
         _held(bars, targets), ["start", "ticker"], ["date"], {"__px": F.col("close")})
     periods = _periods(targets).where(F.col("until").isNotNull())
     worth = held.join(F.broadcast(periods.withColumnRenamed("until", "date")), ["start", "date"]).select(
-        "start", "date", "ticker", (F.col("weight") * F.col("__px") / F.col("entry")).alias("v"))
+        "start", "date", "ticker", (F.col("weight") * F.try_divide("__px", "entry")).alias("v"))
     total = worth.groupBy("date").agg(F.sum("v").alias("total"))
     drifted = worth.join(total, "date").select(
-        "date", "ticker", (F.col("v") / F.col("total")).alias("old"))
+        "date", "ticker", F.try_divide("v", "total").alias("old"))
     moved = targets.join(drifted, ["date", "ticker"], "full")
     turnover = F.sum(F.abs(F.coalesce("weight", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))
     return moved.groupBy("date").agg(turnover.alias("turnover")).withColumn(
@@ -131,7 +134,7 @@ def performance_summary(values: DataFrame, by: str = "strategy", rf: float = 0.0
         F.max_by("total_value", "date").alias("last_value"),
         F.count(F.lit(1)).alias("days"))
     falls = timeblocks.drawdown_by(values, [by], "date", "total_value").select(by, "max_drawdown")
-    total = F.col("last_value") / F.col("first_value") - 1
+    total = F.try_divide("last_value", "first_value") - 1
     yearly = F.pow(1 + total, F.lit(float(days_per_year)) / F.col("n")) - 1
     ratio = F.when(F.col("s") > 0, (F.col("m") - rf / 252) / F.col("s") * YEAR_ROOT)
     return (

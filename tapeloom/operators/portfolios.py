@@ -205,13 +205,14 @@ def run_strategies(df: DataFrame, bench: DataFrame, econ: DataFrame,
     return out
 
 
+def strategy_parts(weights: DataFrame, returns: DataFrame) -> DataFrame:
+    """(date, strategy, ticker, part): what each holding adds to the return of a day."""
+    held = weights.select("strategy", "ticker", "weight")
+    return returns.select("ticker", "date", risk.fraction().alias("r")).join(held, "ticker").select(
+        "date", "strategy", "ticker", (F.col("weight") * F.col("r")).alias("part"))
+
+
 def strategy_pnl(weights: DataFrame, returns: DataFrame) -> DataFrame:
     """(date, strategy, daily_return, holdings): weighted return of each day given."""
-    held = weights.select("strategy", "ticker", "weight")
-    return (
-        returns.select("ticker", "date", risk.fraction().alias("r"))
-        .join(held, "ticker")
-        .groupBy("date", "strategy")
-        .agg(F.sum(F.col("weight") * F.col("r")).alias("daily_return"),
-             F.count(F.lit(1)).alias("holdings"))
-    )
+    return strategy_parts(weights, returns).groupBy("date", "strategy").agg(
+        F.sum("part").alias("daily_return"), F.count(F.lit(1)).alias("holdings"))

@@ -130,10 +130,17 @@ def _issue(df: DataFrame, name: str, severity: str) -> DataFrame:
     )
 
 
+def _no_issue(df: DataFrame) -> DataFrame:
+    return df.sparkSession.createDataFrame(
+        [], "severity string, issue string, column string, invalid_count bigint, examples array<double>")
+
+
 def range_violations(
     df: DataFrame, rules: Mapping[str, tuple[float, float]] = VALID_RANGES
 ) -> DataFrame:
     cols = [c for c in rules if c in df.columns]
+    if not cols:
+        return _no_issue(df)
     bound = lambda i: reduce(
         lambda acc, c: acc.when(F.col("column") == c, F.lit(float(rules[c][i]))), cols[1:],
         F.when(F.col("column") == cols[0], F.lit(float(rules[cols[0]][i]))))
@@ -148,6 +155,8 @@ def sign_violations(
     """Wrong-signed values; strict also rejects zero where a positive is due."""
     low = [c for c in non_negative if c in df.columns]
     high = [c for c in non_positive if c in df.columns]
+    if not low and not high:
+        return _no_issue(df)
     v, c = F.col("value"), F.col("column")
     below = (v <= 0) if strict else (v < 0)
     bad = _long(df, [*low, *high]).where(
@@ -162,6 +171,8 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def nan_inf_violations(df: DataFrame) -> DataFrame:
     """Missing values (warning) and infinities (error) per numeric column."""
     cols = numeric_columns(df)
+    if not cols:
+        return _no_issue(df)
     x = {c: F.col(c).cast("double") for c in cols}
     one = df.agg(
         *[F.count_if(x[c].isNull() | F.isnan(x[c])).alias(f"{c}|nan") for c in cols],

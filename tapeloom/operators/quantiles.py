@@ -17,9 +17,10 @@ BINS_PER_OCTAVE = 64
 
 
 def _bin(v: Column) -> Column:
-    """A bin number that rises with the value: sign, then logarithm of the magnitude."""
+    """A bin number that rises with the value: sign, then logarithm of the magnitude; infinities have bins of their own."""
     level = F.floor(F.log2(F.abs(v)) * BINS_PER_OCTAVE) + 2000 * BINS_PER_OCTAVE
-    return F.when(v == 0, F.lit(0)).otherwise((F.signum(v) * level).cast("long")).cast("long")
+    beyond = 4000 * BINS_PER_OCTAVE
+    return F.when(v == 0, F.lit(0)).when(F.abs(v) == float("inf"), (F.signum(v) * beyond).cast("long")).otherwise((F.signum(v) * level).cast("long")).cast("long")
 
 
 def quantiles(
@@ -87,7 +88,7 @@ def quantiles(
         low = F.max(F.when(mine & covers(F.col("__w.lo")), F.col("__val")))
         high = F.max(F.when(mine & covers(F.col("__w.hi")), F.col("__val")))
         share = F.max(F.when(mine, F.col("__w.pos") - F.floor("__w.pos")))
-        return low + (high - low) * share
+        return F.when(low == high, low).otherwise(low + (high - low) * share)
 
     return ranked.groupBy(*by).agg(*[interpolated(n).alias(n) for n in wanted])
 

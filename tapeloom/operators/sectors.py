@@ -106,4 +106,4 @@ def total_return_by_ticker(df: DataFrame) -> DataFrame:
     first, last = F.min_by("close", "date"), F.max_by("close", "date")
     return df.groupBy("ticker").agg(
         F.count(F.lit(1)).alias("days"), first.alias("first_close"), last.alias("last_close"),
-        ((last / first - 1) * 100).alias("total_return_pct"))
+        ((F.try_divide(last, first) - 1) * 100).alias("total_return_pct"))

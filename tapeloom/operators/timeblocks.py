@@ -21,6 +21,7 @@ hot its key. For a finer order pass a finer ``slice_by``, such as the hour.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,7 +71,9 @@ def with_carry(
         .agg(*[c.alias(n) for n, c in summary.items()])
         .select(*keys, *[c.alias(n) for n, c in carry(earlier).items()])
     )
-    out = sliced.withColumns(dict(local(w))).join(owed, keys, "left")
+    other = [f"__k{i}" for i in range(len(keys))]
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, other)])
+    out = sliced.withColumns(dict(local(w))).join(owed.withColumnsRenamed(dict(zip(keys, other))), same, "left")
     return out.select(*df.columns, *[c.alias(n) for n, c in combine.items()])
 
 
@@ -158,7 +161,7 @@ def drawdown_by(
     inside = df.where(F.col(value).isNotNull()).select(
         *by, cut.alias(SLICE), order, F.col(value).alias("__v")
     )
-    inside = inside.withColumn("__fall", F.col("__v") / F.max("__v").over(_so_far(w)) - 1)
+    inside = inside.withColumn("__fall", F.try_divide("__v", F.max("__v").over(_so_far(w))) - 1)
     slices = inside.groupBy(*keys).agg(
         F.min("__fall").alias("__fall"),
         F.min("__v").alias("__low"),
@@ -169,7 +172,7 @@ def drawdown_by(
         Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     )
     across = slices.withColumn("__peak", F.max("__high").over(earlier))
-    fall = F.least(F.col("__fall"), F.col("__low") / F.col("__peak") - 1)
+    fall = F.least(F.col("__fall"), F.try_divide("__low", "__peak") - 1)
     return across.groupBy(*by).agg(
         F.min(fall).alias("max_drawdown"), F.sum("__n").alias("drawdown_rows")
     )

@@ -168,7 +168,7 @@ def news(spark, sf) -> DataFrame:
         .select(
             id_.cast("string").alias("news_id"),
             F.concat(
-                F.lit("$"), F.upper("lang"), F.lit(" and CEO of AAPL: "), F.substring("text", 1, 60)
+                F.lit("$"), F.upper("lang"), F.lit(" and CEO of AAPL: "), F.substring_index("text", "\n", 1)
             ).alias("title"),
             F.col("text").alias("content"),
             F.date_add(F.lit("1995-01-02").cast("date"), (id_ % 2000).cast("int"))
@@ -270,7 +270,7 @@ SQL = {
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "news": """
   SELECT CAST(doc_id AS VARCHAR) AS news_id,
-         '$' || upper(lang) || ' and CEO of AAPL: ' || substring(text, 1, 60) AS title,
+         '$' || upper(lang) || ' and CEO of AAPL: ' || split_part(text, chr(10), 1) AS title,
          text AS content,
          CAST(DATE '1995-01-02' + CAST(doc_id % 2000 AS INTEGER) AS TIMESTAMP) AS published_at,
          CASE WHEN doc_id % 2 = 0 THEN '["S' || (doc_id % 10) || '", "S' || ((doc_id * 7 + 3) % 10) || '"]'

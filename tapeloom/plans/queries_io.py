@@ -145,12 +145,12 @@ def _payload(df, value):
 
 
 @query("source_news_archive", "S12", """
-  SELECT 'n' || news_id AS news_id, title, content AS summary, left(content, 5) AS content, published_at,
+  SELECT 'n' || news_id AS news_id, title, content AS summary, content, published_at,
          '["S' || (CAST(news_id AS INT) % 10) || '"]' AS keywords FROM news""")
 def _(spark, sf):
     doc = F.struct(
         F.concat(F.lit("n"), "news_id").alias("_id"), F.struct(F.col("title").alias("main")).alias("headline"),
-        F.col("content").alias("abstract"), F.substring("content", 1, 5).alias("lead_paragraph"),
+        F.col("content").alias("abstract"), F.col("content").alias("lead_paragraph"),
         F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss+0000").alias("pub_date"),
         F.array(F.struct(F.concat(F.lit("S"), (F.col("news_id").cast("int") % 10).cast("string")).alias("value"))).alias("keywords"))
     p = _payload(fx.news(spark, sf), F.struct(F.array(doc).alias("docs")))
@@ -395,17 +395,11 @@ def _(spark, sf):
 def _(spark, sf):
     pub = sinks.Publisher(spark, folder(spark, "layers"))
 
-    def silver_step(batch, batch_id):
-        made = live.stream_bars(batch)
-        kept = sinks.upsert_by_key(pub.load_published("silver", BAR_SCHEMA), made, ["bar_start", "ticker"])
-        pub.publish("silver", kept)
-        return pub.load_published("silver", BAR_SCHEMA)
-
     def gold_step(bars, batch_id):
         pub.publish("gold", bars.groupBy("ticker").agg(
             F.count(F.lit(1)).alias("bars"), F.max("close").alias("high_close")))
 
-    live.for_each_batch(tick_stream(spark, sf), refresh.layered(silver_step, gold_step),
+    live.for_each_batch(tick_stream(spark, sf), refresh.layered(refresh.bars_step(pub, folder(spark, "layers-bronze")), gold_step),
                         folder(spark, "checkpoint")).awaitTermination()
     return pub.load_published("gold", "ticker string, bars bigint, high_close double")
 

@@ -99,13 +99,19 @@ def canonicalize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns]).withColumnsRenamed({"symbol": "ticker"})
 
 
-def coalesce_sources(sources: Sequence[tuple[int, DataFrame]]) -> DataFrame:
-    """One row per ticker and date: from the source of lowest priority number."""
+def coalesce_sources(sources: Sequence[tuple[int, DataFrame]], newest_first: Column | None = None) -> DataFrame:
+    """One row per ticker and date: from the source of lowest priority number.
+
+    Of several rows in one source the one with the largest ``newest_first``
+    stays; without it, or at a tie, the one whose other columns hash lowest.
+    """
     out = None
     for prio, df in sources:
         df = df.withColumn("__prio", F.lit(prio))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    w = Window.partitionBy("ticker", "date").orderBy("__prio")
+    last = F.xxhash64(*[c for c in out.columns if c != "__prio"])
+    newest = [newest_first.desc_nulls_last()] if newest_first is not None else []
+    w = Window.partitionBy("ticker", "date").orderBy("__prio", *newest, last)
     return out.withColumn("__rk", F.row_number().over(w)).where("__rk = 1").drop("__rk", "__prio")
 
 

@@ -1,13 +1,19 @@
-"""Versioned tables: a ``snapshot_version=`` partition per write and a manifest row."""
+"""Versioned tables: a folder of its own for every write, and a manifest row that names it.
+
+A write that fails leaves a folder that no row names. The row of a version is
+written once, so that the second of two writers of one version is refused.
+"""
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-VERSION = "snapshot_version"
 MANIFEST = (
-    "version bigint, operation string, rows bigint, columns array<string>, written_at timestamp"
+    "version bigint, operation string, rows bigint, columns array<string>, written_at timestamp, folder string"
 )
 
 
@@ -33,7 +39,7 @@ def snapshot_history(spark: SparkSession, path: str, last: int | None = None) ->
     """Manifest rows, newest first."""
     if not is_snapshot(spark, path):
         return spark.createDataFrame([], MANIFEST)
-    log = spark.read.schema(MANIFEST).parquet(_manifest(path)).orderBy(F.desc("version"))
+    log = spark.read.schema(MANIFEST).parquet(_manifest(path)).drop("of").orderBy(F.desc("version"))
     return log.limit(last) if last else log
 
 
@@ -64,17 +70,21 @@ def write_snapshot(df: DataFrame, path: str, mode: str = "overwrite", keep_histo
     newest = current_version(spark, path) if is_snapshot(spark, path) else None
     fresh = mode == "overwrite" and not keep_history
     version = 0 if newest is None or fresh else newest + 1
-    target = f"{_data(path)}/{VERSION}={version}"
-    writer = df.write.mode("overwrite")
+    target = f"{_data(path)}/{version}-{uuid.uuid4().hex}"
+    writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(target)
-    written = spark.read.parquet(target)
+    written = spark.read.schema(df.schema).parquet(target)
     row = written.agg(F.count(F.lit(1)).alias("rows")).select(
         F.lit(version).cast("long").alias("version"), F.lit(mode).alias("operation"), "rows",
         F.array(*[F.lit(c) for c in df.columns]).alias("columns"),
-        F.current_timestamp().alias("written_at"))
-    row.coalesce(1).write.mode("overwrite" if fresh else "append").parquet(_manifest(path))
+        F.current_timestamp().alias("written_at"), F.lit(target).alias("folder")).coalesce(1)
+    if fresh:
+        row.withColumn("of", F.lit(version)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").partitionBy("of").parquet(_manifest(path))
+    else:
+        row.write.mode("errorifexists").parquet(f"{_manifest(path)}/of={version}")
     return version
 
 
@@ -84,17 +94,17 @@ def read_snapshot(spark: SparkSession, path: str, version: int | None = None,
     with the versions appended to it (up to ``version``)."""
     if not is_snapshot(spark, path):
         raise FileNotFoundError(f"no snapshot table at {path}")
-    log = [(r["version"], r["operation"]) for r in snapshot_history(spark, path).select(
-        "version", "operation").collect()]  # one row per write
-    known = {v for v, _ in log}
-    at = max(known) if version is None else version
-    if at not in known:
-        raise ValueError(f"version {at} not in {sorted(known)}")
-    if read == "latest":
-        return spark.read.parquet(f"{_data(path)}/{VERSION}={at}")
-    base = max((v for v, op in log if op == "overwrite" and v <= at), default=min(known))
-    table = spark.read.option("mergeSchema", "true").parquet(_data(path))
-    return table.where(F.col(VERSION).between(base, at)).drop(VERSION)
+    log = {r["version"]: r for r in snapshot_history(spark, path).select(
+        "version", "operation", "folder").collect()}  # one row per write
+    at = max(log) if version is None else version
+    if at not in log:
+        raise ValueError(f"version {at} not in {sorted(log)}")
+    base = at
+    if read != "latest":
+        base = max((v for v, r in log.items() if r["operation"] == "overwrite" and v <= at), default=min(log))
+    folders = [log[v]["folder"] for v in sorted(log) if base <= v <= at]
+    parts = [spark.read.parquet(f) for f in folders]  # each may have partitions of its own
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def to_snapshot(spark: SparkSession, path_in: str, path_out: str) -> int:

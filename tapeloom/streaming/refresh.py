@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.operators.clean import refresh_prices
-from tapeloom.operators.portfolios import strategy_pnl
+from tapeloom.operators.portfolios import strategy_parts
 from tapeloom.sources.sinks import Publisher, upsert_by_key
-from tapeloom.streaming.bars import stream_latest
+from tapeloom.streaming.bars import stream_bars, stream_latest
 
 
 def layered(silver: Callable[[DataFrame, int], DataFrame], gold: Callable[[DataFrame, int], None]):
@@ -27,25 +27,58 @@ def layered(silver: Callable[[DataFrame, int], DataFrame], gold: Callable[[DataF
 
 
 def refresh_step(publisher: Publisher, schema, name: str = "risk_metrics"):
-    """Overwrite the published last prices with those of the batch, stamped with
-    the time of the newest tick."""
+    """Overwrite the published last prices with newer ones of the batch, each
+    stamped with the time of its tick. Late ticks change nothing."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        live = stream_latest(batch)
         metrics = publisher.load_published(name, schema)
-        stamp = batch.agg(F.max("ts").cast("timestamp").alias("t")).scalar()
-        publisher.publish(name, refresh_prices(metrics, live, stamp))
+        publisher.publish(name, refresh_prices(metrics, stream_latest(batch)))
 
     return step
 
 
 def pnl_step(publisher: Publisher, weights: DataFrame, name: str = "performance"):
-    """Replace the P&L of the days in the batch (ticker, date, daily_return)."""
+    """P&L of days whose returns (ticker, date, daily_return) may come in several batches.
+
+    The holdings' parts are published by day, strategy and ticker, so a day sums
+    what all batches brought and a repeated batch replaces its own parts.
+    """
+    parts_schema = "date date, strategy string, ticker string, part double"
     schema = "date date, strategy string, daily_return double, holdings bigint"
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        history = publisher.load_published(name, schema)
-        day = strategy_pnl(weights, batch)
-        publisher.publish(name, upsert_by_key(history, day, ["date", "strategy"]))
+        new = strategy_parts(weights, batch)
+        publisher.publish(f"{name}_parts", upsert_by_key(
+            publisher.load_published(f"{name}_parts", parts_schema), new, ["date", "strategy", "ticker"]))
+        days = batch.select("date").distinct()
+        day = publisher.load_published(f"{name}_parts", parts_schema).join(days, "date", "left_semi").groupBy(
+            "date", "strategy").agg(F.sum("part").alias("daily_return"), F.count(F.lit(1)).alias("holdings"))
+        publisher.publish(name, upsert_by_key(publisher.load_published(name, schema), day, ["date", "strategy"]))
+
+    return step
+
+
+def bars_step(publisher: Publisher, bronze: str, name: str = "silver", width: str = "5 minutes"):
+    """Keep the batch's ticks below ``bronze`` and make the bars they touch again from all ticks.
+
+    A batch has a folder of its own, which a repetition replaces; an event that
+    came twice counts once.
+    """
+    schema = ("bar_start timestamp, bar_end timestamp, ticker string, open double, high double, low double, "
+              "close double, volume bigint")
+
+    def step(batch: DataFrame, batch_id: int) -> DataFrame:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{bronze}/batch={batch_id}")
+        window = F.window("ts", width)
+        mine = spark.read.schema(batch.schema).parquet(f"{bronze}/batch={batch_id}")
+        touched = mine.select(window.alias("w"), "ticker").distinct()
+        low, high = touched.agg(F.min("w.start"), F.max("w.end")).first()
+        ticks = spark.read.schema(batch.schema).parquet(bronze).drop("batch")
+        again = ticks.where((F.col("ts") >= low) & (F.col("ts") < high)).withColumn("w", window).join(
+            touched, ["w", "ticker"], "left_semi").drop("w")
+        made = stream_bars(again, width)
+        publisher.publish(name, upsert_by_key(publisher.load_published(name, schema), made, ["bar_start", "ticker"]))
+        return publisher.load_published(name, schema)
 
     return step
