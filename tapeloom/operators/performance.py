@@ -77,10 +77,8 @@ def period_values(bars: DataFrame, targets: DataFrame) -> DataFrame:
         F.sum(F.col("weight") * F.try_divide("__px", "entry")).alias("growth"))
 
 
-def rebalance_costs(bars: DataFrame, targets: DataFrame, commission: float = COMMISSION,
-                    slippage: float = SLIPPAGE) -> DataFrame:
-    """(date, turnover, cost): weight moved from the drifted holdings to the
-    targets of each rebalance day, as a share of the portfolio."""
+def rebalance_moves(bars: DataFrame, targets: DataFrame) -> DataFrame:
+    """(date, ticker, old, new): drifted and target weight of every holding on each rebalance day."""
     held = timeblocks.last_known(
         _held(bars, targets), ["start", "ticker"], ["date"], {"__px": F.col("close")})
     periods = _periods(targets).where(F.col("until").isNotNull())
@@ -89,12 +87,36 @@ def rebalance_costs(bars: DataFrame, targets: DataFrame, commission: float = COM
     total = worth.groupBy("date").agg(F.sum("v").alias("total"))
     drifted = worth.join(total, "date").select(
         "date", "ticker", F.try_divide("v", "total").alias("old"))
-    moved = targets.join(drifted, ["date", "ticker"], "full")
-    turnover = F.sum(F.abs(F.coalesce("weight", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))
-    return moved.groupBy("date").agg(turnover.alias("turnover")).withColumn(
+    return targets.join(drifted, ["date", "ticker"], "full").select(
+        "date", "ticker", F.coalesce("old", F.lit(0.0)).alias("old"), F.coalesce("weight", F.lit(0.0)).alias("new"))
+
+
+def rebalance_costs(bars: DataFrame, targets: DataFrame, commission: float = COMMISSION,
+                    slippage: float = SLIPPAGE) -> DataFrame:
+    """(date, turnover, cost): weight moved from the drifted holdings to the
+    targets of each rebalance day, as a share of the portfolio."""
+    return rebalance_moves(bars, targets).groupBy("date").agg(
+        F.sum(F.abs(F.col("new") - F.col("old"))).alias("turnover")).withColumn(
         "cost", F.col("turnover") * (commission + slippage))
 
 
+def rebalance_trades(bars: DataFrame, targets: DataFrame, values: DataFrame, commission: float = COMMISSION,
+                     slippage: float = SLIPPAGE, least: float = 1e-9) -> DataFrame:
+    """(date, ticker, side, value, commission, slippage) of every trade.
+
+    ``values`` is the portfolio's (date, total_value) after costs, from
+    ``portfolio_value``. Changes of weight up to ``least`` are rounding, no trades.
+    """
+    moves = rebalance_moves(bars, targets).withColumn("change", F.col("new") - F.col("old"))
+    share = commission + slippage
+    day = moves.groupBy("date").agg(F.sum(F.abs("change")).alias("turnover")).join(values, "date").select(
+        "date", (F.col("total_value") / (1 - F.col("turnover") * share)).alias("before"))
+    return moves.where(F.abs("change") > least).join(F.broadcast(day), "date").withColumn(
+        "value", F.abs("change") * F.col("before")).select(
+        "date", "ticker", F.when(F.col("change") > 0, "BUY").otherwise("SELL").alias("side"), "value",
+        (F.col("value") * commission).alias("commission"), (F.col("value") * slippage).alias("slippage"))
+
+
 def portfolio_value(bars: DataFrame, targets: DataFrame, capital: float = CAPITAL,
                     commission: float = COMMISSION, slippage: float = SLIPPAGE) -> DataFrame:
     """(date, total_value): growth chained over periods, costs paid at each rebalance."""

@@ -533,6 +533,13 @@ def _(spark, sf):
     return _rebalances(spark, sf)
 
 
+@query("backtest_rebalance_weeks", "B01", """
+  SELECT date FROM (SELECT date, lag(date) OVER (ORDER BY date) AS p FROM (SELECT DISTINCT date FROM stock_bars))
+  WHERE p IS NULL OR date_trunc('week', date) <> date_trunc('week', p)""")
+def _(spark, sf):
+    return performance.rebalance_dates(fx.stock_bars(spark, sf), "weekly")
+
+
 @query("backtest_equal_weight", "B02", "SELECT * FROM targets", "weight")
 def _(spark, sf):
     return performance.equal_weight_targets(fx.stock_bars(spark, sf), _rebalances(spark, sf))
@@ -553,6 +560,25 @@ def _(spark, sf):
     return performance.rebalance_costs(fx.stock_bars(spark, sf), _targets(spark, sf))
 
 
+view("moves", """
+  SELECT coalesce(t.date, d.date) AS date, coalesce(t.ticker, d.ticker) AS ticker, coalesce(t.weight, 0) - coalesce(d.old, 0) AS change
+  FROM targets t FULL JOIN (
+    SELECT date, ticker, v / sum(v) OVER (PARTITION BY date) AS old FROM held_values WHERE date = until) d
+  ON d.date = t.date AND d.ticker = t.ticker""")
+
+
+@query("backtest_trades", "B04", """
+  SELECT date, ticker, CASE WHEN change > 0 THEN 'BUY' ELSE 'SELL' END AS side, value,
+         value * 0.001::DOUBLE AS commission, value * 0.0005::DOUBLE AS slippage
+  FROM (SELECT m.date, m.ticker, m.change, abs(m.change) * v.total_value / (1 - c.cost) AS value
+        FROM moves m JOIN costs c USING (date) JOIN value_path v USING (date) WHERE abs(m.change) > 1e-9)""",
+       "value commission slippage", digits=3)
+def _(spark, sf):
+    bars, targets = fx.stock_bars(spark, sf), _targets(spark, sf)
+    values = staged_once(spark, sf, "value_path", lambda: performance.portfolio_value(bars, targets))
+    return performance.rebalance_trades(bars, targets, values)
+
+
 view("value_steps", """
   SELECT strategy, date, total_value / lag(total_value) OVER (PARTITION BY strategy ORDER BY date) - 1 AS daily_return
   FROM strategy_values""")

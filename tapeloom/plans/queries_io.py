@@ -59,7 +59,9 @@ def by_date(spark, sf):
     return _by_date[key]
 
 
-@query("source_sample_tickers", "S03")
+@query("source_sample_tickers", "S03", """
+  SELECT * FROM bars WHERE ticker IN (
+    SELECT ticker FROM (SELECT DISTINCT ticker FROM bars) ORDER BY md5(ticker || '42'), ticker LIMIT 10)""", PRICES)
 def _(spark, sf):
     return readers.sample_tickers(fx.bars(spark, sf), 10)
 

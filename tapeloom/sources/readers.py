@@ -45,9 +45,9 @@ def read_bars(spark: SparkSession, path: str, columns: Sequence[str] = (), start
 
 
 def sample_tickers(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """All rows of ``n`` tickers, picked by a seeded hash."""
+    """All rows of ``n`` tickers, the first ones by md5 of ticker and seed."""
     picked = df.select("ticker").distinct().orderBy(
-        F.xxhash64("ticker", F.lit(seed)), "ticker").limit(n)
+        F.md5(F.concat("ticker", F.lit(str(seed))).cast("binary")), "ticker").limit(n)
     return df.join(picked, "ticker", "left_semi")
 
 
