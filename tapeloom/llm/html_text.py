@@ -234,6 +234,7 @@ def main_text(pages: DataFrame, **more) -> DataFrame:
                 page_text(p, frozenset(() if f is None else f), frozenset(() if m is None else m))
                 for p, f, m in zip(page, fixed, menus)])
 
-    return rows.join(templates(rows, **more), "host", "left").select(
+    # written first: Spark then knows its size and broadcasts it or splits a frequent host in the join
+    return rows.join(stage(templates(rows, **more), "html-templates"), "host", "left").select(
         "page_id", "url", extract("html", "fixed", "menus").alias("text")).withColumn(
         "n_chars", F.length("text").cast("long"))
