@@ -62,11 +62,13 @@ def _kmers(words: Column, k: int) -> Column:
 def _numbered(kmers: Column) -> Column:
     """Packed (hash of k-mer and occurrence number, position), sorted."""
 
+    def one(x, o):
+        return _hash(F.xxhash64(_hash(x), o)).bitwiseOR(_place(x))
+
     def runs(starts):
-        ends = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(kmers)))
+        size = lambda a, r: F.coalesce(F.get(starts, r + 1), F.size(kmers)) - a
         return F.flatten(F.transform(starts, lambda a, r: F.transform(
-            F.slice(kmers, a + 1, F.get(ends, r) - a),
-            lambda x, o: _hash(F.xxhash64(_hash(x), o)).bitwiseOR(_place(x)))))
+            F.sequence(F.lit(0), size(a, r) - 1), lambda o: one(F.get(kmers, a + o), o))))
 
     return F.sort_array(let(_starts(kmers, _hash), runs))
 
