@@ -14,8 +14,10 @@ last byte of a stream, a zero, is what the writer adds as line separator.
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,13 +48,14 @@ class Encoder:
     stretches in turn. Stretches that touch other white space stay joined.
     """
 
-    def __init__(self, definition: str, at_once: int = 300_000):
+    def __init__(self, definition: str, at_once: int = 100_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallel units
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, int] = {}
-        self.starts, self.ids, self.at_once = [0], [], at_once
+        self.starts, self.ids, self.at_once = array("q", [0]), array("I"), at_once
 
     @staticmethod
     def stretches(text: str) -> list[str]:
@@ -70,15 +73,15 @@ class Encoder:
         new = list(set().union(*split).difference(self.known))
         if len(self.known) + len(new) > self.at_once:
             self.known.clear()
-            self.starts, self.ids = [0], []
+            self.starts, self.ids = array("q", [0]), array("I")
             new = list(set().union(*split))
-        for lo in range(0, len(new), 20_000):
-            part = new[lo:lo + 20_000]
+        for lo in range(0, len(new), 5_000):
+            part = new[lo:lo + 5_000]
             for stretch, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 self.known[stretch] = len(self.starts) - 1
                 self.ids.extend(e.ids)
                 self.starts.append(len(self.ids))
-        starts, ids = np.array(self.starts), np.array(self.ids, np.uint32)
+        starts, ids = np.array(self.starts, np.int64), np.array(self.ids, np.uint32)
         out = []
         for parts in split:
             at = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
@@ -106,7 +109,7 @@ def stream(ids: np.ndarray, width: int, marks: dict[str, bytes]) -> bytes:
 
 
 def open_file(source: bytes | str) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
-    """(rows of ids, rows of mask bits, doc_ids and lengths) of a file's content or of a file mapped by its path.
+    """(rows of ids, rows of mask bits, doc_ids and lengths of the documents) of a file's content or of a file mapped by its path.
 
     The ids are a view of the mapped memory.
     """
@@ -116,24 +119,25 @@ def open_file(source: bytes | str) -> tuple[np.ndarray, np.ndarray, dict[str, np
     width = batch.schema.field("ids").type.list_size
     ids = batch.column("ids").flatten().to_numpy().reshape(-1, width)
     mask = batch.column("mask").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-    documents = {k: np.frombuffer(marks[k.encode()], "<i8") for k in ("doc_ids", "lengths", "place")}
+    documents = {k: np.frombuffer(marks[k.encode()], "<i8") for k in ("doc_ids", "without_id", "lengths", "place")}
     return ids, mask, documents
 
 
 def write(docs: DataFrame, path: str, *, tokenizer: str | None = None, width: int = 2048,
-          file_ids: int = 4_000_000) -> None:
+          file_ids: int = 2_000_000) -> None:
     """Write the ids of all texts below ``path``, in files of whole documents of about ``file_ids`` ids."""
     definition = tokenizer_json(tokenizer)
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = Encoder(definition)
         kind = np.uint16 if coder.tokenizer.get_vocab_size() <= 65_536 else np.uint32
-        part, number, held, keys, size = TaskContext.get().partitionId(), 0, [], [], 0
+        part, number, held, keys, bare, size = TaskContext.get().partitionId(), 0, [], [], [], 0
 
         def file():
             marks = {
                 "place": np.array([part, number], "<i8").tobytes(),
                 "doc_ids": np.array(keys, "<i8").tobytes(),
+                "without_id": np.array(bare, "<i8").tobytes(),
                 "lengths": np.array(list(map(len, held)), "<i8").tobytes(),
             }
             return pd.DataFrame({"content": [stream(np.concatenate(held), width, marks)[:-1]]})
@@ -141,20 +145,22 @@ def write(docs: DataFrame, path: str, *, tokenizer: str | None = None, width: in
         for b in batches:
             for lo in range(0, len(b), 64):
                 some = b.iloc[lo:lo + 64]
-                for key, ids in zip(some["doc_id"], coder.encode([t.decode("utf-8", "replace") for t in some["text"]])):
+                for key, none, ids in zip(some["doc_id"], some["none"], coder.encode([t.decode("utf-8", "replace") for t in some["text"]])):
                     keys.append(key)
+                    bare.append(none)
                     held.append(ids.astype(kind))
                     size += len(ids)
                     if size >= file_ids:
                         yield file()
-                        number, held, keys, size = number + 1, [], [], 0
+                        number, held, keys, bare, size = number + 1, [], [], [], 0
         if held:
             yield file()
 
     text = bytes_of(F.col("text"))
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h")).where(
-        F.col("doc_id").isNotNull()).repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
-    ordered.select("doc_id", "text").mapInPandas(rows, "content binary").select(
+    key = F.col("doc_id").cast("long")
+    ordered = docs.select(key.alias("id"), text.alias("text"), F.xxhash64(text).alias("h")).repartitionByRange(
+        "id", "h").sortWithinPartitions("id", "h")  # nulls come first
+    ordered.select(F.coalesce("id", F.lit(0)).alias("doc_id"), F.col("id").isNull().cast("long").alias("none"), "text").mapInPandas(rows, "content binary").select(
         F.col("content").cast("string").alias("value")).write.option("lineSep", "\u0000").option(
         "maxRecordsPerFile", 1).text(path)
 
@@ -170,15 +176,15 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
                 ends = np.cumsum(marks["lengths"])
                 starts = ends - marks["lengths"]
                 yield pd.DataFrame({
-                    "part": marks["place"][0], "number": marks["place"][1], "doc_id": marks["doc_ids"],
+                    "part": marks["place"][0], "number": marks["place"][1], "doc_id": marks["doc_ids"], "none": marks["without_id"],
                     "before": starts, "n_tokens": marks["lengths"],
                     "ids_crc32": [zlib.crc32(flat[a:e].astype("<u4").tobytes()) for a, e in zip(starts, ends)],
                 })
 
     files = spark.read.format("binaryFile").load(path)
     found = files.select("content").mapInPandas(
-        rows, "part long, number long, doc_id long, before long, n_tokens long, ids_crc32 long")
-    return placed(found)
+        rows, "part long, number long, doc_id long, none long, before long, n_tokens long, ids_crc32 long")
+    return placed(found.withColumn("doc_id", F.when(F.col("none") == 0, F.col("doc_id"))).drop("none"))
 
 
 def placed(found: DataFrame) -> DataFrame:
@@ -199,9 +205,9 @@ def token_files(docs: DataFrame, path: str | None = None, **more) -> DataFrame:
     """Write all texts to ``path`` (by default a new folder in the shared one) and return what is read back.
 
     Null and empty texts have their end id alone. Repeated rows are repeated in
-    the files, in the order of a hash of their text. Rows without a key have no
-    place in the sequence and are left out. An empty table gives no row; other
-    columns, whatever their names, are ignored.
+    the files, in the order of a hash of their text. Rows without a key come
+    first, in the same order. An empty table gives no row; other columns,
+    whatever their names, are ignored.
     """
     spark = docs.sparkSession
     path = path or f"{shared_dir(spark).rstrip('/')}/token-ids-{uuid.uuid4().hex}"
