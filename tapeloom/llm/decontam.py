@@ -62,6 +62,21 @@ def pieces_of(items: list[tuple[int, bytes, bytes | None]]) -> Queries:
     return out
 
 
+def parts_of(queries: Queries, terms: int) -> Iterator[Queries]:
+    """The passages in runs of at most ``terms`` distinct words (one passage at least)."""
+    part, seen = Queries([], [], []), set()
+    for item, words, answer in zip(queries.items, queries.words, queries.answers):
+        if part.items and len(seen.union(words)) > terms:
+            yield part
+            part, seen = Queries([], [], []), set()
+        seen.update(words)
+        part.items.append(item)
+        part.words.append(words)
+        part.answers.append(answer)
+    if seen:
+        yield part
+
+
 def in_passages(places: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray, int]:
     """For words at ``places`` the passages they are in (two columns, the second -1 if none), and the number of passages."""
     count = max(1, -(-(total - PASSAGE) // STRIDE) + 1) if total else 0
@@ -103,10 +118,26 @@ def holds(words: list[str], run: list[str]) -> bool:
     return bool(run) and any(words[i:i + len(run)] == run for i, w in enumerate(words) if w == run[0])
 
 
-def _identified(texts, index: dict[str, int]) -> Iterator[tuple[list[str], np.ndarray]]:
-    for text in texts:
-        words = tidy(text)
-        yield words, np.fromiter((index.get(w, -1) for w in words), np.int64, len(words))
+class _Numbers(dict):
+    """Term numbers of words as they stand in a text; -1 for other words, -2 where only marks are left."""
+
+    def __init__(self, index: dict[str, int], at_once: int = 200_000):
+        super().__init__()
+        self.index, self.at_once = index, at_once
+
+    def __missing__(self, raw: str) -> int:
+        word = raw.strip(_MARKS)
+        number = self.index.get(word, -1) if word else -2
+        if len(self) >= self.at_once:
+            self.clear()
+        self[raw] = number
+        return number
+
+    def of(self, text: bytes) -> np.ndarray:
+        """The numbers of the words that ``tidy`` keeps."""
+        words = text.decode("utf-8", "replace").lower().split()
+        out = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return out[out > -2]
 
 
 def idf_of(texts: DataFrame, queries: Queries, *, common: float) -> tuple[dict[str, int], np.ndarray, float]:
@@ -119,10 +150,10 @@ def idf_of(texts: DataFrame, queries: Queries, *, common: float) -> tuple[dict[s
     index = {w: i for i, w in enumerate(vocabulary)}
 
     def rows(batches):
-        found, passages = np.zeros(len(index) + 1, np.int64), 0
+        found, passages, numbers = np.zeros(len(index) + 1, np.int64), 0, _Numbers(index)
         for b in batches:
-            for _, ids in _identified(b["text"], index):
-                _, term, _, sizes = term_rows(ids, max(len(index), 1))
+            for text in b["text"]:
+                _, term, _, sizes = term_rows(numbers.of(text), max(len(index), 1))
                 found[:-1] += np.bincount(term, minlength=len(index))
                 passages += len(sizes)
         found[-1] = passages
@@ -154,13 +185,29 @@ def query_rows(queries: Queries, index: dict[str, int], weight: np.ndarray) -> n
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
 
+def _products(sums: np.ndarray, term: np.ndarray, v: np.ndarray, first: np.ndarray, size: np.ndarray, at_once: int = 1_000_000) -> None:
+    """Add x x' to ``sums`` for every passage x, given by its terms and values from ``first`` on."""
+    flat, terms = sums.ravel(), len(sums)
+    ends = np.cumsum(size * size)
+    lo = 0
+    while lo < len(first):
+        done = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, done + at_once, side="right")))
+        each = np.repeat(size[lo:hi], size[lo:hi])  # for every term of these passages the number of its partners
+        left = np.repeat(np.arange(first[lo], first[lo] + len(each)), each)
+        start = np.repeat(np.repeat(first[lo:hi], size[lo:hi]), each)
+        right = start + np.arange(len(left)) - np.repeat(np.cumsum(each) - each, each)
+        np.add.at(flat, term[left] * terms + term[right], v[left] * v[right])
+        lo = hi
+
+
 def latent(texts: DataFrame, queries: Queries, index: dict[str, int], weight: np.ndarray, *, rank: int,
            seed: int = 11) -> np.ndarray:
     """Right singular vectors (terms by ``rank``) of the TF-IDF rows of all passages, by a randomised SVD.
 
-    One pass sketches the matrix: every task sends its passages' share of
-    A'(A Omega), which grows with terms and rank only, and the sum gives the
-    singular vectors. The benchmark's rows weigh as much as all others together.
+    One pass sketches the matrix: every task adds up its passages' share of A'A
+    and sends its product with Omega, which grows with terms and rank only; the
+    sum gives the singular vectors. The benchmark's rows weigh as much as all others together.
     """
     terms = len(index)
     rank = max(1, min(rank, terms))
@@ -168,36 +215,21 @@ def latent(texts: DataFrame, queries: Queries, index: dict[str, int], weight: np
     idf = weight.astype(np.float32)
 
     def rows(batches):
-        sketch, energy = np.zeros(omega.shape), 0.0
+        sums, energy, numbers = np.zeros((terms, terms), np.float32), 0.0, _Numbers(index)
         for b in batches:
-            first, p, t, v = 0, [], [], []
-            for _, ids in _identified(b["text"], index):
-                passage, term, times, sizes = term_rows(ids, terms)
-                p.append(passage + first)
-                t.append(term)
-                v.append(times * idf[term])
-                first += len(sizes)
-            if not p:
-                continue
-            p, t, v = np.concatenate(p), np.concatenate(t), np.concatenate(v)
-            use = v > 0
-            p, t, v = p[use], t[use], v[use]
-            if not len(p):
-                continue
-            order = np.argsort(p, kind="stable")
-            p, t, v = p[order], t[order], v[order]
-            norm = np.sqrt(np.bincount(p, v * v))
-            v = (v / norm[p]).astype(np.float32)
-            starts = np.flatnonzero(np.append(True, np.diff(p) > 0))
-            for lo in range(0, len(starts), 4096):  # bounded blocks of passages
-                a = starts[lo]
-                e = starts[lo + 4096] if lo + 4096 < len(starts) else len(p)
-                y = np.add.reduceat(omega[t[a:e]] * v[a:e, None], starts[lo:lo + 4096] - a, axis=0)
-                back = y[np.searchsorted(starts[lo:lo + 4096], np.arange(a, e), side="right") - 1] * v[a:e, None]
-                by = np.argsort(t[a:e], kind="stable")
-                cut = np.flatnonzero(np.append(True, np.diff(t[a:e][by]) > 0))
-                sketch[t[a:e][by][cut]] += np.add.reduceat(back[by], cut, axis=0)
-            energy += len(starts)
+            for text in b["text"]:
+                passage, term, times, _ = term_rows(numbers.of(text), terms)
+                v = times * idf[term]
+                use = v > 0
+                passage, term, v = passage[use], term[use], v[use]
+                if not len(v):
+                    continue
+                first = np.flatnonzero(np.append(True, np.diff(passage) > 0))
+                energy += len(first)
+                size = np.diff(np.append(first, len(v)))
+                v = v / np.repeat(np.sqrt(np.add.reduceat(v * v, first)), size)
+                _products(sums, term, v.astype(np.float32), first, size)
+        sketch = (sums @ omega).astype(float)
         used = np.flatnonzero(sketch.any(axis=1))
         yield pd.DataFrame({"term": np.append(used, -1), "row": [*sketch[used], np.array([energy])]})
 
@@ -228,10 +260,14 @@ def search(docs: DataFrame, queries: Queries, index: dict[str, int], weight: np.
     close = basis @ own.T  # terms by benchmark passages: what a term adds to the latent product
     idf = weight.astype(np.float32)
 
+    reach = np.abs(close).max(axis=1, initial=0.0)  # no passage gets more from a term
+
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        numbers = _Numbers(index)
         for b in batches:
             out = []
-            for key, (words, ids) in zip(b["doc_id"], _identified(b["text"], index)):
+            for key, text in zip(b["doc_id"], b["text"]):
+                ids = numbers.of(text)
                 if not len(ids):
                     continue
                 passage, term, times, sizes = term_rows(ids, len(index))
@@ -242,6 +278,12 @@ def search(docs: DataFrame, queries: Queries, index: dict[str, int], weight: np.
                     continue
                 strange = sizes - np.bincount(np.concatenate(_both(ids >= 0, len(ids))), minlength=len(sizes))
                 norm = np.sqrt(np.bincount(passage, v * v, len(sizes)) + strange * unknown**2)
+                near = np.bincount(passage, v * reach[term], len(sizes)) >= cosine * norm * (1 - 1e-6)
+                use = near[passage]
+                passage, term, v = passage[use], term[use], v[use]
+                if not len(v):
+                    continue
+                words = tidy(text)
                 starts = np.flatnonzero(np.append(True, np.diff(passage) > 0))
                 best: dict[int, tuple] = {}
                 for lo in range(0, len(starts), 2048):
@@ -265,7 +307,13 @@ def search(docs: DataFrame, queries: Queries, index: dict[str, int], weight: np.
                 out += [(key, item, c, s, a) for item, (s, c, a) in best.items()]
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "cosine", "covered", "answered"])
 
-    found = docs.mapInPandas(rows, "doc_id long, item_id long, cosine double, covered double, answered boolean")
+    # the key travels as text: pandas would make a float of a long that may be null
+    found = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(
+        rows, "doc_id string, item_id long, cosine double, covered double, answered boolean")
+    return _best(found.withColumn("doc_id", F.col("doc_id").cast("long")))
+
+
+def _best(found: DataFrame) -> DataFrame:
     return found.groupBy("doc_id", "item_id").agg(F.max(F.struct("covered", "cosine", "answered")).alias("x")).select(
         "doc_id", "item_id", "x.cosine", "x.covered", "x.answered")
 
@@ -277,11 +325,12 @@ def _both(known: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, answer: str | None = None, rank: int = 256,
                  cosine: float = 0.2, covered: float = 0.7, partly: float = 0.5, common: float = 0.1,
-                 block: int = 1_000) -> DataFrame:
+                 block: int = 200, terms: int = 5_000) -> DataFrame:
     """A row for each document and benchmark item of which it holds a passage.
 
     ``answer`` names a column of ``benchmark`` with the items' answers. Items
-    are taken ``block`` at a time in the order of their ids. Null and empty
+    are taken ``block`` at a time in the order of their ids, and of these as many as
+    have ``terms`` distinct words; tasks hold a matrix of these terms (100 MB). Null and empty
     documents and items match nothing; rows without a doc_id are reported with a
     null one. Repeated rows of a document or item give one row. Without
     documents, items or hits there is none. Other columns are ignored.
@@ -301,7 +350,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, answer: str | None =
             after = some[-1]["item_id"]
             some = [r for r in some if r["item_id"] != after] + left.where(F.col("item_id") == after).collect()
         queries = pieces_of([(r["item_id"], bytes(r["text"]), None if r["answer"] is None else bytes(r["answer"])) for r in some])
-        if queries.words:
+        for queries in parts_of(queries, terms):
             index, weight, unknown = idf_of(texts.select("text"), queries, common=common)
             basis = latent(texts.select("text"), queries, index, weight, rank=rank)
             found = stage(search(texts, queries, index, weight, unknown, basis, cosine=cosine, covered=covered, partly=partly),
@@ -311,4 +360,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, answer: str | None =
             break
     if out is None:
         return spark.createDataFrame([], "doc_id long, item_id long, cosine double, covered double, answered boolean")
-    return out
+    return _best(out)
