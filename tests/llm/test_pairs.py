@@ -60,7 +60,7 @@ def chains(spark):
     return rows
 
 
-@pytest.mark.parametrize("full", [1_000, 1])
+@pytest.mark.parametrize("full", [5_000, 1])
 def test_components(spark, chains, full):
     df = spark.createDataFrame(chains, "doc_id long, text string")
     assert result(near_dups.near_duplicates(df, shingle=4, full=full)) == linked(chains, 4, 80)
@@ -107,7 +107,7 @@ def test_contamination(spark, edges, nothing):
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS item_id", "2 AS covered")
     got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(df, items).collect()}
     assert got == {(1, 1), (2, 1), (None, 1), (4, 5)}
-    blocks = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(df.union(df), items.union(items), block=2).collect()}
+    blocks = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(df.union(df), items.union(items), block=2, terms=5).collect()}
     assert blocks == got
     paraphrase = [(1, "when the old king left his quiet town he gave all gold to a boy. the boy was Ludo")]
     text = "long ago the old king left the town and gave much gold to a young boy and the boy was Ludo they say"
