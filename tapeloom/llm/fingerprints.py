@@ -137,20 +137,23 @@ def fingerprints(docs: DataFrame, k: int = KMER) -> DataFrame:
     wordless texts have an empty fingerprint. Repeated rows get a row each; an
     empty table gives none; other columns, whatever their names, are ignored.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).repartition("doc_id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    placed = texts.where(F.col("doc_id").isNotNull())
     ids = docs.select(F.col("doc_id").cast("long").alias("id")).where(F.col("id").isNotNull()).distinct()
     edge = ids.agg(F.min("id")).first()[0]
     first = F.lit(edge).cast("long")
     after = following(ids).select(F.col("id").alias("doc_id"), F.coalesce("next_id", first).alias("next_id"))
-    donors = texts.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("next_id")).agg(
-        F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("d"))
-    wanted = texts.select("doc_id", F.length("text").alias("n")).distinct().join(after, "doc_id", "left").withColumn(
-        "next_id", F.coalesce("next_id", first))
-    heads = wanted.join(donors, "next_id", "left").select(
-        F.col("doc_id").alias("to"), F.col("n").alias("of"), "next_id",
-        F.expr("left(coalesce(d.text, ''), n div 2)").alias("head"))
-    joined = texts.withColumn("n", F.length("text")).join(
-        heads, F.col("doc_id").eqNullSafe(F.col("to")) & (F.col("n") == F.col("of")))
+    wanted = texts.select("doc_id", F.length("text").alias("n")).distinct().join(after, "doc_id", "left").select(
+        F.col("doc_id").alias("to"), F.col("n").alias("of"), F.coalesce("next_id", first).alias("next_id"))
+    # texts meet both who wants their head and the head they want under their doc_id: they are dealt once
+    heads = placed.join(wanted.where(F.col("next_id").isNotNull()), F.col("doc_id") == F.col("next_id")).groupBy("to", "of", "next_id").agg(
+        F.min(F.struct(F.xxhash64("text").alias("h"), F.expr("left(text, of div 2)").alias("head"))).alias("d")).select(
+        "to", "of", "next_id", "d.head")
+    joined = placed.join(heads.where(F.col("to").isNotNull()), (F.col("doc_id") == F.col("to")) & (F.length("text") - F.col("of") == 0))
+    bare = texts.where(F.col("doc_id").isNull()).join(wanted.where(F.col("to").isNull()).select("of").distinct().join(
+        heads.where(F.col("to").isNull()), "of", "left").select(
+        "to", "of", "next_id", F.coalesce("head", F.lit("")).alias("head")), F.length("text") == F.col("of"))
+    joined = joined.union(bare).withColumn("n", F.col("of"))
     edited = F.concat(F.expr("left(text, n - n div 2)"), F.col("head"))
     done = stage(
         joined.select("doc_id", "next_id", "n", "text", edited.alias("edited")).select(
