@@ -58,7 +58,7 @@ def learn(docs: DataFrame, training: Column, *, per_language: int = 2_000, round
         for b in batches:
             for lang, text in zip(b["lang"], b["text"]):
                 found.setdefault(lang, Counter()).update(letter_words(text))
-        for lang, c in found.items():
+        for lang, c in ((lang, c) for lang, c in found.items() if c):
             yield pd.DataFrame({"lang": lang, "word": list(c.keys()), "n": list(c.values())})
 
     words = stage(sample.select("lang", "text").mapInPandas(tally, "lang string, word string, n long").groupBy(
@@ -90,10 +90,10 @@ def learn(docs: DataFrame, training: Column, *, per_language: int = 2_000, round
 
 
 def predict(text: Column, model: Languages) -> Column:
-    """(lang, score): the likeliest language of a text and its posterior; ``und`` with 0 where there is no letter."""
+    """The posterior and the name of a text's likeliest language, with a space between; 0 and ``und`` where there is no letter."""
 
-    @F.pandas_udf("lang string, score double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         cut, known = Lattice(model.pieces), {}
         for texts in batches:
             split = [letter_words(t) for t in texts]
@@ -118,7 +118,7 @@ def predict(text: Column, model: Languages) -> Column:
                 best = int(np.argmax(total))
                 langs.append(model.names[best])
                 scores.append(float(1 / np.exp(total - total[best]).sum()))
-            yield pd.DataFrame({"lang": langs, "score": scores})
+            yield pd.Series([f"{s!r} {name}" for name, s in zip(langs, scores)], dtype=object)
 
     return run(bytes_of(text))
 
@@ -136,4 +136,5 @@ def languages(docs: DataFrame, *, folds: int = 3, held: int = 1, **more) -> Data
     out = (part == held) | (part < 0)
     found = predict(F.col("text"), learn(docs, ~out, **more))
     return docs.select("doc_id", out.alias("held_out"), found.alias("found")).select(
-        "doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
+        "doc_id", "held_out", F.expr("substring(found, instr(found, ' ') + 1)").alias("lang_pred"),
+        F.substring_index("found", " ", 1).cast("double").alias("score"))
