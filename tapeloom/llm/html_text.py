@@ -207,13 +207,14 @@ def templates(pages: DataFrame, *, least: int = 10, share: float = 0.5, links: f
 
 
 def page_text(page: str, fixed: frozenset[int] = frozenset(), menus: frozenset[int] = frozenset()) -> str:
-    """Blocks of a page's article joined by an empty line; without an article those outside the template's fixed parts."""
+    """Slots of a page's article joined by an empty line; without an article those of the whole page.
+
+    Slots are the blocks that are neither among the template's ``fixed`` ones nor
+    under its ``menus``; the names of what surrounds an article are looked at besides.
+    """
     parts = [b for b in blocks(page)[0] if not b.outside]
-    if any(b.article for b in parts):
-        chosen = [b for b in parts if b.article]
-    else:
-        chosen = [b for b in parts if _key(b.path, b.text) not in fixed and _key(b.path) not in menus]
-    return "\n\n".join(b.text for b in chosen)
+    inside = [b for b in parts if b.article]
+    return "\n\n".join(b.text for b in inside or parts if _key(b.path, b.text) not in fixed and _key(b.path) not in menus)
 
 
 def main_text(pages: DataFrame, **more) -> DataFrame:

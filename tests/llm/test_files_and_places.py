@@ -112,3 +112,16 @@ def test_template_of_a_host(spark):
     assert got[100] == "alone" and got[101] == "" and got[102] == "" and got[103] == "no url"
     assert html_text.main_text(df.limit(0)).collect() == []
     assert html_text.main_text(df.union(df)).count() == 2 * len(pages)
+
+
+def test_template_inside_articles(spark):
+    pages = [(i, f"https://h.example/{i}", f"<html><body><article><h1>Story {i}</h1><div class='x1'>Tell your friends</div><p>Told of "
+              f"{i * 7} things</p>{"<div class='x3'>Read on</div>" if i % 3 else '<p>The end</p>'}<div class='x2'><a href='/{i}'>Next {i}</a></div></article></body></html>")
+             for i in range(30)]
+    pages += [(100 + i, f"https://few.example/{i}", f"<article><p>Said twice</p><p>Only {i}</p></article>") for i in range(4)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(df).collect()}
+    assert got[4] == "Story 4\n\nTold of 28 things"
+    assert got[3] == "Story 3\n\nTold of 21 things\n\nThe end"
+    assert got[101] == "Said twice\n\nOnly 1"
+    assert html_text.page_text(pages[4][2]) == "Story 4\n\nTell your friends\n\nTold of 28 things\n\nRead on\n\nNext 4"
