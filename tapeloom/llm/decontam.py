@@ -2,10 +2,11 @@
 
 Documents are cut into overlapping passages, weighted by TF-IDF over the terms
 of the benchmark. A randomised SVD of all passages, corpus and benchmark,
-spans the latent space; passages near a benchmark passage by cosine are
-candidates, and a candidate is a hit when its longest common subsequence with
-the benchmark passage covers enough of it, or less of it together with the
-passage's answer.
+spans the latent space; passages near a benchmark passage are candidates: what
+their terms add to the latent product with it, measured by the product of a
+copy, so that words beside a copy never make it less. A candidate is a hit when
+its longest common subsequence with the benchmark passage covers enough of it,
+or less of it together with the passage's answer.
 
 The benchmark is a stated query set and is taken in blocks; each block's terms
 and passages are bounded, so what travels to the tasks is too.
@@ -140,8 +141,8 @@ class _Numbers(dict):
         return out[out > -2]
 
 
-def idf_of(texts: DataFrame, queries: Queries, *, common: float) -> tuple[dict[str, int], np.ndarray, float]:
-    """(term numbers, their weights, the weight of a word outside the benchmark) from all passages of ``texts``.
+def idf_of(texts: DataFrame, queries: Queries, *, common: float) -> tuple[dict[str, int], np.ndarray]:
+    """(term numbers, their weights) from all passages of ``texts``.
 
     Terms in more than a share ``common`` of the passages weigh nothing, unless
     they are in the rarer half of a benchmark passage's terms.
@@ -173,16 +174,34 @@ def idf_of(texts: DataFrame, queries: Queries, *, common: float) -> tuple[dict[s
         own_terms = np.array(sorted({index[w] for w in words}), int)
         needed[own_terms[np.argsort(df[own_terms], kind="stable")][:(len(own_terms) + 1) // 2]] = True
     weight[(df > common * passages) & ~needed] = 0.0
-    return index, weight, float(np.log1p(passages / 1.5))
+    return index, weight
 
 
 def query_rows(queries: Queries, index: dict[str, int], weight: np.ndarray) -> np.ndarray:
-    """TF-IDF of the benchmark passages, one normalised row each."""
+    """TF-IDF of the benchmark passages with damped counts, one row each."""
     out = np.zeros((len(queries.words), len(index)))
     for k, words in enumerate(queries.words):
         for w, n in Counter(words).items():
-            out[k, index[w]] = n * weight[index[w]]
-    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+            out[k, index[w]] = damped(n) * weight[index[w]]
+    return out
+
+
+def damped(times: np.ndarray) -> np.ndarray:
+    return 1.0 + np.log(times)
+
+
+def gate_of(queries: Queries, index: dict[str, int], weight: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """(terms by benchmark passages) what a term adds to the likeness of a text and a benchmark passage.
+
+    The latent product of a text and a benchmark passage, divided by that of the
+    passage with itself; no term takes anything away. So a text that holds all
+    words of the passage has 1 or more, whatever else it holds and however large
+    the corpus is.
+    """
+    own = query_rows(queries, index, weight)
+    close = basis @ (own @ basis).T
+    whole = np.einsum("qt,tq->q", own, close)
+    return np.maximum(close / np.maximum(whole, 1e-9), 0.0).astype(np.float32)
 
 
 def _products(sums: np.ndarray, term: np.ndarray, v: np.ndarray, first: np.ndarray, size: np.ndarray, at_once: int = 1_000_000) -> None:
@@ -219,7 +238,7 @@ def latent(texts: DataFrame, queries: Queries, index: dict[str, int], weight: np
         for b in batches:
             for text in b["text"]:
                 passage, term, times, _ = term_rows(numbers.of(text), terms)
-                v = times * idf[term]
+                v = damped(times) * idf[term]
                 use = v > 0
                 passage, term, v = passage[use], term[use], v[use]
                 if not len(v):
@@ -243,6 +262,7 @@ def latent(texts: DataFrame, queries: Queries, index: dict[str, int], weight: np
         else:
             sketch[r["term"]] = r["row"]
     own = query_rows(queries, index, weight)
+    own /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-12)
     sketch += max(energy, 1.0) / max(len(own), 1) * (own.T @ (own @ omega))
     # Nystroem: A'A is about S (omega' S)^+ S', whose eigenvectors are the right singular vectors
     core = omega.T @ sketch
@@ -252,15 +272,15 @@ def latent(texts: DataFrame, queries: Queries, index: dict[str, int], weight: np
     return left[:, :rank].astype(np.float32)
 
 
-def search(docs: DataFrame, queries: Queries, index: dict[str, int], weight: np.ndarray, unknown: float,
-           basis: np.ndarray, *, cosine: float, covered: float, partly: float) -> DataFrame:
+def search(docs: DataFrame, queries: Queries, index: dict[str, int], weight: np.ndarray, basis: np.ndarray, *,
+           cosine: float, covered: float, partly: float) -> DataFrame:
     """(doc_id, item_id, cosine, covered, answered) of the hits, the best passage of each pair."""
-    own = query_rows(queries, index, weight).astype(np.float32) @ basis
-    own /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-9)
-    close = basis @ own.T  # terms by benchmark passages: what a term adds to the latent product
+    close = gate_of(queries, index, weight, basis)
     idf = weight.astype(np.float32)
 
-    reach = np.abs(close).max(axis=1, initial=0.0)  # no passage gets more from a term
+    needs = [set(words) for words in queries.words]
+    some = max(1, 8_000_000 // (PASSAGE * max(1, len(needs))))  # passages at once: 32 MB
+    reach = close.max(axis=1, initial=0.0)  # no passage gets more from a term
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         numbers = _Numbers(index)
@@ -271,14 +291,12 @@ def search(docs: DataFrame, queries: Queries, index: dict[str, int], weight: np.
                 if not len(ids):
                     continue
                 passage, term, times, sizes = term_rows(ids, len(index))
-                v = times * idf[term]
+                v = (damped(times) * idf[term]).astype(np.float32)
                 use = v > 0
-                passage, term, times, v = passage[use], term[use], times[use], v[use]
+                passage, term, v = passage[use], term[use], v[use]
                 if not len(v):
                     continue
-                strange = sizes - np.bincount(np.concatenate(_both(ids >= 0, len(ids))), minlength=len(sizes))
-                norm = np.sqrt(np.bincount(passage, v * v, len(sizes)) + strange * unknown**2)
-                near = np.bincount(passage, v * reach[term], len(sizes)) >= cosine * norm * (1 - 1e-6)
+                near = np.bincount(passage, v * reach[term], len(sizes)) >= cosine * (1 - 1e-4)
                 use = near[passage]
                 passage, term, v = passage[use], term[use], v[use]
                 if not len(v):
@@ -286,23 +304,24 @@ def search(docs: DataFrame, queries: Queries, index: dict[str, int], weight: np.
                 words = tidy(text)
                 starts = np.flatnonzero(np.append(True, np.diff(passage) > 0))
                 best: dict[int, tuple] = {}
-                for lo in range(0, len(starts), 2048):
+                for lo in range(0, len(starts), some):
                     a = starts[lo]
-                    e = starts[lo + 2048] if lo + 2048 < len(starts) else len(passage)
-                    like = np.add.reduceat(close[term[a:e]] * v[a:e, None], starts[lo:lo + 2048] - a, axis=0)
-                    at = passage[starts[lo:lo + 2048]]
-                    like /= norm[at][:, None]
-                    for w, q in zip(*np.nonzero(like >= cosine)):
+                    e = starts[lo + some] if lo + some < len(starts) else len(passage)
+                    like = np.add.reduceat(close[term[a:e]] * v[a:e, None], starts[lo:lo + some] - a, axis=0)
+                    at = passage[starts[lo:lo + some]]
+                    for w, q in zip(*np.nonzero(like >= cosine * (1 - 1e-4))):
                         asked = queries.words[q]
                         start = max(0, int(at[w]) * STRIDE - len(asked))
                         region = words[start:int(at[w]) * STRIDE + PASSAGE + len(asked)]
+                        if sum(map(needs[q].__contains__, region)) < min(covered, partly) * len(asked):  # a bound of what they share
+                            continue
                         if len(asked) < 8:
                             share, answered = float(holds(region, asked)), False
                         else:
                             share = common_subsequence(asked, region) / len(asked)
                             answered = holds(region, queries.answers[q])
                         if share >= covered or share >= partly and answered:
-                            got = (share, float(like[w, q]), answered)
+                            got = (share, min(1.0, float(like[w, q])), answered)
                             best[queries.items[q]] = max(got, best.get(queries.items[q], got))
                 out += [(key, item, c, s, a) for item, (s, c, a) in best.items()]
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "cosine", "covered", "answered"])
@@ -318,11 +337,6 @@ def _best(found: DataFrame) -> DataFrame:
         "doc_id", "item_id", "x.cosine", "x.covered", "x.answered")
 
 
-def _both(known: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
-    last, before, _ = in_passages(np.flatnonzero(known), total)
-    return last, before[before >= 0]
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, answer: str | None = None, rank: int = 256,
                  cosine: float = 0.2, covered: float = 0.7, partly: float = 0.5, common: float = 0.1,
                  block: int = 200, terms: int = 5_000) -> DataFrame:
@@ -351,9 +365,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, answer: str | None =
             some = [r for r in some if r["item_id"] != after] + left.where(F.col("item_id") == after).collect()
         queries = pieces_of([(r["item_id"], bytes(r["text"]), None if r["answer"] is None else bytes(r["answer"])) for r in some])
         for queries in parts_of(queries, terms):
-            index, weight, unknown = idf_of(texts.select("text"), queries, common=common)
+            index, weight = idf_of(texts.select("text"), queries, common=common)
             basis = latent(texts.select("text"), queries, index, weight, rank=rank)
-            found = stage(search(texts, queries, index, weight, unknown, basis, cosine=cosine, covered=covered, partly=partly),
+            found = stage(search(texts, queries, index, weight, basis, cosine=cosine, covered=covered, partly=partly),
                           "contaminated")
             out = found if out is None else out.union(found)
         if len(some) < block:

@@ -220,3 +220,13 @@ def test_order_counts(spark):
                                "doc_id long, text string")
     got = {r["doc_id"]: r["near_next"] for r in fingerprints.fingerprints(df).collect()}
     assert got[3] > 0.8 and got[1] < 0.85 and got[2] < 0.85
+
+
+def test_copies_of_short_items_at_any_size(spark):
+    words = [f"c{j}" for j in range(15)]
+    rows = [(i, " ".join([w for j, w in enumerate(words) if (i * 7 + j * 3) % 11 == 0] + [f"x{i}y{k}" for k in range(40)])) for i in range(4_000)]
+    rows += [(9_001, " ".join(words + [f"z{k}" for k in range(49)])), (9_002, " ".join(words) + " zebra" * 49)]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, "a zebra and eight other rare words are in this one")], "item_id long, text string")
+    got = decontam.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(9_001, 1), (9_002, 1)}
+    assert all(r["cosine"] > 0.99 for r in got)
