@@ -6,7 +6,8 @@ spans the latent space; passages near a benchmark passage are candidates: what
 their terms add to the latent product with it, measured by the product of a
 copy, so that words beside a copy never make it less. A candidate is a hit when
 its longest common subsequence with the benchmark passage covers enough of it,
-or less of it together with the passage's answer.
+or less of it together with the passage's answer. Passages of a long item
+overlap, and a run without a gap as long as what is enough of one counts too.
 
 The benchmark is a stated query set and is taken in blocks; each block's terms
 and passages are bounded, so what travels to the tasks is too.
@@ -17,6 +18,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
@@ -26,15 +28,18 @@ from pyspark.sql import functions as F
 from tapeloom.llm.common import bytes_of, stage
 
 PASSAGE, STRIDE = 64, 32
+#: passages of a longer benchmark item begin so many words apart
+STEP = 16
 
 
 @dataclass(frozen=True)
 class Queries:
-    """Benchmark passages of a block: item, words, and the words of the item's answer."""
+    """Benchmark passages of a block: item, words, the words of the item's answer, and of longer items the words around too."""
 
     items: list[int]
     words: list[list[str]]
     answers: list[list[str]]
+    around: list[list[str]]
 
 
 _MARKS = ".,;:!?\"'()[]{}<>*#$%&|\u00ab\u00bb\u201c\u201d\u2018\u2019\u2026"
@@ -46,34 +51,33 @@ def tidy(text: bytes) -> list[str]:
 
 
 def pieces_of(items: list[tuple[int, bytes, bytes | None]]) -> Queries:
-    """Passages of at most ``PASSAGE`` words; the answer of an item without one is its last sentence."""
-    out = Queries([], [], [])
+    """Overlapping passages of at most ``PASSAGE`` words; the answer of an item without one is its last sentence."""
+    out = Queries([], [], [], [])
     for item, text, answer in items:
         words = tidy(text)
         if answer is None:
             answer = next((s for s in reversed(text.replace(b"?", b".").replace(b"!", b".").split(b".")) if tidy(s)), b"")
-        starts = list(range(0, len(words), PASSAGE))
-        if len(starts) > 1 and len(words) - starts[-1] < PASSAGE // 4:
-            starts.pop()
-        for k, start in enumerate(starts):
-            stop = len(words) if k + 1 == len(starts) else start + PASSAGE
+        last = max(len(words) - PASSAGE, 0)
+        for start in [*range(0, last, STEP), last] if words else []:
             out.items.append(item)
-            out.words.append(words[start:stop])
+            out.words.append(words[start:start + PASSAGE])
             out.answers.append(tidy(answer))
+            out.around.append(words[max(start - PASSAGE, 0):start + 2 * PASSAGE] if last else [])
     return out
 
 
-def parts_of(queries: Queries, terms: int) -> Iterator[Queries]:
-    """The passages in runs of at most ``terms`` distinct words (one passage at least)."""
-    part, seen = Queries([], [], []), set()
-    for item, words, answer in zip(queries.items, queries.words, queries.answers):
-        if part.items and len(seen.union(words)) > terms:
+def parts_of(queries: Queries, terms: int, passages: int = 2_000) -> Iterator[Queries]:
+    """The passages in runs of at most ``passages`` with ``terms`` distinct words (one passage at least)."""
+    part, seen = Queries([], [], [], []), set()
+    for item, words, answer, around in zip(queries.items, queries.words, queries.answers, queries.around):
+        if part.items and (len(part.items) == passages or len(seen.union(words)) > terms):
             yield part
-            part, seen = Queries([], [], []), set()
+            part, seen = Queries([], [], [], []), set()
         seen.update(words)
         part.items.append(item)
         part.words.append(words)
         part.answers.append(answer)
+        part.around.append(around)
     if seen:
         yield part
 
@@ -119,6 +123,11 @@ def holds(words: list[str], run: list[str]) -> bool:
     return bool(run) and any(words[i:i + len(run)] == run for i, w in enumerate(words) if w == run[0])
 
 
+def common_run(a: list[str], b: list[str]) -> int:
+    """Length of the longest run of words without a gap in both."""
+    return SequenceMatcher(None, a, b, autojunk=False).find_longest_match().size
+
+
 class _Numbers(dict):
     """Term numbers of words as they stand in a text; -1 for other words, -2 where only marks are left."""
 
@@ -320,6 +329,9 @@ def search(docs: DataFrame, queries: Queries, index: dict[str, int], weight: np.
                         else:
                             share = common_subsequence(asked, region) / len(asked)
                             answered = holds(region, queries.answers[q])
+                            if partly <= share < covered and queries.around[q]:  # a copy across the passage's border
+                                run = common_run(queries.around[q], region) / PASSAGE
+                                share = max(share, min(run, 1.0) if run >= covered else 0.0)
                         if share >= covered or share >= partly and answered:
                             got = (share, min(1.0, float(like[w, q])), answered)
                             best[queries.items[q]] = max(got, best.get(queries.items[q], got))

@@ -230,3 +230,16 @@ def test_copies_of_short_items_at_any_size(spark):
     got = decontam.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
     assert {(r["doc_id"], r["item_id"]) for r in got} == {(9_001, 1), (9_002, 1)}
     assert all(r["cosine"] > 0.99 for r in got)
+
+
+def test_excerpts_across_passages_of_a_long_item(spark):
+    words = [f"v{i}" for i in range(400)]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    cuts = [(start, size) for start in range(100, 164, 3) for size in (45, 52, 60, 88)]
+    rows = [(k, " ".join([f"p{k}q{i}" for i in range(k % 70)] + words[a:a + n] + [f"r{k}s{i}" for i in range(50)])) for k, (a, n) in enumerate(cuts)]
+    rows += [(1_000, " ".join(words[120:150]))]
+    got = {r["doc_id"] for r in decontam.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert got == set(range(len(cuts)))
+    assert decontam.pieces_of([(1, b"", None), (2, b"one two", None)]).words == [["one", "two"]]
+    long = decontam.pieces_of([(1, " ".join(words).encode(), None)])
+    assert set().union(*long.words) == set(words) and {len(w) for w in long.words} == {decontam.PASSAGE}
