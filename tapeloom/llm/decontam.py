@@ -349,6 +349,21 @@ def _best(found: DataFrame) -> DataFrame:
         "doc_id", "item_id", "x.cosine", "x.covered", "x.answered")
 
 
+def _blocks(items: DataFrame, block: int) -> Iterator[list]:
+    """The rows of ``items`` about ``block`` at a time: those without an id by a hash, then the others by their ids."""
+    for place, group in ((F.xxhash64("text", "answer"), F.col("item_id").isNull()), (F.col("item_id"), F.col("item_id").isNotNull())):
+        left, more = items.where(group).withColumn("at", place), True
+        while more:
+            some = left.orderBy("at").limit(block).collect()
+            more = len(some) == block
+            if more:  # rows of one item stay together
+                last = some[-1]["at"]
+                some = [r for r in some if r["at"] != last] + left.where(F.col("at") == last).collect()
+                left = left.where(F.col("at") > last)
+            if some:
+                yield some
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, answer: str | None = None, rank: int = 256,
                  cosine: float = 0.2, covered: float = 0.7, partly: float = 0.5, common: float = 0.1,
                  block: int = 200, terms: int = 5_000) -> DataFrame:
@@ -357,7 +372,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, answer: str | None =
     ``answer`` names a column of ``benchmark`` with the items' answers. Items
     are taken ``block`` at a time in the order of their ids, and of these as many as
     have ``terms`` distinct words; tasks hold a matrix of these terms (100 MB). Null and empty
-    documents and items match nothing; rows without a doc_id are reported with a
+    documents and items match nothing; rows without a doc_id or item_id are reported with a
     null one. Repeated rows of a document or item give one row. Without
     documents, items or hits there is none. Other columns are ignored.
     """
@@ -366,15 +381,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, answer: str | None =
     items = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), bytes_of(F.col("text")).alias("text"),
         (F.col(answer).cast("binary") if answer else F.lit(None).cast("binary")).alias("answer")).distinct()
-    out, after = None, None
-    while True:
-        left = items if after is None else items.where(F.col("item_id") > after)
-        some = left.orderBy("item_id").limit(block).collect()
-        if not some:
-            break
-        if len(some) == block:  # rows of one item stay together
-            after = some[-1]["item_id"]
-            some = [r for r in some if r["item_id"] != after] + left.where(F.col("item_id") == after).collect()
+    out = None
+    for some in _blocks(items, block):
         queries = pieces_of([(r["item_id"], bytes(r["text"]), None if r["answer"] is None else bytes(r["answer"])) for r in some])
         for queries in parts_of(queries, terms):
             index, weight = idf_of(texts.select("text"), queries, common=common)
@@ -382,8 +390,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, answer: str | None =
             found = stage(search(texts, queries, index, weight, basis, cosine=cosine, covered=covered, partly=partly),
                           "contaminated")
             out = found if out is None else out.union(found)
-        if len(some) < block:
-            break
     if out is None:
         return spark.createDataFrame([], "doc_id long, item_id long, cosine double, covered double, answered boolean")
     return _best(out)

@@ -243,3 +243,11 @@ def test_excerpts_across_passages_of_a_long_item(spark):
     assert decontam.pieces_of([(1, b"", None), (2, b"one two", None)]).words == [["one", "two"]]
     long = decontam.pieces_of([(1, " ".join(words).encode(), None)])
     assert set().union(*long.words) == set(words) and {len(w) for w in long.words} == {decontam.PASSAGE}
+
+
+def test_items_without_ids(spark):
+    texts = [f"item number {i} asks for alpha{i} and beta{i} or gamma{i} and delta{i}" for i in range(230)]
+    items = spark.createDataFrame([(None, t) for t in texts] + [(7, "seven old men sat by the cold sea and sang low")], "item_id long, text string")
+    docs = spark.createDataFrame([(i, texts[i]) for i in (0, 100, 229)] + [(900, "seven old men sat by the cold sea and sang low")], "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, items, block=200).collect()}
+    assert got == {(0, None), (100, None), (229, None), (900, 7)}
