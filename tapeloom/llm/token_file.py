@@ -45,7 +45,7 @@ class Encoder:
 
     The byte-level pre-tokenizer always starts a new unit at a single space
     between two other characters, so the ids of a text are those of its
-    stretches in turn. Stretches that touch other white space stay joined.
+    stretches in turn. Special tokens that a text holds have their own ids. Stretches that touch other white space stay joined.
     """
 
     def __init__(self, definition: str, at_once: int = 100_000):
@@ -53,7 +53,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
         self.known: dict[str, int] = {}
         self.starts, self.ids, self.at_once = array("q", [0]), array("I"), at_once
 

@@ -125,3 +125,13 @@ def test_template_inside_articles(spark):
     assert got[3] == "Story 3\n\nTold of 21 things\n\nThe end"
     assert got[101] == "Said twice\n\nOnly 1"
     assert html_text.page_text(pages[4][2]) == "Story 4\n\nTell your friends\n\nTold of 28 things\n\nRead on\n\nNext 4"
+
+
+def test_end_mark_in_a_text(spark):
+    default = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "a<|endoftext|>b  c", "<|endoftext|>", "x <|endoftext|>\n y"]
+    assert [x.tolist() for x in token_file.Encoder(token_file.tokenizer_json()).encode(texts)] == [
+        default.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+    assert default.token_to_id("<|endoftext|>") in default.encode(texts[0], add_special_tokens=False).ids
+    got = token_file.token_files(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r["n_tokens"] for r in got] == [len(default.encode(t, add_special_tokens=False).ids) + 1 for t in texts]
