@@ -31,28 +31,54 @@ HOMOGLYPHS = str.maketrans(
     "\u200b\u200c\u200d\u00ad\u2060",  # and invisible marks go
 )
 SUBSTITUTES = str.maketrans("0134578@$!|", "oieastbasil")
-_SUBSTITUTE = re.compile(r"(?<![^\W_])[0134578@$!|](?=[^\W\d_])|(?<=[^\W\d_])[0134578@$!|]{1,2}(?=[^\W\d_])")
 _ANY_SUBSTITUTE = re.compile(r"[0134578@$!|]")
 _TOKEN = re.compile(r"[^\W_]+")
+#: a word with the signs that stand for letters before, in and after it
+_SIGNED = re.compile(r"(?<![@$!|])([@$!|]*)((?:[^\W_][@$!|]*)*[^\W_])([@$!|]*)")
+_LETTER = re.compile(r"[^\W\d_]")
 
 
-def folded(text: bytes) -> list[str]:
-    """Folded words of a text."""
+def readings(text: bytes) -> tuple[list[str], list[tuple[int, str]]]:
+    """Folded words of a text, and other readings of some, with the word's number.
+
+    Every substitute in a word with a letter is folded. Signs at its end may be
+    marks or letters, and it may be meant as it stands, so these are read too.
+    """
     s = text.decode("utf-8", "replace").lower()
     if not s.isascii():
         s = s.translate(HOMOGLYPHS)
-    if _ANY_SUBSTITUTE.search(s):
-        s = _SUBSTITUTE.sub(lambda m: m[0].translate(SUBSTITUTES), s)
-    return _TOKEN.findall(s)
+    if not _ANY_SUBSTITUTE.search(s):
+        return _TOKEN.findall(s), []
+    words, others = [], []
+    for m in _SIGNED.finditer(s):
+        if not _ANY_SUBSTITUTE.search(m[0]):
+            words.append(m[0])
+        elif not _LETTER.search(m[0]):
+            words += _TOKEN.findall(m[0])
+        else:
+            word = (m[1] + m[2]).translate(SUBSTITUTES)
+            more = {word + m[3].translate(SUBSTITUTES), *filter(_LETTER.search, _TOKEN.findall(m[0]))} - {word}
+            others += [(len(words), w) for w in sorted(more)]
+            words.append(word)
+    return words, others
+
+
+def folded(text: bytes) -> list[str]:
+    """Folded words of a text."""
+    return readings(text)[0]
+
+
+def every_reading(text: bytes) -> list[str]:
+    words, others = readings(text)
+    return words + [w for _, w in others]
 
 
 def candidates(words: list[str]) -> set[str]:
     """Terms a text votes for: its words, ended by a space, and their beginnings."""
     out = set()
     for w in set(words):
-        if 3 <= len(w) <= 24:
-            out.add(f" {w} ")
-            out.update(f" {w[:k]}" for k in range(4, min(len(w), 8)))
+        out.add(f" {w} ")
+        out.update(f" {w[:k]}" for k in range(4, min(len(w), 8)))
     return out
 
 
@@ -98,8 +124,15 @@ def matches(text: str, found: ahocorasick.Automaton) -> list[tuple[int, float]]:
 
 def measures(text: bytes, found: ahocorasick.Automaton) -> list[float]:
     """Whether any term is hit, the summed weight, and the weight per hundred words (both as logs)."""
-    words = folded(text)
-    total = sum(w for _, w in matches(f" {' '.join(words)} ", found)) if words else 0.0
+    words, others = readings(text)
+    hits = matches(f" {' '.join(words)} ", found) if words else []
+    total = sum(w for _, w in hits)
+    if others:
+        places, held = np.cumsum([0] + [len(w) + 1 for w in words]).tolist(), dict(hits)
+        best: dict[int, float] = {}
+        for k, other in others:  # a word counts once, by its heaviest reading
+            best[k] = max(best.get(k, 0.0), *(w for _, w in matches(f" {other} ", found)), 0.0)
+        total += sum(max(0.0, w - held.get(places[k], 0.0)) for k, w in best.items())
     return [float(total > 0), float(np.log1p(total)), float(np.log1p(100.0 * total / max(len(words), 1)))]
 
 
@@ -171,7 +204,7 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, *, per_class: in
         votes = (Counter(), Counter())
         for b in batches:
             for text, label in zip(b["text"], b["label"]):
-                votes[label].update(contexts(folded(text), found) if lexicon else candidates(folded(text)))
+                votes[label].update(contexts(folded(text), found) if lexicon else candidates(every_reading(text)))
         terms = list(votes[0].keys() | votes[1].keys())
         for i in range(0, len(terms), 50_000):
             part = terms[i:i + 50_000]

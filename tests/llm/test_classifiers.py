@@ -69,3 +69,13 @@ def test_language_held_out(spark):
     got = language.languages(docs).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
     held = got[got["held_out"]]
     assert (held["lang"] == held["lang_pred"]).mean() > 0.98
+
+
+def test_substitutes_at_ends_and_in_runs():
+    assert toxicity.folded(b"sh17 wh0r3 455hole wow!! 2024 12:30") == ["shit", "whore", "asshole", "wow", "2024", "12", "30"]
+    lexicon = toxicity.Lexicon(((" ass ", 4.0), (" bitch", 3.0), (" bitches ", 5.0), (" wow ", 1.0), (" fu ", 2.0)))
+    found = toxicity.machine(lexicon)
+    totals = [float(np.expm1(toxicity.measures(t, found)[1])) for t in (b"a$$", b"b1tch3$", b"wow!!", b"455!", b"4ss", b"fu", b"!" * 200_000)]
+    assert np.allclose(totals, [4, 5, 1, 0, 4, 2, 0])
+    terms = toxicity.candidates(["fu", "x" * 30])
+    assert " fu " in terms and f" {'x' * 30} " in terms
