@@ -80,3 +80,11 @@ LABELLED = T.StructType([
     T.StructField("share", T.DoubleType()),
     T.StructField("x", T.ArrayType(T.DoubleType())),
 ])
+
+
+def in_order(df: DataFrame, key: str, *order: str) -> DataFrame:
+    """Rows of one key in one partition and in order, for a function that reads them as a stream.
+
+    Partitions sort outside memory, so a hot key takes time, not memory.
+    """
+    return df.repartition(key).sortWithinPartitions(key, *order)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import decontam, fingerprints, html_text, language, lm_score, near_dups, packing, token_file
+from tapeloom.llm import (
+    chat, conversations, decontam, divergence, fingerprints, html_text, language, lm_score, near_dups, packing, token_file)
 from tapeloom.llm import quality as quality_op
 from tapeloom.llm import toxicity as toxicity_op
 from tapeloom.llm.common import prepare, read
@@ -70,7 +71,28 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_op.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_decontam, op3_lm_score, op4_toxicity, op5_fingerprints, op6_html_text, op7_near_dups, op8_language, op9_token_file, op10_quality)}
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every damaged conversation."""
+    prepare(spark)
+    return conversations.repair(read(spark, sf_dir, "conversations"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of the sources of each language, and the terms that stand out in them."""
+    prepare(spark)
+    return divergence.divergence(read(spark, sf_dir, "documents"))
+
+
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations, read back from their formatted turns."""
+    prepare(spark)
+    return chat.conversations(read(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_packing, op2_decontam, op3_lm_score, op4_toxicity, op5_fingerprints, op6_html_text,
+    op7_near_dups, op8_language, op9_token_file, op10_quality,
+    op11_repair, op12_divergence, op13_chat)}
 
 #: words of a text, A-Z in lower case
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
@@ -102,4 +124,6 @@ def components_sql(table: str, size: int, percent: int) -> str:
 SQL: dict[str, str] = {
     "op1_packing": packing.pack_sql("documents"),
     "op7_near_dups": components_sql("documents", 4, 80),
+    "op12_divergence": divergence.DIVERGENCE_SQL,
+    "op13_chat": chat.CHAT_SQL,
 }
