@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from tapeloom.llm.common import LOWER, UPPER, stage
 
-#: a term: a run of ASCII letters and characters beyond ASCII
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: between terms, which are runs of ASCII letters and characters beyond ASCII
+BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: between a language and its term; no term holds it
 CUT = "\x00"
 LARGEST = 2**31 - 1
@@ -28,22 +28,28 @@ SCALE = 1_000_000_000
 def _documents(docs: DataFrame) -> DataFrame:
     text = F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER)
     lang = F.coalesce(F.col("lang"), F.lit(""))
-    terms = F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda t: F.concat(lang, F.lit(CUT), t))
+    terms = F.transform(F.array_remove(F.split(text, BETWEEN), ""), lambda t: F.concat(lang, F.lit(CUT), t))
     return docs.select(lang.alias("lang"), F.coalesce(F.col("source"), F.lit("")).alias("source"), terms.alias("terms"))
 
 
-def group_counts(docs: DataFrame, min_docs: int = 10, at_once: int = 1_000_000) -> DataFrame:
+def _vocabulary(read: DataFrame, min_docs: int, share: int) -> int:
+    """Size of the vocabulary at most, from the terms of one in ``share`` hashes: those that come ``min_docs`` times."""
+    some = read.select(F.explode("terms").alias("t")).where(F.pmod(F.xxhash64("t"), F.lit(share)) == 0)
+    return share * some.groupBy("t").count().where(F.col("count") >= min_docs).count()
+
+
+def group_counts(docs: DataFrame, min_docs: int = 10, at_once: int = 2_000_000) -> DataFrame:
     """(lang, source, term, n): occurrences of each kept term in each group that has it.
 
     A language keeps the terms that at least ``min_docs`` of its documents
-    hold. A vocabulary lies on the driver and in every task, so the terms are
-    dealt by hash to as many vectorisers as keep the distinct terms of each
-    near ``at_once``, kept or not; each reads the texts on its own.
+    hold. A vocabulary lies on the driver and in every task, so kept terms are
+    dealt by hash to as many vectorisers as hold ``at_once`` of them each; every
+    one reads the texts on its own. How many they are is estimated from the
+    terms of some hashes; the result does not depend on it.
     """
     spark = docs.sparkSession
     read = _documents(docs)
-    seen = read.select(F.explode("terms").alias("t")).agg(F.approx_count_distinct("t", 0.02).alias("n")).first()["n"]
-    parts = max(1, -(-seen // at_once))
+    parts = max(1, -(-_vocabulary(read, min_docs, 64 if at_once >= 10_000 else 1) // at_once))
     # a vectoriser refuses an empty vocabulary: this term is of no language
     some = spark.range(min_docs).select(F.lit("").alias("lang"), F.lit("").alias("source"), F.array(F.lit("")).alias("terms"))
     out = []
@@ -73,7 +79,7 @@ def _gap(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), p + q)
 
 
-def divergence(docs: DataFrame, min_docs: int = 10, top: int = 10, at_once: int = 1_000_000, salts: int = 16) -> DataFrame:
+def divergence(docs: DataFrame, min_docs: int = 10, top: int = 10, at_once: int = 2_000_000, salts: int = 16) -> DataFrame:
     """(lang, source, part, item, value, rank): every source against the others of its language, and its outstanding terms.
 
     Part ``pair`` ranks the other sources by their distance, summed over all

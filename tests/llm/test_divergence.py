@@ -48,7 +48,7 @@ def got(df, **more):
     return sorted(map(tuple, divergence.divergence(df, **more).collect()))
 
 
-@pytest.mark.parametrize("at_once", [1_000_000, 900])
+@pytest.mark.parametrize("at_once", [2_000_000, 300])
 def test_edges(spark, edges, at_once):
     rows = [tuple(r) for r in edges.select("doc_id", "text", "lang", "source", "n_chars").collect()]
     for least in (1, 2, 50):  # with 50 no language keeps a term
