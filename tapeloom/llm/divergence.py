@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,10 +32,29 @@ def _documents(docs: DataFrame) -> DataFrame:
     return docs.select(lang.alias("lang"), F.coalesce(F.col("source"), F.lit("")).alias("source"), terms.alias("terms"))
 
 
-def _vocabulary(read: DataFrame, min_docs: int, share: int) -> int:
-    """Size of the vocabulary at most, from the terms of one in ``share`` hashes: those that come ``min_docs`` times."""
-    some = read.select(F.explode("terms").alias("t")).where(F.pmod(F.xxhash64("t"), F.lit(share)) == 0)
-    return share * some.groupBy("t").count().where(F.col("count") >= min_docs).count()
+def _vectorisers(read: DataFrame, min_docs: int, at_once: int) -> list[tuple[DataFrame, CountVectorizerModel]]:
+    """Documents and model of each part of the terms; no part keeps more than ``at_once``.
+
+    The vocabulary size is never what limits a vocabulary: a part that keeps
+    more terms than may lie on the driver is dealt out again, by hash.
+    """
+    # a vectoriser refuses an empty vocabulary: this term is of no language
+    some = read.sparkSession.range(min_docs).select(
+        F.lit("").alias("lang"), F.lit("").alias("source"), F.array(F.lit("")).alias("terms"))
+    parts = 1
+    while True:
+        out = []
+        for part in range(parts):
+            mine = read if parts == 1 else read.withColumn(
+                "terms", F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(parts)) == part))
+            size = min(at_once + 2, LARGEST)
+            model = CountVectorizer(inputCol="terms", outputCol="v", minDF=float(min_docs), vocabSize=size).fit(mine.unionAll(some))
+            out.append((mine, model))
+            if len(model.vocabulary) == size and size < LARGEST:
+                break
+        else:
+            return out
+        parts *= 4
 
 
 def group_counts(docs: DataFrame, min_docs: int = 10, at_once: int = 2_000_000) -> DataFrame:
@@ -43,25 +62,16 @@ def group_counts(docs: DataFrame, min_docs: int = 10, at_once: int = 2_000_000)
 
     A language keeps the terms that at least ``min_docs`` of its documents
     hold. A vocabulary lies on the driver and in every task, so kept terms are
-    dealt by hash to as many vectorisers as hold ``at_once`` of them each; every
-    one reads the texts on its own. How many they are is estimated from the
-    terms of some hashes; the result does not depend on it.
+    dealt to as many vectorisers as hold ``at_once`` of them each; every one
+    reads the texts on its own.
     """
-    spark = docs.sparkSession
-    read = _documents(docs)
-    parts = max(1, -(-_vocabulary(read, min_docs, 64 if at_once >= 10_000 else 1) // at_once))
-    # a vectoriser refuses an empty vocabulary: this term is of no language
-    some = spark.range(min_docs).select(F.lit("").alias("lang"), F.lit("").alias("source"), F.array(F.lit("")).alias("terms"))
     out = []
-    for part in range(parts):
-        mine = read if parts == 1 else read.withColumn(
-            "terms", F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(parts)) == part))
-        model = CountVectorizer(inputCol="terms", outputCol="v", minDF=float(min_docs), vocabSize=LARGEST).fit(mine.unionAll(some))
-        names = spark.createDataFrame(list(enumerate(model.vocabulary)), "i int, name string")
+    for mine, model in _vectorisers(_documents(docs), min_docs, at_once):
+        names = docs.sparkSession.createDataFrame(list(enumerate(model.vocabulary)), "i int, name string")
         entries = model.transform(mine).select(
             "lang", "source", F.explode(F.arrays_zip(F.unwrap_udt("v")["indices"].alias("i"), F.unwrap_udt("v")["values"].alias("c"))).alias("e"))
         sums = entries.groupBy("lang", "source", F.col("e.i").alias("i")).agg(F.sum(F.col("e.c").cast("long")).alias("n"))
-        # at most about ``at_once`` names, see above
+        # at most ``at_once`` names and the one of no language
         out.append(sums.join(F.broadcast(names), "i").select(
             "lang", "source", F.element_at(F.split("name", CUT), -1).alias("term"), "n"))
     return reduce(DataFrame.unionAll, out)
