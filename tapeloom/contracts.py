@@ -20,6 +20,12 @@ class TableContract:
     allowed: dict[str, tuple[str, ...]] = field(default_factory=dict)
     version: str = "1.0"
 
+    def __post_init__(self):
+        for entry in self.columns:
+            if not (isinstance(entry, tuple) and len(entry) == 3 and isinstance(entry[0], str)
+                    and isinstance(entry[1], T.DataType) and isinstance(entry[2], bool)):
+                raise TypeError(f"a column is (name, type, nullable), not {entry!r}")
+
     def fields(self) -> list[tuple[str, T.DataType, bool]]:
         return list(self.columns)
 

@@ -1,22 +1,25 @@
 """Rolling features per ticker, in date order.
 
-Every feature looks a bounded number of rows back (an exponential average
-forgets: after some hundred rows the rest weighs less than the rounding of a
-double), so all are computed in one pass over row blocks, whatever the length
-of a series. A rolling value is null until its window is full.
+Rolling features look a bounded number of rows back, so all are computed in
+one pass over row blocks, whatever the length of a series. A rolling value is
+null until its window is full. An exponential average has no such bound: each
+row is an affine map of the average before it, a block of rows composes to one
+such map, and the averages that enter the blocks are joined back from a table
+with a row a block.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from tapeloom.operators import unify
-from tapeloom.operators.timeblocks import BLOCK, ROW, frame, full_frame, rolling
+from tapeloom.operators.timeblocks import BLOCK, BLOCK_ROWS, KEY, ROW, decayed_sums, frame, full_frame, rolling
 
 YEAR_ROOT = math.sqrt(252)
 SMA_PERIODS = (5, 10, 20, 50)
@@ -127,45 +130,139 @@ def target_step(horizon: int = 1, keep_last: bool = True) -> Step:
     ]
 
 
-def _ema_strides(span: int) -> list[int]:
-    """Factors whose product is the number of rows an average of this span needs."""
-    need = math.ceil(math.log(1e-17) / math.log(1 - 2 / (span + 1)))
-    factors, reach = [], 1
-    while reach < need:
-        factors.append(min(8, math.ceil(need / reach)))
-        reach *= factors[-1]
-    return factors
+@dataclass(frozen=True)
+class Averages:
+    """Exponential averages of the close, and the MACD line, signal and histogram.
 
-
-def ema_rows(*spans: int) -> int:
-    """Rows back that an average (of an average ...) of these spans needs."""
-    return sum(math.prod(_ema_strides(n)) for n in spans)
-
-
-def _ema_waves(of: Column, name: str, span: int) -> Step:
-    """Exponential average of ``of``, seeded with the first value of the series.
-
-    The weighted sum over r*m rows is that over m rows now, m rows earlier, and
-    so on, each faded; three waves of eight terms reach the 512 rows after which
-    the remaining weight of span 26 is below the rounding of a double.
+    The average starts at the first close. A missing close leaves it as it is
+    and lengthens the gap to the next one: after ``g`` rows the old average
+    weighs (1 - alpha)^g, the new close alpha, and both are divided by their sum.
     """
-    alpha, fade = 2 / (span + 1), 1 - 2 / (span + 1)
-    factors = _ema_strides(span)
-    waves, reach = [], 1
-    for i, terms in enumerate(factors):
-        src = F.when(F.col(ROW) == 1, of).otherwise(alpha * of) if i == 0 else F.col(f"__{name}_{i}")
-        out = name if i == len(factors) - 1 else f"__{name}_{i + 1}"
-
-        def wave(w, src=src, out=out, reach=reach, terms=terms):
-            total = src
-            for k in range(1, terms):
-                earlier = F.coalesce(F.lag(src, k * reach).over(w), F.lit(0.0))
-                total = total + fade ** (k * reach) * earlier
-            return {out: total}
 
-        waves.append(wave)
-        reach *= terms
-    return waves
+    periods: tuple[int, ...] = EMA_PERIODS
+    macd: tuple[int, int, int] | None = (12, 26, 9)
+
+    def __post_init__(self):
+        if any(n < 2 for n in self.all):
+            raise ValueError("the span of an average is 2 at least")
+
+    @property
+    def spans(self) -> tuple[int, ...]:
+        """Spans of the averages of closes."""
+        return tuple(dict.fromkeys([*self.periods, *(self.macd or ())[:2]]))
+
+    @property
+    def all(self) -> tuple[int, ...]:
+        return (*self.spans, *(self.macd or ())[2:])
+
+    @property
+    def block_rows(self) -> int:
+        """Rows over which the weight of the shortest span stays within the range of a double."""
+        return min([BLOCK_ROWS, *[int(460 / -math.log(_fade(n))) for n in self.all]])
+
+    def local(self, home: Column) -> Step:
+        """Inside a block, from the average at its first close on: average = __p * (that average + __s)."""
+        x, before = F.col("__x"), F.col("__o")
+        known = x.isNotNull() & before.isNotNull()
+
+        def weight(n):
+            return F.pow(F.lit(_fade(n)), F.col(ROW) - before)
+
+        def so_far(w):
+            return w.rowsBetween(Window.unboundedPreceding, 0)
+
+        waves = [
+            lambda w: {"__x": F.when(home, F.col("close").cast("double"))},
+            lambda w: {"__o": F.last(F.when(x.isNotNull(), F.col(ROW)), True).over(w.rowsBetween(Window.unboundedPreceding, -1))},
+            lambda w: {f"__p_{n}": F.product(F.when(known, weight(n) / (weight(n) + _alpha(n))).otherwise(1.0)).over(so_far(w))
+                       for n in self.spans},
+            lambda w: {f"__s_{n}": F.sum(F.when(known, _alpha(n) * x / (weight(n) + _alpha(n)) / F.col(f"__p_{n}")).otherwise(0.0))
+                       .over(so_far(w)) for n in self.spans},
+        ]
+        if self.macd:
+            fast, slow, signal = self.macd
+            begun = before.isNotNull() | x.isNotNull()
+            after = lambda v: F.when(home & begun, v / F.col("__f")).otherwise(0.0)
+            p, q = F.col(f"__p_{fast}"), F.col(f"__p_{slow}")
+            sums = {
+                "__z": F.when(home & ~begun, 1 / F.col("__f")).otherwise(0.0), "__zf": after(p), "__zs": after(q),
+                "__zc": after(p * F.col(f"__s_{fast}") - q * F.col(f"__s_{slow}"))}
+            waves += [
+                lambda w: {"__f": F.when(home, F.pow(F.lit(_fade(signal)), F.sum(home.cast("int")).over(so_far(w))))},
+                lambda w: {n: F.sum(c).over(so_far(w)) for n, c in sums.items()},
+            ]
+        return waves
+
+    def entering(self, block: DataFrame, home: Column, by: Sequence[str]) -> DataFrame:
+        """One row a block: the averages before it and at its first close, and the signal before it."""
+        own, row = F.col("__x"), F.col(ROW)
+        at_end = lambda c: F.max_by(c, row)
+        aggs = {"first": F.min(F.when(own.isNotNull(), row)), "last": F.max(F.when(own.isNotNull(), row)),
+                "x": F.min_by(own, F.when(own.isNotNull(), row)), "rows": F.count(F.lit(1))}
+        for n in self.spans:
+            aggs |= {f"p_{n}": at_end(F.col(f"__p_{n}")), f"c_{n}": at_end(F.col(f"__p_{n}") * F.col(f"__s_{n}"))}
+        if self.macd:
+            aggs |= {n: at_end(F.col(f"__{n}")) for n in ("f", "z", "zf", "zs", "zc")}
+        out = block.where(home).groupBy(KEY).agg(*[c.alias(n) for n, c in aggs.items()]).select("*", f"{KEY}.*")
+        w = Window.partitionBy(*by).orderBy(BLOCK)
+        before = w.rowsBetween(Window.unboundedPreceding, -1)
+        out = out.withColumn("gap", F.col("first") - F.last("last", True).over(before))
+
+        # the first close: old weight times the average before, plus the rest
+        def old(n):
+            return F.pow(F.lit(_fade(n)), F.col("gap"))
+
+        terms = {}
+        for n in self.spans:
+            rest = _alpha(n) * F.col("x") / (old(n) + _alpha(n))
+            begins = F.coalesce(rest, F.col("x"))  # the series' first close has no gap
+            decay = F.coalesce(-F.col("gap") * math.log(_fade(n)) + F.log(old(n) + _alpha(n)) - F.log(F.col(f"p_{n}")), F.lit(0.0))
+            terms[f"y_{n}"] = (decay, F.coalesce(F.col(f"p_{n}") * begins + F.col(f"c_{n}"), F.lit(0.0)))
+        out = decayed_sums(out, by, BLOCK, terms)
+        out = out.withColumns({f"in_{n}": F.lag(f"y_{n}", 1).over(w) for n in self.spans})
+        # nothing before the first close, although the sums are 0 there
+        out = out.withColumns({f"in_{n}": F.when(F.count("first").over(before) > 0, F.col(f"in_{n}")) for n in self.spans})
+        out = out.withColumns({
+            f"at_{n}": F.coalesce((old(n) * F.col(f"in_{n}") + _alpha(n) * F.col("x")) / (old(n) + _alpha(n)), F.col("x"))
+            for n in self.spans})
+        cols = [*[f"in_{n}" for n in self.spans], *[f"at_{n}" for n in self.spans]]
+        if self.macd:
+            fast, slow, signal = self.macd
+            out = decayed_sums(out, by, BLOCK, {"signal": (
+                -F.col("rows") * math.log(_fade(signal)), F.col("f") * _alpha(signal) * self._lines("", "in_", "at_"))})
+            out = out.withColumn("before", F.coalesce(F.lag("signal", 1).over(w), F.lit(0.0)))
+            cols.append("before")
+        return out.select(KEY, *[F.col(c).alias(f"__{c}") for c in cols])
+
+    def _lines(self, own: str, entered: str, first: str) -> Column:
+        """Sum so far of the MACD lines of a block, each over the signal's weight at its row."""
+        fast, slow, _ = self.macd
+        difference = F.coalesce(F.col(f"{entered}{fast}") - F.col(f"{entered}{slow}"), F.lit(0.0))
+        at = [F.coalesce(F.col(f"{first}{n}"), F.lit(0.0)) for n in (fast, slow)]
+        return F.col(f"{own}z") * difference + F.col(f"{own}zf") * at[0] - F.col(f"{own}zs") * at[1] + F.col(f"{own}zc")
+
+    def columns(self) -> list[dict[str, Column]]:
+        """The averages of each row, from the local columns and those of :meth:`entering`."""
+        begun = F.col("__o").isNotNull() | F.col("__x").isNotNull()
+        average = {n: F.when(begun, F.col(f"__p_{n}") * (F.col(f"__at_{n}") + F.col(f"__s_{n}"))).otherwise(F.col(f"__in_{n}"))
+                   for n in self.spans}
+        out = {f"ema_{n}": average[n] for n in self.periods}
+        if not self.macd:
+            return [out]
+        fast, slow, signal = self.macd
+        line = average[fast] - average[slow]
+        # the first line of a series is 0, so its weight in the signal does not matter
+        faded = F.col("__f") * (F.col("__before") + _alpha(signal) * self._lines("__", "__in_", "__at_"))
+        return [out | {"macd": line, "macd_signal": F.when(line.isNotNull(), faded)},
+                {"macd_hist": F.col("macd") - F.col("macd_signal")}]
+
+
+def _alpha(span: int) -> float:
+    return 2 / (span + 1)
+
+
+def _fade(span: int) -> float:
+    return 1 - 2 / (span + 1)
 
 
 def together(*steps: Step) -> list[Wave]:
@@ -176,28 +273,33 @@ def together(*steps: Step) -> list[Wave]:
     return [at(i) for i in range(max((len(s) for s in steps), default=0))]
 
 
-def ema_step(periods: Sequence[int] = EMA_PERIODS, macd: tuple[int, int, int] | None = (12, 26, 9)) -> Step:
-    """EMA columns, and MACD line, signal and histogram."""
-    named = {n: f"ema_{n}" for n in periods}
-    if macd:
-        named |= {n: f"__ema_{n}" for n in macd[:2] if n not in named}
-    waves = together(*[_ema_waves(F.col("close"), name, n) for n, name in named.items()])
-    if macd:
-        fast, slow, signal = macd
-        line = F.col("macd")
-        waves.append(lambda w: {"macd": F.col(named[fast]) - F.col(named[slow])})
-        waves += _ema_waves(line, "macd_signal", signal)
-        waves.append(lambda w: {"macd_hist": line - F.col("macd_signal")})
-    return waves
-
+def _run(df: DataFrame, steps: Sequence[Step], back: int, ahead: int = 0, averages: Averages | None = None,
+         block_rows: int | None = None, **kw) -> DataFrame:
+    by, order = ["ticker"], ["date"]
+    most = averages.block_rows if averages else BLOCK_ROWS
+    block_rows = min(block_rows or most, most)
+    home = F.col(BLOCK) == F.floor((F.col(ROW) - 1) / block_rows)
 
-def _run(df: DataFrame, steps: Sequence[Step], back: int, ahead: int = 0, **kw) -> DataFrame:
     def build(block, w):
-        for wave in together(*steps):
+        entering = None
+        if averages:
+            local = averages.local(home)
+            narrow = block.select(KEY, ROW, BLOCK, "close")
+            for wave in local:
+                narrow = narrow.withColumns(wave(w))
+            entering = averages.entering(narrow, home, by)
+            steps_ = [*steps, local]
+        else:
+            steps_ = steps
+        for wave in together(*steps_):
             block = block.withColumns(wave(w))
-        return block.drop(*[c for c in block.columns if c.startswith("__") and c not in (ROW, BLOCK)])
+        if entering is not None:
+            block = block.join(entering, KEY, "left")
+            for columns in averages.columns():
+                block = block.withColumns(columns)
+        return block.drop(*[c for c in block.columns if c.startswith("__") and c not in (ROW, BLOCK, KEY)])
 
-    return rolling(df, ["ticker"], ["date"], build, back=back, ahead=ahead, **kw)
+    return rolling(df, by, order, build, back=back, ahead=ahead, block_rows=block_rows, **kw)
 
 
 def sma(df, periods=SMA_PERIODS, **kw):
@@ -205,11 +307,11 @@ def sma(df, periods=SMA_PERIODS, **kw):
 
 
 def ema(df, periods=EMA_PERIODS, **kw):
-    return _run(df, [ema_step(periods, None)], ema_rows(max(periods)), **kw)
+    return _run(df, [], 0, averages=Averages(tuple(periods), None), **kw)
 
 
 def macd(df, fast=12, slow=26, signal=9, **kw):
-    return _run(df, [ema_step((), (fast, slow, signal))], ema_rows(max(fast, slow), signal), **kw)
+    return _run(df, [], 0, averages=Averages((), (fast, slow, signal)), **kw)
 
 
 def rsi(df, period=14, **kw):
@@ -252,10 +354,10 @@ def technical_features(df: DataFrame, horizon: int | None = 1, more: Sequence[St
     steps.append(volatility_step())
     if "volume" in df.columns:
         steps.append(volume_step())
-    steps += [returns_step(), ema_step(), *more]
+    steps += [returns_step(), *more]
     if horizon:
         steps.append(target_step(horizon))
-    return _run(df, steps, ema_rows(26, 9), horizon or 0, **kw)
+    return _run(df, steps, 64, horizon or 0, averages=Averages(), **kw)
 
 
 def engineer_features(df: DataFrame, econ: DataFrame | None = None, news: DataFrame | None = None,

@@ -21,13 +21,15 @@ hot its key. For a finer order pass a finer ``slice_by``, such as the hour.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 SLICE = "__slice"
+#: a series and a piece of it as one value: a struct is equal to itself where a
+#: part is null, so windows, summaries and joins share one partitioning
+KEY = "__key"
 BLOCK = "__block"
 ROW = "__row"
 BLOCK_ROWS = 3072  # with the edges of the widest feature still within one window buffer
@@ -60,20 +62,18 @@ def with_carry(
     earlier slices, and ``combine`` the output columns from both.
     """
     cut = slice_by if slice_by is not None else F.year(F.col(order[0]))
-    keys = [*by, SLICE]
-    sliced = df.withColumn(SLICE, cut)
-    w = Window.partitionBy(*keys).orderBy(*order)
+    sliced = df.withColumn(KEY, F.struct(*by, cut.alias(SLICE)))
+    w = Window.partitionBy(KEY).orderBy(*order)
     earlier = (
         Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     )
     owed = (
-        sliced.groupBy(*keys)
+        sliced.groupBy(KEY)
         .agg(*[c.alias(n) for n, c in summary.items()])
-        .select(*keys, *[c.alias(n) for n, c in carry(earlier).items()])
+        .select("*", f"{KEY}.*")
+        .select(KEY, *[c.alias(n) for n, c in carry(earlier).items()])
     )
-    other = [f"__k{i}" for i in range(len(keys))]
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, other)])
-    out = sliced.withColumns(dict(local(w))).join(owed.withColumnsRenamed(dict(zip(keys, other))), same, "left")
+    out = sliced.withColumns(dict(local(w))).join(owed, KEY, "left")
     return out.select(*df.columns, *[c.alias(n) for n, c in combine.items()])
 
 
@@ -208,8 +208,36 @@ def rolling(
     if ahead:
         homes.append(F.when((offset < ahead) & (home > 0), home - 1))
     spread = numbered.withColumn(BLOCK, F.explode(F.array_compact(F.array(*homes))))
-    w = Window.partitionBy(*by, BLOCK).orderBy(ROW)
-    return build(spread, w).where(F.col(BLOCK) == home).drop(BLOCK, ROW)
+    spread = spread.withColumn(KEY, F.struct(*by, BLOCK))
+    w = Window.partitionBy(KEY).orderBy(ROW)
+    return build(spread, w).where(F.col(BLOCK) == home).drop(KEY, BLOCK, ROW)
+
+
+def decayed_sums(df: DataFrame, by: Sequence[str], order: str, terms: Mapping[str, tuple[Column, Column]]) -> DataFrame:
+    """``{output: (decay, addend)}``: the sum so far, faded by exp(-decay) at each row before its addend comes.
+
+    One row's map x -> exp(-decay) x + addend composes with the next row's to
+    one of the same form, so this is any first-order recursion. Sums are kept in
+    stretches of a total decay of 400, within the range of a double, and take
+    the stretch before with them; what is older weighs less than 1e-170. A weight
+    is off by the rounding of the total decay of the series. Meant for tables of summaries: the windows run over whole series.
+    """
+    stretch = 400.0
+    w = Window.partitionBy(*by).orderBy(order)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    df = df.withColumns({f"__l_{n}": F.sum(d).over(_so_far(w)) for n, (d, _) in terms.items()})
+    df = df.withColumns({f"__g_{n}": F.floor(F.col(f"__l_{n}") / stretch) for n in terms})
+    for n, (_, addend) in terms.items():
+        inside = F.col(f"__l_{n}") - stretch * F.col(f"__g_{n}")
+        part = Window.partitionBy(*by, f"__g_{n}").orderBy(order)
+        df = df.withColumn(f"__y_{n}", F.exp(-inside) * F.sum(addend * F.exp(inside)).over(_so_far(part)))
+    ends = {n: F.lead(f"__g_{n}", 1).over(w) != F.col(f"__g_{n}") for n in terms}
+    df = df.withColumns({f"__e_{n}": end for n, end in ends.items()})
+    df = df.withColumns({
+        f"__{of}p_{n}": F.last(F.when(F.col(f"__e_{n}"), F.col(f"__{of}_{n}")), True).over(before) for n in terms for of in ("y", "l")})
+    df = df.withColumns({
+        n: F.col(f"__y_{n}") + F.coalesce(F.exp(F.col(f"__lp_{n}") - F.col(f"__l_{n}")) * F.col(f"__yp_{n}"), F.lit(0.0)) for n in terms})
+    return df.drop(*[f"__{of}_{n}" for n in terms for of in ("l", "g", "y", "e", "yp", "lp")])
 
 
 def frame(w: WindowSpec, n: int) -> WindowSpec:

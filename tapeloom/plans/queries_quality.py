@@ -104,7 +104,8 @@ def _(spark, sf):
 def _(spark, sf):
     contract = replace(
         CONTRACTS["silver_enriched_stocks"], allowed={"ticker": ("SPY", "S1", "S2")},
-        columns="date date!, ticker str!, open double!, close double!, volume long!, industry str!")
+        columns=(("date", DATE, False), ("ticker", STRING, False), ("open", DOUBLE, False), ("close", DOUBLE, False),
+                 ("volume", LONG, False), ("industry", STRING, False)))
     out = quality.validate_contract(fx.bars_dirty(spark, sf), contract)
     return out.withColumn("examples", F.array_join("examples", ","))
 
@@ -116,7 +117,7 @@ def _(spark, sf):
 def _(spark, sf):
     contract = replace(
         CONTRACTS["silver_enriched_stocks"], key=("date", "ticker"),
-        columns="date date!, ticker str!, open double!, volume double")
+        columns=(("date", DATE, False), ("ticker", STRING, False), ("open", DOUBLE, False), ("volume", DOUBLE, True)))
     return quality.validate_contract(fx.bars_dirty(spark, sf), contract, strict=True).drop("examples")
 
 
