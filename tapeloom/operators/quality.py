@@ -264,34 +264,74 @@ def adjust_splits(bars: DataFrame, splits: DataFrame, price: str = "price") -> D
     return out.withColumn(price, F.col(price) / F.coalesce(factor, F.lit(1.0))).drop("__splits")
 
 
-def _distinct_rows(df: DataFrame) -> DataFrame:
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+def _plain(df: DataFrame) -> list[Column]:
+    """The columns as values that hash: zeros without a sign, maps as text."""
+    def one(f):
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            return c + F.lit(0.0).cast(f.dataType)
+        return F.to_json(c) if isinstance(f.dataType, T.MapType) else c
+
+    return [one(f) for f in df.schema.fields]
+
+
+def row_hashes(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of a row; a null counts at its place."""
+    marked = [x for c in _plain(df) for x in (c, c.isNull())]
+    return [F.xxhash64(*marked), F.xxhash64(F.lit(1), *reversed(marked))]
+
+
+def _whole_row(df: DataFrame) -> Column:
+    """sha-256 over all values of a row, each with its length before it."""
+    def text(c, f):
+        if isinstance(f.dataType, T.BinaryType):
+            return F.hex(c)
+        return F.to_json(c) if isinstance(f.dataType, (T.StructType, T.ArrayType)) else c.cast("string")
+
+    parts = [text(c, f) for c, f in zip(_plain(df), df.schema.fields)]
+    return F.sha2(F.concat(*[F.coalesce(F.concat(F.char_length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]), 256)
+
+
+def row_counts(df: DataFrame, hashes: Sequence[Column] | None = None) -> DataFrame:
+    """One row: ``rows`` and ``distinct_rows``, by whole rows of any width.
+
+    Hashes are grouped first. Only rows whose hashes came more than once are
+    compared, by a digest of all their values; the values themselves are never
+    shuffled, and copies of one row are counted where they lie.
+    """
+    h1, h2 = hashes or row_hashes(df)
+    both = ["__h1", "__h2"]
+    rows = df.select(h1.alias("__h1"), h2.alias("__h2"), _whole_row(df).alias("__row"))
+    seen = rows.groupBy(*both).agg(F.count(F.lit(1)).alias("__n"))
+    again = rows.join(seen.where("__n > 1").select(*both), both, "left_semi").groupBy(*both, "__row").agg(F.lit(1).alias("__one"))
+    twice = again.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return seen.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"), F.count_if(F.col("__n") == 1).alias("once")).select(
+        "rows", (F.col("once") + twice).alias("distinct_rows"))
 
 
 def profile(df: DataFrame, layer: str, step: str, date: str = "date", ticker: str = "ticker") -> DataFrame:
-    """One row on a table. Equal rows are folded first, which also counts the
-    duplicates and leaves one distinct count to do."""
+    """One row on a table: its size, nulls in all and by column, days, tickers and surplus whole rows."""
     cols = df.columns
-    nulls = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("long") for c in cols])
-    aggs = [
-        F.sum("__n").alias("row_count"),
-        F.coalesce(F.sum(F.col("__n") * nulls), F.lit(0)).alias("total_nulls"),
-        (F.sum("__n") - F.count(F.lit(1))).alias("duplicate_rows"),
-    ]
+    nulls = {c: F.count_if(F.col(f"`{c}`").isNull()) for c in cols}
+    aggs = [F.count(F.lit(1)).alias("row_count"), F.struct(*[n.alias(c) for c, n in nulls.items()]).alias("__nulls")]
     if date in cols:
         aggs += [F.min(date).cast("string").alias("date_min"), F.max(date).cast("string").alias("date_max")]
     if ticker in cols:
         aggs.append(F.count_distinct(ticker).alias("ticker_count"))
-    out = _distinct_rows(df).agg(*aggs)
+    counted = row_counts(df)
+    of = lambda c: F.col("__nulls")[c]
+    out = df.agg(*aggs).withColumns({
+        "total_nulls": reduce(lambda a, b: a + b, [of(c) for c in cols]),
+        "null_counts": F.map_from_arrays(F.array(*[F.lit(c) for c in cols]), F.array(*[of(c) for c in cols])),
+        "duplicate_rows": F.col("row_count") - counted.select("distinct_rows").scalar(),
+    })
     rate = F.try_divide(F.col("total_nulls").cast("double"), F.col("row_count") * len(cols))
     return out.withColumns({
         "layer": F.lit(layer), "step": F.lit(step),
-        "row_count": F.coalesce("row_count", F.lit(0)),
-        "duplicate_rows": F.coalesce("duplicate_rows", F.lit(0)),
         "column_count": F.lit(len(cols)).cast("long"),
         "columns": F.array(*[F.lit(c) for c in cols]),
         "null_rate": F.coalesce(rate, F.lit(0.0)),
-    })
+    }).drop("__nulls")
 
 
 def compare_profiles(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -347,12 +387,10 @@ def quick_check(df: DataFrame, ticker: str = "ticker") -> DataFrame:
 
 def duplicate_counts(df: DataFrame, keys: Sequence[str] = ("date", "ticker")) -> DataFrame:
     """One row: surplus whole rows, and surplus rows per key."""
-    whole = _distinct_rows(df).groupBy(*keys).agg(
-        F.sum("__n").alias("n"), F.count(F.lit(1)).alias("d"))
-    return whole.agg(
-        F.coalesce(F.sum(F.col("n") - F.col("d")), F.lit(0)).alias("duplicate_rows"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_keys"),
-    )
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    surplus = per_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n")).scalar()
+    return row_counts(df).select(
+        (F.col("rows") - F.col("distinct_rows")).alias("duplicate_rows"), surplus.alias("duplicate_keys"))
 
 
 # The joined columns whose coverage is reported.

@@ -75,10 +75,14 @@ def _(spark, sf):
 
 
 @query("clean_null_counts", "C04", """
-  SELECT 'open' AS "column", count(*) FILTER (open IS NULL) AS null_count FROM bars_dirty
-  UNION ALL SELECT 'close', count(*) FILTER (close IS NULL) FROM bars_dirty""")
+  SELECT "column", null_count FROM (
+    UNPIVOT (SELECT count(*) FILTER (ticker IS NULL) AS ticker, count(*) FILTER (date IS NULL) AS date,
+             count(*) FILTER (open IS NULL) AS open, count(*) FILTER (high IS NULL) AS high,
+             count(*) FILTER (low IS NULL) AS low, count(*) FILTER (close IS NULL) AS close,
+             count(*) FILTER (volume IS NULL) AS volume, count(*) FILTER (ingested_at IS NULL) AS ingested_at FROM bars_dirty)
+    ON COLUMNS(*) INTO NAME "column" VALUE null_count)""")
 def _(spark, sf):
-    return clean.null_counts(fx.bars_dirty(spark, sf), ["open", "close"])
+    return clean.null_counts(fx.bars_dirty(spark, sf))
 
 
 @query("clean_quality_gates", "C05", "SELECT * FROM gated_bars", PRICES)
@@ -152,10 +156,10 @@ def _(spark, sf):
 
 
 @query("clean_minimal", "C12", """
-  SELECT DISTINCT ticker, open, volume FROM bars_dirty
-  WHERE ticker IS NOT NULL AND open IS NOT NULL AND volume IS NOT NULL""", "open")
+  SELECT DISTINCT * FROM bars_dirty WHERE ticker IS NOT NULL AND date IS NOT NULL AND open IS NOT NULL AND high IS NOT NULL
+         AND low IS NOT NULL AND close IS NOT NULL AND volume IS NOT NULL AND ingested_at IS NOT NULL""", PRICES)
 def _(spark, sf):
-    return clean.minimal_clean(fx.bars_dirty(spark, sf).select("ticker", "open", "volume"))
+    return clean.minimal_clean(fx.bars_dirty(spark, sf))
 
 
 @query("clean_last_close", "C14", """

@@ -168,32 +168,32 @@ def _(spark, sf):
     return features.engineer_features(_bars(spark, sf), econ_daily(spark, sf), news_table(spark, sf))
 
 
-STATS = ("sma_20", "rsi", "bb_pct", "volatility_20", "return_1d", "macd")
+STATS = features.FEATURE_COLUMNS
 
 
-@query("features_describe", "F13", " UNION ALL ".join(
-    f"""SELECT '{c}' AS feature, count({c}) AS "count", avg({c}) AS mean, stddev_samp({c}) AS std, min({c}) AS "min",
-        max({c}) AS "max", quantile_cont({c}, 0.25) AS q25, quantile_cont({c}, 0.5) AS q50, quantile_cont({c}, 0.75) AS q75
-        FROM feature_table""" for c in STATS), 'mean std "min" "max" q25 q50 q75'.replace('"', ""))
+@query("features_describe", "F13", f"""
+  SELECT feature, count(v) AS "count", avg(v) AS mean, stddev_samp(v) AS std, min(v) AS "min", max(v) AS "max",
+         quantile_cont(v, 0.25) AS q25, quantile_cont(v, 0.5) AS q50, quantile_cont(v, 0.75) AS q75
+  FROM (UNPIVOT (SELECT {", ".join(f"{c}::DOUBLE AS {c}" for c in STATS)} FROM feature_table) ON COLUMNS(*) INTO NAME feature VALUE v)
+  GROUP BY feature""", 'mean std "min" "max" q25 q50 q75'.replace('"', ""))
 def _(spark, sf):
     return features.describe_features(feature_table(spark, sf), STATS)
 
 
-TECH = ("rsi", "macd_hist", "roc_5", "bb_pct", "volatility_20", "volume_ratio", "return_1d")
-
-
-def _importance(spark, sf):
-    return models.feature_importance(feature_table(spark, sf), TECH, trees=10, depth=5)
+def importance(spark, sf):
+    """100 trees of depth 10 on all features, once per table."""
+    return staged_once(spark, sf, "importance", lambda: models.feature_importance(
+        feature_table(spark, sf), features.FEATURE_COLUMNS))
 
 
 @query("model_feature_importance", "L01")
 def _(spark, sf):
-    return _importance(spark, sf)
+    return importance(spark, sf)
 
 
 @query("model_top_features", "L02")
 def _(spark, sf):
-    return models.top_features(_importance(spark, sf), 3)
+    return models.top_features(importance(spark, sf))
 
 
 view("effects", """

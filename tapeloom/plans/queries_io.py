@@ -82,16 +82,14 @@ def _(spark, sf):
     return out.withColumn("stamped", F.col("ingested_at").isNotNull()).drop("ingested_at")
 
 
-WIDE_TICKERS = ("S1", "S2", "S3", "SPY")
-
-
-@query("source_unpivot", "S06", """
-  SELECT date, ticker, close, volume FROM bars WHERE ticker IN ('S1', 'S2', 'S3', 'SPY')""", "close")
-def _(spark, sf):
-    pick = lambda t, c: F.max(F.when(F.col("ticker") == t, F.col(c))).alias(f"{t}_{c}")
-    wide = fx.bars(spark, sf).groupBy("date").agg(*[
-        pick(t, c) for t in WIDE_TICKERS for c in ("close", "volume")])
-    return readers.unpivot_bars(wide, WIDE_TICKERS, ("close", "volume"))
+@query("source_unpivot", "S06", "SELECT date, ticker, open, high, low, close, volume FROM bars", PRICES)
+def _(spark, sf):
+    bars = fx.bars(spark, sf)
+    fields = ("open", "high", "low", "close", "volume")
+    tickers = sorted(r["ticker"] for r in bars.select("ticker").distinct().collect())  # the columns of the wide file
+    path = folder(spark, "wide")
+    bars.groupBy("date").pivot("ticker", tickers).agg(*[F.first(c).alias(c) for c in fields]).write.parquet(path)
+    return readers.unpivot_bars(spark.read.parquet(path), tickers, fields)
 
 
 @query("source_normalize", "S07", """

@@ -4,7 +4,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from tapeloom.contracts import CONTRACTS
+from tapeloom.contracts import CONTRACTS, DATE, DOUBLE, LONG, STRING
 from tapeloom.operators import calendars, quality
 from tapeloom.plans import fixtures as fx
 from tapeloom.plans.queries_clean import clean_table, silver
@@ -227,74 +227,79 @@ def _(spark, sf):
     return quality.adjust_splits(b, fx.splits(spark, sf))
 
 
-PROFILE_SQL = """
-  SELECT '{layer}' AS layer, '{step}' AS step, count(*) AS row_count, {k}::BIGINT AS column_count,
-         CAST(sum(CAST(open IS NULL AS INT)) AS BIGINT) AS total_nulls, sum(CAST(open IS NULL AS INT)) / (count(*) * {k}.0) AS null_rate,
-         CAST(min(date) AS VARCHAR) AS date_min, CAST(max(date) AS VARCHAR) AS date_max,
-         count(DISTINCT ticker) AS ticker_count,
-         count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM ({src}))) AS duplicate_rows
-  FROM ({src})"""
-DIRTY_SRC = "SELECT ticker, date, open, volume FROM bars_dirty"
-
+DIRTY = ("ticker", "date", "open", "high", "low", "close", "volume", "ingested_at")
+NULLS = " + ".join(f"count(*) FILTER ({c} IS NULL)" for c in DIRTY)
+SURPLUS = "count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {t}))"
 
-def _narrow(spark, sf):
-    return fx.bars_dirty(spark, sf).select("ticker", "date", "open", "volume")
 
-
-@query("quality_profile", "V13", PROFILE_SQL.format(layer="bronze", step="raw", k=4, src=DIRTY_SRC), "null_rate")
+@query("quality_profile", "V13", f"""
+  SELECT 'bronze' AS layer, 'raw' AS step, count(*) AS row_count, {len(DIRTY)}::BIGINT AS column_count,
+         {NULLS} AS total_nulls, ({NULLS})::DOUBLE / (count(*) * {len(DIRTY)}) AS null_rate,
+         {" || ' ' || ".join(f"'{c}=' || count(*) FILTER ({c} IS NULL)" for c in DIRTY)} AS null_counts,
+         CAST(min(date) AS VARCHAR) AS date_min, CAST(max(date) AS VARCHAR) AS date_max,
+         count(DISTINCT ticker) AS ticker_count, {SURPLUS.format(t="bars_dirty")} AS duplicate_rows FROM bars_dirty""", "null_rate")
 def _(spark, sf):
-    return quality.profile(_narrow(spark, sf), "bronze", "raw").drop("columns")
+    out = quality.profile(fx.bars_dirty(spark, sf).select(*DIRTY), "bronze", "raw").drop("columns")
+    shown = F.transform(F.map_entries("null_counts"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return out.withColumn("null_counts", F.array_join(shown, " "))
 
 
 @query("quality_compare", "V14", """
   SELECT 'bronze' AS layer1, 'silver' AS layer2, a AS rows_layer1, b AS rows_layer2, a - b AS rows_dropped,
          (a - b)::DOUBLE / a AS drop_rate,
          CASE WHEN (a - b)::DOUBLE / a > 0.05 THEN 'high' WHEN (a - b)::DOUBLE / a > 0.01 THEN 'moderate' ELSE 'low' END AS alert,
-         'daily_return' AS columns_added, 'ingested_at' AS columns_removed
+         'daily_return,sector,industry,data_version,is_penny_stock,has_outlier_return,low_liquidity,insufficient_history' AS columns_added,
+         '' AS columns_removed
   FROM (SELECT (SELECT count(*) FROM bars_dirty) AS a, (SELECT count(*) FROM clean_table) AS b)""", "drop_rate")
 def _(spark, sf):
-    raw = fx.bars_dirty(spark, sf).select("ticker", "date", "close", "ingested_at")
-    done = clean_table(spark, sf).select("ticker", "date", "close", "daily_return")
     out = quality.compare_profiles(
-        quality.profile(raw, "bronze", "raw"), quality.profile(done, "silver", "clean"))
+        quality.profile(fx.bars_dirty(spark, sf), "bronze", "raw"),
+        quality.profile(clean_table(spark, sf), "silver", "clean"))
     return out.withColumns({c: F.array_join(c, ",") for c in ("columns_added", "columns_removed")})
 
 
-@query("quality_log_summary", "V15", """
-  SELECT * FROM (
-    SELECT 'bronze' AS layer, 'raw' AS step, count(*) AS row_count, 2::BIGINT AS column_count,
-         count(DISTINCT ticker) AS ticker_count, round(0.0::DOUBLE, 2) AS null_rate_pct,
-         count(*) - count(DISTINCT (ticker, date)) AS duplicate_rows FROM bars_dirty
-    UNION ALL SELECT 'silver', 'clean', count(*), 2, count(DISTINCT ticker), 0, 0 FROM clean_table)""", "null_rate_pct")
+@query("quality_log_summary", "V15", f"""
+  SELECT 'bronze' AS layer, 'raw' AS step, count(*) AS row_count, {len(DIRTY)}::BIGINT AS column_count,
+         count(DISTINCT ticker) AS ticker_count, round(({NULLS})::DOUBLE / (count(*) * {len(DIRTY)}) * 100, 2) AS null_rate_pct,
+         {SURPLUS.format(t="bars_dirty")} AS duplicate_rows FROM bars_dirty
+  UNION ALL
+  SELECT 'silver', 'clean', count(*), 16, count(DISTINCT ticker), 0, {SURPLUS.format(t="clean_table")} FROM clean_table""", "null_rate_pct")
 def _(spark, sf):
     from tapeloom.sources.staging import shared_dir
     import uuid
 
     path = f"{shared_dir(spark)}/quality-log-{uuid.uuid4().hex}"
-    keys = ["ticker", "date"]
-    quality.log_profile(quality.profile(fx.bars_dirty(spark, sf).select(*keys), "bronze", "raw"), path)
-    quality.log_profile(quality.profile(clean_table(spark, sf).select(*keys), "silver", "clean"), path)
+    quality.log_profile(quality.profile(fx.bars_dirty(spark, sf), "bronze", "raw"), path)
+    quality.log_profile(quality.profile(clean_table(spark, sf), "silver", "clean"), path)
     return quality.quality_summary(quality.load_quality_log(spark, path, last=10)).drop("timestamp")
 
 
-@query("quality_quick_check", "V16", """
-  WITH t AS (SELECT ticker, count(*) AS n FROM bars_dirty GROUP BY ticker)
-  SELECT (SELECT count(*) FROM bars_dirty) AS row_count, 4::BIGINT AS column_count,
-         (SELECT count(*) FROM bars_dirty WHERE open IS NULL) AS total_nulls,
-         (SELECT count(*) FROM bars_dirty) - (SELECT count(*) FROM (SELECT DISTINCT ticker, date, open, volume FROM bars_dirty)) AS duplicate_rows,
-         (SELECT CAST(min(date) AS VARCHAR) FROM bars_dirty) AS date_min,
-         (SELECT CAST(max(date) AS VARCHAR) FROM bars_dirty) AS date_max,
-         count(*) AS tickers, min(n) AS min_rows, max(n) AS max_rows, quantile_cont(n, 0.5) AS median_rows FROM t""", "median_rows")
+@query("quality_quick_check", "V16", f"""
+  WITH t AS (SELECT ticker, count(*) AS n FROM bars_dirty GROUP BY ticker),
+  r AS (SELECT count(*) AS row_count, {len(DIRTY)}::BIGINT AS column_count, {NULLS} AS total_nulls,
+               {SURPLUS.format(t="bars_dirty")} AS duplicate_rows,
+               CAST(min(date) AS VARCHAR) AS date_min, CAST(max(date) AS VARCHAR) AS date_max FROM bars_dirty)
+  SELECT r.*, s.* FROM r, (SELECT count(*) AS tickers, min(n) AS min_rows, max(n) AS max_rows,
+                                  quantile_cont(n, 0.5) AS median_rows FROM t) s""", "median_rows")
 def _(spark, sf):
-    return quality.quick_check(_narrow(spark, sf))
+    return quality.quick_check(fx.bars_dirty(spark, sf))
 
 
-@query("quality_duplicates", "V22", """
-  SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT ticker, date, open, volume FROM bars_dirty)) AS duplicate_rows,
+@query("quality_duplicates", "V22", f"""
+  SELECT {SURPLUS.format(t="bars_dirty")} AS duplicate_rows,
          count(*) - (SELECT count(*) FROM (SELECT DISTINCT ticker, date FROM bars_dirty)) AS duplicate_keys
   FROM bars_dirty""")
 def _(spark, sf):
-    return quality.duplicate_counts(_narrow(spark, sf))
+    return quality.duplicate_counts(fx.bars_dirty(spark, sf))
+
+
+@query("quality_duplicate_texts", "V22", """
+  WITH d AS (SELECT text, lang, source, n_chars FROM documents)
+  SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM d)) AS duplicate_rows,
+         count(*) - (SELECT count(*) FROM (SELECT DISTINCT lang, source FROM d)) AS duplicate_keys FROM d""")
+def _(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("text", "lang", "source", "n_chars")
+    return quality.duplicate_counts(docs, ["lang", "source"])
 
 
 @query("quality_window_summary", "V25", """

@@ -264,3 +264,52 @@ def test_adjusted_effect(spark):
     df = spark.createDataFrame(rows, "t double, c double, y double")
     out = models.ate(df, "t", "y", ["c"]).first()
     assert out.adjusted_ate == pytest.approx(3.0)
+
+
+def test_duplicate_rows_of_any_width(spark):
+    """All columns count, long texts and nested values too, whatever the hashes do."""
+    from tapeloom.operators import quality
+
+    long = "x" * 100_000
+    rows = [(1, None, long, 0.0, [1, 2]), (1, None, long, -0.0, [1, 2]), (1, None, long + "y", 0.0, [1, 2]), (None, 1, long, 0.0, [1, 2]),
+            (1, None, long, 0.0, [1, None]), (None, None, None, None, None), (None, None, None, None, None), (2, 12, "a", float("nan"), []),
+            (2, 12, "a", float("nan"), []), (21, 2, "a", float("nan"), []), (2, 1, "2a", 1.0, None)]
+    df = spark.createDataFrame(rows, "a int, b int, t string, v double, l array<int>").withColumn("m", F.create_map(F.lit("k"), "a"))
+    want = (len(rows), 8)
+    assert tuple(quality.row_counts(df).first()) == want
+    for forced in ([F.lit(1), F.lit(2)], [F.col("a") % 2, F.lit(0)], [F.coalesce("a", F.lit(7)), F.coalesce("b", F.lit(7))]):
+        assert tuple(quality.row_counts(df.where("a is not null"), forced).first()) == (8, 6)
+    assert tuple(quality.row_counts(df.limit(0)).first()) == (0, 0)
+    keyed = quality.duplicate_counts(df.drop("l", "m"), ["a", "b"]).first()
+    assert tuple(keyed) == (4, 5)
+
+
+def test_whole_rows_are_not_shuffled(spark):
+    from tapeloom.operators import quality
+
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text", "lang")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = quality.row_counts(df)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for keys in __import__("re").findall(r"Exchange hashpartitioning\(([^)]*)\)", plan):
+        assert "text" not in keys
+    assert "text" not in "".join(line for line in plan.splitlines() if "HashAggregate" in line)
+
+
+def test_profile_counts_nulls_by_column(spark):
+    from tapeloom.operators import quality
+
+    df = spark.createDataFrame([("A", None, 1.0), ("A", None, 1.0), (None, None, 2.0)], "ticker string, x int, v double")
+    row = quality.profile(df, "l", "s").first()
+    assert row["null_counts"] == {"ticker": 1, "x": 3, "v": 0} and row["total_nulls"] == 4
+    assert (row["row_count"], row["duplicate_rows"], row["ticker_count"]) == (3, 1, 1)
+    assert quality.profile(df.limit(0), "l", "s").first()["duplicate_rows"] == 0
+
+
+def test_contracts_take_typed_columns():
+    from tapeloom.contracts import TableContract
+
+    with pytest.raises(TypeError):
+        TableContract("t", "date date!, ticker str!", ("date",))
