@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapeloom.operators import timeblocks
+from tapeloom.sources.staging import stage
 
 # Vendor column names and ours.
 COLUMN_MAPPING = {
@@ -101,13 +102,15 @@ def gate_counts(df: DataFrame) -> DataFrame:
     return df.agg(*counts, F.count_if(so_far).alias("kept"), F.count(F.lit(1)).alias("rows"))
 
 
+def _return(first_return: float | None) -> Column:
+    pct = (F.try_divide(F.col("close"), F.col("__prev")) - 1) * 100
+    return pct if first_return is None else F.coalesce(pct, F.lit(float(first_return)))
+
+
 def daily_return(df: DataFrame, first_return: float | None = 0.0) -> DataFrame:
     """Close-to-close return in percent; the first row of a ticker gets ``first_return``."""
     out = timeblocks.previous(df, ["ticker"], ["date"], {"__prev": F.col("close")})
-    pct = (F.try_divide(F.col("close"), F.col("__prev")) - 1) * 100
-    if first_return is not None:
-        pct = F.coalesce(pct, F.lit(float(first_return)))
-    return out.withColumn("daily_return", pct).drop("__prev")
+    return out.withColumn("daily_return", _return(first_return)).drop("__prev")
 
 
 def add_sector(df: DataFrame, *dims: DataFrame) -> DataFrame:
@@ -130,15 +133,19 @@ def stamp(df: DataFrame, version: str, at: str = "enriched_at") -> DataFrame:
     return df.withColumns({at: F.current_timestamp(), "data_version": F.lit(version)})
 
 
-def quality_flags(df: DataFrame, min_history: int = MIN_HISTORY) -> DataFrame:
-    """Four flags per row."""
-    sized = timeblocks.series_size(df, ["ticker"], ["date"], "__n")
-    return sized.withColumns({
+def _flags(min_history: int) -> dict[str, Column]:
+    return {
         "is_penny_stock": F.col("close") < 1.0,
         "has_outlier_return": F.abs("daily_return") > OUTLIER_RETURN_PCT,
         "low_liquidity": F.col("volume") < LOW_VOLUME,
         "insufficient_history": F.coalesce(F.col("__n") < min_history, F.lit(False)),
-    }).drop("__n")
+    }
+
+
+def quality_flags(df: DataFrame, min_history: int = MIN_HISTORY) -> DataFrame:
+    """Four flags per row."""
+    sized = timeblocks.series_size(df, ["ticker"], ["date"], "__n")
+    return sized.withColumns(_flags(min_history)).drop("__n")
 
 
 FLAGS = ("is_penny_stock", "has_outlier_return", "low_liquidity", "insufficient_history")
@@ -158,10 +165,18 @@ def flag_counts(df: DataFrame) -> DataFrame:
 
 def clean_bars(df: DataFrame, *dims: DataFrame, version: str = "silver_v1") -> DataFrame:
     """Raw bars to the cleaned table: names, dates, duplicates, nulls, gates,
-    returns, sector, stamp, flags, in that order."""
+    returns, sector, stamp, flags, in that order.
+
+    The source is read once: the rows that pass the gates are written to the
+    shared folder. Previous close and length of the series are one carry.
+    """
     df = cast_date(no_nan(standardize_columns(df)))
-    df = quality_gates(drop_null_rows(deduplicate(df)))
-    return quality_flags(stamp(add_sector(daily_return(df), *dims), version))
+    df = stage(quality_gates(drop_null_rows(deduplicate(df))), "clean-gated")
+    by, order = ["ticker"], ["date"]
+    carried = timeblocks.with_carries(
+        df, by, order, timeblocks.before(order, {"__prev": F.col("close")}), timeblocks.sizes(by, "__n"))
+    out = stamp(add_sector(carried.withColumn("daily_return", _return(0.0)).drop("__prev"), *dims), version)
+    return out.withColumns(_flags(MIN_HISTORY)).drop("__n")
 
 
 def append_new(existing: DataFrame, new: DataFrame, start=None) -> DataFrame:

@@ -38,11 +38,14 @@ def quantiles(
         df.select(*by, F.explode(pairs).alias("__p"))
         .select(*by, F.col("__p.col").alias("__col"), F.col("__p.val").alias("__val"))
         .where(F.col("__val").isNotNull() & ~F.isnan("__val"))
+        .dropna(subset=list(by))
     )
+    # both uses of the counts ask for the same rows, so that one shuffle serves both
     counts = (
         long.groupBy(*by, "__col", "__val")
         .agg(F.count(F.lit(1)).alias("__n"))
         .withColumn("__bin", _bin(F.col("__val")))
+        .where(F.col("__bin").isNotNull())
     )
     group = [*by, "__col"]
     so_far = (

@@ -1,8 +1,8 @@
 """Risk metrics per ticker and sector. Input: bars with ``daily_return`` in percent.
 
-Everything is an aggregate that combines before the shuffle, except drawdown
-and quantiles, which have skew-proof forms of their own. Returns are fractions
-inside this module.
+Single metrics are aggregates that combine before the shuffle, except drawdown
+and quantiles, which have skew-proof forms of their own; all together come from
+one summary a ticker and year. Returns are fractions inside this module.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from tapeloom.functions.labels import RISK_FREE
 from tapeloom.operators import timeblocks
 from tapeloom.operators.economic import day_table
 from tapeloom.operators.quantiles import medians, quantiles
+from tapeloom.operators.timeblocks import KEY, SLICE
 
 TRADING_DAYS = 252
 YEAR_ROOT = math.sqrt(TRADING_DAYS)
@@ -143,17 +144,105 @@ def quality_filter(
         & (F.col("volatility") < volatility) & F.col("sharpe_ratio").between(*sharpe_between))
 
 
-def risk_metrics(df: DataFrame, bench: DataFrame | None = None, **limits) -> DataFrame:
-    """All metrics per ticker, filtered to the quality universe."""
+#: how often each moment is summarised: all returns, losses, days shared with the benchmark
+_MOMENTS = {"r": ("r",), "d": ("loss",), "s": ("sr", "sm")}
+
+
+def slice_summaries(df: DataFrame, bench: DataFrame) -> DataFrame:
+    """One row a ticker and year that merges with the others of its ticker (:func:`merge_summaries`).
+
+    Rows, first and last day and price; number, mean and sum of squares around
+    the mean of returns and of losses; the same and the product sum with the
+    benchmark on shared days; lowest and highest price and deepest fall; and
+    the shared days themselves (a year at most), newest first. One shuffle
+    brings the rows of a slice together, for the window and the summary.
+    """
+    days = day_table(bench.where(F.col("market_return").isNotNull()).select("date", "market_return"))
+    r, m = F.col("r"), F.col("market_return")
+    rows = df.select("ticker", "date", fraction().alias("r"), "close", "sector").join(days, "date", "left").select(
+        "*", F.struct("ticker", F.year("date").alias(SLICE)).alias(KEY),
+        F.when(r < 0, r).alias("loss"), F.when(m.isNotNull(), r).alias("sr"), F.when(r.isNotNull(), m).alias("sm"))
+    w = Window.partitionBy(KEY).orderBy("date")
+    peak = F.max("close").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.withColumns({
+        "fall": F.try_divide("close", peak) - 1,
+        "sector": F.first("sector", True).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+        "since": F.when(F.col("sector").isNotNull(), F.col("date")),
+    })
+    priced = F.when(F.col("close").isNotNull(), F.col("date"))
+    aggs = {
+        "num_records": F.count("date"), "first_date": F.min("date"), "last_date": F.max("date"), "since": F.min("since"),
+        "first_priced": F.min(priced), "first_price": F.min_by("close", priced),
+        "last_priced": F.max(priced), "last_price": F.max_by("close", priced),
+        "fall": F.min("fall"), "low": F.min("close"), "high": F.max("close"), "prices": F.count("close"),
+        "shared_days": F.reverse(F.array_sort(F.collect_list(F.when(F.col("sm").isNotNull(), F.struct("date", "sr", "sm"))))),
+    }
+    for kind, columns in _MOMENTS.items():
+        aggs[f"n_{kind}"] = F.count(columns[0])
+        for c in columns:
+            aggs |= {f"mean_{c}": F.avg(c), f"square_{c}": F.var_pop(c) * F.count(c)}
+    aggs["product"] = F.covar_pop("sr", "sm") * F.count("sr")
+    # the sector is one per slice: as a grouping column it stays out of the buffers
+    return rows.groupBy(KEY, "sector").agg(*[c.alias(n) for n, c in aggs.items()]).select("*", f"{KEY}.*").drop(KEY)
+
+
+def merge_summaries(slices: DataFrame, trailing: int = TRAILING) -> DataFrame:
+    """One row a ticker from its slices: everything but the quantile."""
+    whole = Window.partitionBy("ticker")
+    by_year = whole.orderBy(SLICE)
+    counts = {c: F.col(f"n_{kind}") for kind, columns in _MOMENTS.items() for c in columns}
+    out = slices.withColumns({
+        "later": F.coalesce(F.sum("n_s").over(by_year.rowsBetween(1, Window.unboundedFollowing)), F.lit(0)),
+        "before": F.max("high").over(by_year.rowsBetween(Window.unboundedPreceding, -1)),
+        **{f"all_{c}": F.try_divide(F.sum(n * F.col(f"mean_{c}")).over(whole), F.sum(n).over(whole)) for c, n in counts.items()},
+    })
+    off = {c: F.col(f"mean_{c}") - F.col(f"all_{c}") for c in counts}
+    square = {c: F.sum(F.col(f"square_{c}") + n * off[c] * off[c]) for c, n in counts.items()}
+    product = F.sum(F.col("product") + F.col("n_s") * off["sr"] * off["sm"])
+    days = F.slice("shared_days", F.lit(1), F.greatest(F.lit(0), trailing - F.col("later")).cast("int"))
+
+    def over_days(of):  # around the ticker's means, so that the sums of slices just add up
+        return F.sum(F.aggregate(days, F.lit(0.0), lambda t, x: t + of(x["sr"] - F.col("all_sr"), x["sm"] - F.col("all_sm"))))
+
+    n, u, v = F.sum(F.size(days)), over_days(lambda r, m: r), over_days(lambda r, m: m)
+    recent_square = over_days(lambda r, m: m * m) - v * v / n
+    recent_product = over_days(lambda r, m: r * m) - u * v / n
+
+    def deviation(c, kind):
+        n = F.sum(f"n_{kind}")
+        return F.when(n > 1, F.sqrt(square[c] / (n - 1)))
+
+    shared = F.sum("n_s")
+    least = F.max("all_sm") * F.max("all_sm") * 1e-28  # squares of equal numbers may leave a rounding of their mean
+    return out.groupBy("ticker").agg(
+        F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"),
+        F.sum("num_records").alias("num_records"),
+        F.max("all_r").alias("mean_return"), deviation("r", "r").alias("std_return"), deviation("loss", "d").alias("std_down"),
+        F.min_by("first_price", "first_priced").alias("first_price"), F.max_by("last_price", "last_priced").alias("last_price"),
+        F.min(F.least(F.col("fall"), F.try_divide("low", "before") - 1)).alias("max_drawdown"), F.sum("prices").alias("prices"),
+        shared.alias("shared"), F.when(square["sm"] > shared * least, product / square["sm"]).alias("slope"),
+        F.max("all_sr").alias("mean_shared"), F.max("all_sm").alias("mean_market"),
+        n.alias("recent"), F.when(recent_square > n * least, recent_product / recent_square).alias("beta_recent"),
+        F.min_by("sector", "since").alias("sector"))
+
+
+def risk_metrics(df: DataFrame, bench: DataFrame | None = None, trailing: int = TRAILING, **limits) -> DataFrame:
+    """All metrics per ticker, filtered to the quality universe: one pass over the
+    rows for everything but the quantile, from summaries that merge."""
     bench = benchmark_from_bars(df) if bench is None else bench
-    out = (
-        add_ratios(risk_base(df)).drop("std_down")
-        .join(var95(df), "ticker", "left")
-        .join(max_drawdown(df), "ticker", "left")
-        .join(betas(df, bench), "ticker", "left")
-        .withColumn("beta", F.col("beta_rolling_252"))
-    )
-    return quality_filter(out, **limits)
+    beta = F.when(F.col("shared") >= MIN_SHARED, F.col("slope"))
+    rolling = F.when(F.col("beta_static").isNotNull(), F.when(
+        F.col("recent") >= trailing, F.col("beta_recent")).otherwise(F.col("beta_static")))
+    expected = DAILY_RF + F.col("beta_static") * (F.col("mean_market") - DAILY_RF)
+    out = add_ratios(merge_summaries(slice_summaries(df, bench), trailing)).withColumns({
+        "max_drawdown": F.when(F.col("prices") >= MIN_ROWS, F.col("max_drawdown")),
+        "beta_static": beta,
+    }).withColumns({
+        f"beta_rolling_{trailing}": rolling,
+        "alpha": (F.col("mean_shared") - expected) * TRADING_DAYS,
+        "beta": rolling,
+    }).drop("std_down", "prices", "shared", "slope", "mean_shared", "mean_market", "recent", "beta_recent")
+    return quality_filter(out.join(var95(df), "ticker", "left"), **limits)
 
 
 def sector_risk(metrics: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ hot its key. For a finer order pass a finer ``slice_by``, such as the hour.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,25 +78,51 @@ def with_carry(
     return out.select(*df.columns, *[c.alias(n) for n, c in combine.items()])
 
 
-def running_sum(df, by, order, sums: Mapping[str, Column], slice_by=None) -> DataFrame:
-    """Running totals: ``{output: summed column}``."""
+@dataclass(frozen=True)
+class Carry:
+    """What :func:`with_carry` needs for some output columns; several share one window and one join."""
+
+    local: Callable[[WindowSpec], Mapping[str, Column]]
+    summary: Mapping[str, Column]
+    carry: Callable[[WindowSpec], Mapping[str, Column]]
+    combine: Mapping[str, Column]
+
+
+def with_carries(df: DataFrame, by: Sequence[str], order: Sequence[str], *carries: Carry, slice_by: Column | None = None) -> DataFrame:
+    """Columns of all ``carries``, in one pass over the rows. Their inner names must differ."""
+    def merged(parts) -> dict[str, Column]:
+        out = {}
+        for part in parts:
+            if out.keys() & part.keys():
+                raise ValueError(f"two carries use {sorted(out.keys() & part.keys())}")
+            out |= part
+        return out
+
     return with_carry(
         df, by, order, slice_by=slice_by,
-        local=lambda w: {f"__l_{n}": F.sum(c).over(_so_far(w)) for n, c in sums.items()},
-        summary={f"__s_{n}": F.sum(c) for n, c in sums.items()},
-        carry=lambda e: {f"__c_{n}": F.sum(f"__s_{n}").over(e) for n in sums},
+        local=lambda w: merged(c.local(w) for c in carries),
+        summary=merged(c.summary for c in carries),
+        carry=lambda e: merged(c.carry(e) for c in carries),
+        combine=merged(c.combine for c in carries))
+
+
+def sums(cols: Mapping[str, Column]) -> Carry:
+    """Running totals: ``{output: summed column}``."""
+    return Carry(
+        local=lambda w: {f"__l_{n}": F.sum(c).over(_so_far(w)) for n, c in cols.items()},
+        summary={f"__s_{n}": F.sum(c) for n, c in cols.items()},
+        carry=lambda e: {f"__c_{n}": F.sum(f"__s_{n}").over(e) for n in cols},
         combine={
             n: F.when(F.col(f"__c_{n}").isNull(), F.col(f"__l_{n}"))
             .otherwise(F.col(f"__c_{n}") + F.coalesce(F.col(f"__l_{n}"), F.col(f"__c_{n}") * 0))
-            for n in sums
+            for n in cols
         },
     )
 
 
-def row_numbers(df, by, order, name: str = ROW, slice_by=None) -> DataFrame:
+def numbers(name: str = ROW) -> Carry:
     """1-based position of each row in its series."""
-    return with_carry(
-        df, by, order, slice_by=slice_by,
+    return Carry(
         local=lambda w: {"__l": F.row_number().over(w).cast("long")},
         summary={"__s": F.count(F.lit(1))},
         carry=lambda e: {"__c": F.sum("__s").over(e)},
@@ -103,23 +130,20 @@ def row_numbers(df, by, order, name: str = ROW, slice_by=None) -> DataFrame:
     )
 
 
-def series_size(df, by, order, name: str, slice_by=None) -> DataFrame:
+def sizes(by: Sequence[str], name: str) -> Carry:
     """Number of rows of each row's series, joined by slice and not by the (maybe hot) key."""
-    whole = Window.partitionBy(*by)
-    return with_carry(
-        df, by, order, slice_by=slice_by,
+    return Carry(
         local=lambda w: {},
-        summary={"__s": F.count(F.lit(1))},
-        carry=lambda e: {"__c": F.sum("__s").over(whole)},
-        combine={name: F.col("__c")},
+        summary={"__rows": F.count(F.lit(1))},
+        carry=lambda e: {"__size": F.sum("__rows").over(Window.partitionBy(*by))},
+        combine={name: F.col("__size")},
     )
 
 
-def previous(df, by, order, cols: Mapping[str, Column], slice_by=None) -> DataFrame:
+def before(order: Sequence[str], cols: Mapping[str, Column]) -> Carry:
     """The value of the row before, null on the first row of a series."""
     position = _position(order)
-    return with_carry(
-        df, by, order, slice_by=slice_by,
+    return Carry(
         local=lambda w: {
             "__first": F.row_number().over(w) == 1,
             **{f"__l_{n}": F.lag(c).over(w) for n, c in cols.items()},
@@ -133,11 +157,10 @@ def previous(df, by, order, cols: Mapping[str, Column], slice_by=None) -> DataFr
     )
 
 
-def last_known(df, by, order, cols: Mapping[str, Column], slice_by=None) -> DataFrame:
+def known(order: Sequence[str], cols: Mapping[str, Column]) -> Carry:
     """Forward fill: the newest non-null value at or before each row."""
     position = _position(order)
-    return with_carry(
-        df, by, order, slice_by=slice_by,
+    return Carry(
         local=lambda w: {f"__l_{n}": F.last(c, True).over(_so_far(w)) for n, c in cols.items()},
         summary={
             f"__s_{n}": F.max_by(c, F.when(c.isNotNull(), position)) for n, c in cols.items()
@@ -147,6 +170,26 @@ def last_known(df, by, order, cols: Mapping[str, Column], slice_by=None) -> Data
     )
 
 
+def running_sum(df, by, order, cols: Mapping[str, Column], slice_by=None) -> DataFrame:
+    return with_carries(df, by, order, sums(cols), slice_by=slice_by)
+
+
+def row_numbers(df, by, order, name: str = ROW, slice_by=None) -> DataFrame:
+    return with_carries(df, by, order, numbers(name), slice_by=slice_by)
+
+
+def series_size(df, by, order, name: str, slice_by=None) -> DataFrame:
+    return with_carries(df, by, order, sizes(by, name), slice_by=slice_by)
+
+
+def previous(df, by, order, cols: Mapping[str, Column], slice_by=None) -> DataFrame:
+    return with_carries(df, by, order, before(order, cols), slice_by=slice_by)
+
+
+def last_known(df, by, order, cols: Mapping[str, Column], slice_by=None) -> DataFrame:
+    return with_carries(df, by, order, known(order, cols), slice_by=slice_by)
+
+
 def drawdown_by(
     df: DataFrame, by: Sequence[str], order: str, value: str, slice_by: Column | None = None
 ) -> DataFrame:

@@ -313,3 +313,42 @@ def test_contracts_take_typed_columns():
 
     with pytest.raises(TypeError):
         TableContract("t", "date date!, ticker str!", ("date",))
+
+
+def test_merged_risk_equals_single_metrics(spark):
+    """Years merge to what the metrics give over whole series, with gaps, constants and short series."""
+    import random
+
+    rnd = random.Random(4)
+    rows = []
+    for t, n, sector in (("SPY", 900, "Fund"), ("A", 900, "X"), ("B", 400, None), ("C", 70, "X"), ("D", 31, "Y"), ("E", 5, "Z"), ("F", 1, None)):
+        price = 100.0
+        for i in range(n):
+            r = None if rnd.random() < 0.03 else rnd.gauss(0.05, 2)
+            price *= 1 + (r or 0) / 100
+            day = dt.date(2015, 1, 1) + dt.timedelta(days=i + (200 if t == "B" else 0))
+            rows.append((t, day, None if rnd.random() < 0.05 else price, r, sector if rnd.random() < 0.9 else "W"))
+    rows += [("G", dt.date(2015, 1, 1) + dt.timedelta(days=i), 10.0, 0.0, "X") for i in range(100)]
+    df = spark.createDataFrame(rows, "ticker string, date date, close double, daily_return double, sector string")
+    bench = risk.benchmark_from_bars(df)
+    merged = {r["ticker"]: r.asDict() for r in risk.merge_summaries(risk.slice_summaries(df, bench)).collect()}
+    base = {r["ticker"]: r.asDict() for r in risk.risk_base(df).collect()}
+    falls = {r["ticker"]: r["max_drawdown"] for r in risk.max_drawdown(df, min_rows=1).collect()}
+    static = {r["ticker"]: r.asDict() for r in risk.beta_static(df, bench, 1).collect()}
+    recent = {r["ticker"]: r.asDict() for r in risk.beta_trailing(df, bench).collect()}
+    assert merged.keys() == base.keys() and len(merged) == 8
+
+    def close(a, b):
+        return a == b if a is None or b is None or not isinstance(a, float) else math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-12)
+
+    for t, m in merged.items():
+        for c, v in base[t].items():
+            assert close(m[c], v), (t, c, m[c], v)
+        assert close(m["max_drawdown"], falls.get(t)) and close(m["slope"], static[t]["beta_static"])
+        assert m["shared"] == static[t]["shared"] and m["recent"] == recent[t]["recent"]
+        assert close(m["beta_recent"], recent[t]["beta_recent"])
+    flat = spark.createDataFrame([(t, dt.date(2015 + i % 2, 1, 1) + dt.timedelta(days=i), 1.0, 0.3, "X") for t in ("SPY", "A") for i in range(90)],
+                                 df.schema)
+    rows = risk.merge_summaries(risk.slice_summaries(flat, risk.benchmark_from_bars(flat))).collect()
+    assert [r["slope"] for r in rows] == [None, None]
+    assert risk.risk_metrics(df.limit(0)).collect() == []

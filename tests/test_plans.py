@@ -48,3 +48,23 @@ def test_feature_shuffles_once_per_stage(spark):
 def test_every_query_but_models_has_a_twin():
     bare = {n for n, q in REGISTRY.items() if q.sql is None}
     assert bare == {"model_feature_importance", "model_top_features"}
+
+
+def scans(df):
+    """File scans and shuffles of whole rows in the plan as it ran; reused exchanges are not run again."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    return text.count("FileScan parquet")
+
+
+def test_source_is_scanned_once(spark, tmp_path):
+    from tapeloom.operators import clean, risk
+    from tapeloom.plans import fixtures as fx
+    from tapeloom.plans.queries_gold import priced
+
+    raw = fx.bars_dirty(spark, SF)
+    raw.write.parquet(str(tmp_path / "raw"))
+    out = clean.clean_bars(spark.read.parquet(str(tmp_path / "raw")))
+    text = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "raw" not in {f.rsplit("/", 2)[-2].split("-")[0] for f in out.inputFiles()} and "ingested_at" in text
+    assert scans(risk.risk_metrics(priced(spark, SF))) <= 3

@@ -198,3 +198,13 @@ def test_carry_shuffles_the_rows_once(spark, data):
         assert plan.count("Exchange hashpartitioning") == 4
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_carries_share_one_pass(spark, data):
+    by, order = ["k"], ["date"]
+    got = tb.with_carries(data, by, order, tb.before(order, {"p": F.col("v")}), tb.sizes(by, "size"), tb.numbers("n"))
+    w = plain()
+    want = data.withColumns({"p": F.lag("v").over(w), "size": F.count("*").over(Window.partitionBy("k")), "n": F.row_number().over(w)})
+    same(got, want, ["k", "date", "p", "size", "n"])
+    with pytest.raises(ValueError):
+        tb.with_carries(data, by, order, tb.numbers("n"), tb.numbers("m"))
