@@ -18,6 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapeloom.llm.common import stage
 
@@ -137,15 +138,16 @@ def fingerprints(docs: DataFrame, k: int = KMER) -> DataFrame:
     wordless texts have an empty fingerprint. Repeated rows get a row each; an
     empty table gives none; other columns, whatever their names, are ignored.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    placed = texts.where(F.col("doc_id").isNotNull())
+    # a key under its own name, not an alias of itself: then both joins have the same shuffle of the texts, which runs once
+    key = F.col("doc_id") if docs.schema["doc_id"].dataType == T.LongType() else F.col("doc_id").cast("long").alias("doc_id")
+    texts = docs.select(key, F.coalesce("text", F.lit("")).alias("text"))
+    placed = texts.where(F.col("doc_id").isNotNull()).repartition("doc_id")
     ids = docs.select(F.col("doc_id").cast("long").alias("id")).where(F.col("id").isNotNull()).distinct()
     edge = ids.agg(F.min("id")).first()[0]
     first = F.lit(edge).cast("long")
     after = following(ids).select(F.col("id").alias("doc_id"), F.coalesce("next_id", first).alias("next_id"))
     wanted = texts.select("doc_id", F.length("text").alias("n")).distinct().join(after, "doc_id", "left").select(
         F.col("doc_id").alias("to"), F.col("n").alias("of"), F.coalesce("next_id", first).alias("next_id"))
-    # texts meet both who wants their head and the head they want under their doc_id: they are dealt once
     heads = placed.join(wanted.where(F.col("next_id").isNotNull()), F.col("doc_id") == F.col("next_id")).groupBy("to", "of", "next_id").agg(
         F.min(F.struct(F.xxhash64("text").alias("h"), F.expr("left(text, of div 2)").alias("head"))).alias("d")).select(
         "to", "of", "next_id", "d.head")
