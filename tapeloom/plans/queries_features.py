@@ -226,11 +226,24 @@ def _(spark, sf):
     return models.two_sample(effects(spark, sf), TREATMENTS, "avg_return")
 
 
-# |t| > 1.9613 is p < 0.05 at the 2,000-odd degrees of freedom here
-@query("model_treatment_test", "L03", f"""
-  SELECT treatment, treated, control, effect, t_value, abs(t_value) > 1.9613 AS significant FROM ({TWO_SAMPLE})""", "effect t_value")
+# Student's distribution at a whole number of degrees of freedom is a finite series in the angle atan(t / sqrt(nu))
+STUDENT = f"""
+  WITH RECURSIVE s AS (SELECT *, treated + control - 2 AS nu, atan(abs(t_value) / sqrt(treated + control - 2)) AS h FROM ({TWO_SAMPLE})),
+  terms AS (
+    SELECT treatment, nu, h, 0 AS j, CASE WHEN nu % 2 = 0 THEN 1 ELSE cos(h) END::DOUBLE AS term FROM s WHERE t_value IS NOT NULL
+    UNION ALL
+    SELECT treatment, nu, h, j + 1,
+           term * cos(h) * cos(h) * CASE WHEN nu % 2 = 0 THEN (2 * j + 1)::DOUBLE / (2 * j + 2) ELSE (2 * j + 2)::DOUBLE / (2 * j + 3) END
+    FROM terms WHERE j + 1 <= (nu - 2 - nu % 2) / 2),
+  inside AS (SELECT treatment, sin(any_value(h)) * sum(term) AS total FROM terms GROUP BY treatment)
+  SELECT treatment, treated, control, effect, t_value,
+         CASE WHEN total IS NULL THEN 0.5 WHEN nu % 2 = 0 THEN 1 - total ELSE 1 - 2 / pi() * (h + total) END::DOUBLE AS p_value
+  FROM s LEFT JOIN inside USING (treatment)"""
+
+
+@query("model_treatment_test", "L03", f"SELECT *, p_value < 0.05 AS significant FROM ({STUDENT})", "effect t_value p_value")
 def _(spark, sf):
-    return models.treatment_test(effects(spark, sf), TREATMENTS, "avg_return").drop("p_value")
+    return models.treatment_test(effects(spark, sf), TREATMENTS, "avg_return")
 
 
 COMPLETE = "SELECT * FROM effects WHERE vix IS NOT NULL AND fed_funds_rate IS NOT NULL"
@@ -245,6 +258,19 @@ def _(spark, sf):
     return models.ate(effects(spark, sf), "vix", "avg_return", ["fed_funds_rate"])
 
 
+def _adjusted_sql(t, c):
+    return f"""
+  SELECT '{t}' AS treatment, (SELECT regr_slope(avg_return, {t}) FROM effects WHERE {t} IS NOT NULL) AS raw_ate,
+         (covar_samp(avg_return, {t}) * var_samp({c}) - covar_samp(avg_return, {c}) * covar_samp({t}, {c}))
+         / (var_samp({t}) * var_samp({c}) - covar_samp({t}, {c}) ** 2) AS adjusted_ate
+  FROM effects WHERE {t} IS NOT NULL AND {c} IS NOT NULL"""
+
+
+@query("model_treatment_effects", "L04", " UNION ALL ".join(_adjusted_sql(t, "vix") for t in ("fed_funds_rate", "cpi")), "raw_ate adjusted_ate")
+def _(spark, sf):
+    return models.ate_all(effects(spark, sf), ("fed_funds_rate", "cpi"), "avg_return", ["vix"])
+
+
 @query("model_effect_table", "L05", f"""
   SELECT 'high_' || treatment AS treatment, effect AS adjusted_ate, effect * 100 AS ate_pct,
          CASE treatment WHEN 'vix' THEN 'Vix' WHEN 'cpi' THEN 'Cpi' ELSE 'Fed Funds Rate' END AS treatment_clean,

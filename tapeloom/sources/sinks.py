@@ -11,15 +11,18 @@ from pyspark.sql import types as T
 from tapeloom.sources.snapshots import _exists, read_snapshot, write_snapshot
 
 
-def write_by_date(df: DataFrame, path: str, mode: str = "overwrite", files_per_date: int = 1) -> None:
+def write_by_date(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = 4_000_000) -> None:
     """Partition by ``date``. Overwriting replaces only the dates present in ``df``.
 
-    Rows of a date are spread over ``files_per_date`` tasks by ticker, so that a
-    big date is not one task.
+    The rows of each date are counted first: a date of more than
+    ``rows_per_file`` rows is dealt over as many tasks as it needs by the hash
+    of its rows, all others stay one file.
     """
-    part = F.pmod(F.xxhash64("ticker"), F.lit(files_per_date))
+    counts = df.groupBy("date").agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("__files"))
+    part = F.pmod(F.xxhash64(*df.columns), F.coalesce("__files", F.lit(1)))
     laid = (
-        df.withColumn("__file", part).repartition("date", "__file")
+        df.join(F.broadcast(counts), "date", "left")  # one row a day
+        .select(*df.columns, part.alias("__file")).repartition("date", "__file")
         .sortWithinPartitions("date", "ticker").drop("__file")
     )
     writer = laid.write.partitionBy("date").mode(mode)

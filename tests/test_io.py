@@ -188,3 +188,19 @@ def test_refresh_keeps_old_price(spark):
     new = spark.createDataFrame([("B", 3.0)], "ticker string, last_price double")
     out = {r.ticker: (r.last_price, r.updated_at is not None) for r in refresh_prices(old, new).collect()}
     assert out == {"A": (1.0, False), "B": (3.0, True)}
+
+
+def test_big_dates_are_dealt_over_files(spark, tmp_path):
+    from tapeloom.sources import sinks
+
+    rows = [("2020-01-01", f"T{i % 3}", float(i)) for i in range(500)] + [("2020-01-02", "T1", 1.0), (None, "T1", 2.0)]
+    df = spark.createDataFrame(rows, "date string, ticker string, close double").withColumn("date", F.col("date").cast("date"))
+    path = str(tmp_path / "days")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few bytes would be joined into one task
+    try:
+        sinks.write_by_date(df, path, rows_per_file=100)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "days").iterdir() if d.is_dir()}
+    assert files["date=2020-01-01"] >= 3 and files["date=2020-01-02"] == 1
+    assert spark.read.parquet(path).count() == len(rows)

@@ -352,3 +352,38 @@ def test_merged_risk_equals_single_metrics(spark):
     rows = risk.merge_summaries(risk.slice_summaries(flat, risk.benchmark_from_bars(flat))).collect()
     assert [r["slope"] for r in rows] == [None, None]
     assert risk.risk_metrics(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("t, freedom, p", [
+    (0.0, 5, 1.0), (2.0, 1, 0.29516723530086653), (2.0, 10, 0.07338803477074071), (-1.96, 1000, 0.05027318495575),
+    (12.0, 30, 5.580185415199218e-13), (1e-9, 3, 0.9999999992648941), (3.5, 2_000_000, 0.000465268275467)])
+def test_student(t, freedom, p):
+    """Against the density, integrated numerically."""
+    assert math.isclose(models.two_sided_p(t, freedom), p, rel_tol=1e-8)
+
+
+def test_slopes_of_all_treatments_in_one_pass(spark):
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(2)
+    rows = []
+    for _ in range(300):
+        a, b = rnd.gauss(5, 2), rnd.gauss(-1, 1)
+        c = 0.3 * a + rnd.gauss(0, 1)
+        rows.append((a if rnd.random() < 0.9 else None, b, c if rnd.random() < 0.95 else None, 1.0, 2 * a - b + 0.5 * c + rnd.gauss(0, 1)))
+    df = spark.createDataFrame(rows, "a double, b double, c double, k double, y double").repartition(5)
+    out = {r["treatment"]: r for r in models.ate_all(df, ["a", "b", "c", "k"], "y", ["a", "c"]).collect()}
+
+    def want(columns):
+        full = [r for r in rows if all(r["abck".index(x)] is not None for x in columns)]
+        x = np.array([[1.0, *[r["abck".index(c)] for c in columns]] for r in full])
+        return np.linalg.lstsq(x, np.array([r[4] for r in full]), rcond=None)[0][1]
+
+    for t in "abc":
+        assert math.isclose(out[t]["raw_ate"], want([t]), rel_tol=1e-9)
+        assert math.isclose(out[t]["adjusted_ate"], want([t, *[c for c in "ac" if c != t]]), rel_tol=1e-9)
+    assert out["k"]["raw_ate"] is None and out["k"]["adjusted_ate"] is None  # a constant has no effect to tell
+    empty = models.ate(df.limit(0), "a", "y").first()
+    assert empty["raw_ate"] is None
