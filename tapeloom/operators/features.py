@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from tapeloom.operators import unify
-from tapeloom.operators.timeblocks import BLOCK, BLOCK_ROWS, KEY, ROW, decayed_sums, frame, full_frame, rolling
+from tapeloom.operators.timeblocks import BLOCK, BLOCK_ROWS, KEY, ROW, decayed_sums, frame, full_frame, rolling, row_numbers
 
 YEAR_ROOT = math.sqrt(252)
 SMA_PERIODS = (5, 10, 20, 50)
@@ -274,7 +274,9 @@ def together(*steps: Step) -> list[Wave]:
 
 
 def _run(df: DataFrame, steps: Sequence[Step], back: int, ahead: int = 0, averages: Averages | None = None,
-         block_rows: int | None = None, **kw) -> DataFrame:
+         block_rows: int | None = None, prices: DataFrame | None = None, **kw) -> DataFrame:
+    """``prices`` are the rows of ``df`` before anything was joined to them: the
+    averages that enter the blocks need no more."""
     by, order = ["ticker"], ["date"]
     most = averages.block_rows if averages else BLOCK_ROWS
     block_rows = min(block_rows or most, most)
@@ -284,7 +286,9 @@ def _run(df: DataFrame, steps: Sequence[Step], back: int, ahead: int = 0, averag
         entering = None
         if averages:
             local = averages.local(home)
-            narrow = block.select(KEY, ROW, BLOCK, "close")
+            narrow = row_numbers((df if prices is None else prices).select(*by, *order, "close"), by, order, slice_by=kw.get("slice_by"))
+            narrow = narrow.withColumn(BLOCK, F.floor((F.col(ROW) - 1) / block_rows)).select(
+                F.struct(*by, BLOCK).alias(KEY), ROW, BLOCK, "close")
             for wave in local:
                 narrow = narrow.withColumns(wave(w))
             entering = averages.entering(narrow, home, by)
@@ -364,11 +368,11 @@ def engineer_features(df: DataFrame, econ: DataFrame | None = None, news: DataFr
                       horizon: int | None = 1, **kw) -> DataFrame:
     """Price, indicator and news features. News is joined first, so that its
     rolling mean shares the one pass; indicators are a day table."""
-    more = []
+    more, prices = [], df
     if news is not None:
         df = unify.attach_news(df, news)
         more.append([unify.sentiment_mean])
-    out = technical_features(df, horizon, more, **kw)
+    out = technical_features(df, horizon, more, prices=prices, **kw)
     return unify.economic_features(out, econ, dates=df) if econ is not None else out
 
 
