@@ -13,6 +13,7 @@ from tapeloom.plans.queries_clean import silver
 from tapeloom.plans.queries_gold import holdings
 from tapeloom.plans.registry import query, view
 from tapeloom.sources import payloads, readers, sinks, snapshots
+from tapeloom.sources.partitions import by_day, by_hash
 from tapeloom.sources.staging import shared_dir, staged_once
 from tapeloom.streaming import bars as live
 from tapeloom.streaming import refresh
@@ -346,19 +347,14 @@ def tick_stream(spark, sf):
         F.lit(1).cast("long").alias("size"))
 
 
-def _upserted(spark, stream, schema, keys):
-    """Run a stream to its end, keeping the newest row per key in a published table."""
+def _upserted(spark, stream, schema, keys, part):
+    """Run a stream to its end, keeping the newest row per key in a live table."""
     pub = sinks.Publisher(spark, folder(spark, "stream"))
-
-    def step(batch, batch_id):
-        pub.publish("out", sinks.upsert_by_key(pub.load_published("out", schema), batch, keys))
-
+    step = refresh.upsert_step(pub, "out", schema, keys, part)
     live.for_each_batch(stream, step, folder(spark, "checkpoint"), mode="update").awaitTermination()
     return pub.load_published("out", schema)
 
 
-BAR_SCHEMA = ("bar_start timestamp, bar_end timestamp, ticker string, open double, high double, low double, "
-              "close double, volume bigint")
 view("tick_bars", """
   SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS bar_start, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS bar_end,
          ticker, arg_min(price, ts) AS open, max(price) AS high, min(price) AS low, arg_max(price, ts) AS close,
@@ -374,13 +370,13 @@ def _ntz(df):
   SELECT ticker, arg_max(price, ts) AS last_price, max(ts) AS last_ts FROM ticks GROUP BY ticker""", "last_price")
 def _(spark, sf):
     out = _upserted(spark, live.stream_latest(tick_stream(spark, sf)),
-                    "ticker string, last_price double, last_ts timestamp", ["ticker"])
+                    "ticker string, last_price double, last_ts timestamp", ["ticker"], by_hash("ticker"))
     return _ntz(out)
 
 
 @query("stream_five_minute_bars", "O02", "SELECT * FROM tick_bars", PRICES)
 def _(spark, sf):
-    return _ntz(_upserted(spark, live.stream_bars(tick_stream(spark, sf)), BAR_SCHEMA, ["bar_start", "ticker"]))
+    return _ntz(_upserted(spark, live.stream_bars(tick_stream(spark, sf)), refresh.BARS, ["bar_start", "ticker"], by_day("bar_start")))
 
 
 @query("stream_to_bronze", "O03", "SELECT *, CAST(ts AS DATE) AS date FROM ticks", "price")
@@ -399,8 +395,9 @@ def _(spark, sf):
         pub.publish("gold", bars.groupBy("ticker").agg(
             F.count(F.lit(1)).alias("bars"), F.max("close").alias("high_close")))
 
-    live.for_each_batch(tick_stream(spark, sf), refresh.layered(refresh.bars_step(pub, folder(spark, "layers-bronze")), gold_step),
-                        folder(spark, "checkpoint")).awaitTermination()
+    bars = live.stream_bars(tick_stream(spark, sf))
+    live.for_each_batch(bars, refresh.layered(refresh.state_bars_step(pub), gold_step),
+                        folder(spark, "checkpoint"), mode="update").awaitTermination()
     return pub.load_published("gold", "ticker string, bars bigint, high_close double")
 
 

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapeloom.sources.snapshots import _exists, read_snapshot, write_snapshot
+from tapeloom.sources.commits import exists
+from tapeloom.sources.partitions import PartitionedTable
+from tapeloom.sources.snapshots import current_version, is_snapshot, read_snapshot, write_snapshot
 
 
 def write_by_date(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = 4_000_000) -> None:
@@ -52,7 +54,11 @@ def upsert_by_key(df: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataF
 
 class Publisher:
     """Serving tables under one folder. Each publication is a new snapshot, so
-    readers see the old table until the manifest row of the new one is written."""
+    readers see the old table until the manifest row of the new one is written.
+
+    A stream changes a published table through :meth:`live`, a table in parts
+    that belongs to one publication; the next publication replaces it.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -68,15 +74,36 @@ class Publisher:
         ).write.mode("append").parquet(f"{self.root}/_published")
         return version
 
+    def _live_path(self, name: str) -> str:
+        path = self.path(name)
+        version = current_version(self.spark, path) if is_snapshot(self.spark, path) else None
+        return f"{path}.live/{'none' if version is None else version}"
+
+    def live(self, name: str, schema: T.StructType | str, keys: Sequence[str], part: Column, **more) -> PartitionedTable:
+        """The newest publication as a table in parts; it is filled when it is first asked for.
+
+        Columns of ``schema`` that the publication lacks are null.
+        """
+        table = PartitionedTable(self.spark, self._live_path(name), schema, keys, part, **more)
+        if not table.versions() and is_snapshot(self.spark, self.path(name)):
+            base = read_snapshot(self.spark, self.path(name))
+            have = {f.name for f in base.schema}
+            table.upsert(base.select(*[
+                (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in table.schema]))
+        return table
+
     def load_published(self, name: str, schema: T.StructType | str) -> DataFrame:
-        """The newest publication, or an empty table of the schema."""
-        if not _exists(self.spark, self.path(name)):
+        """The newest publication with what streams changed since, or an empty table of the schema."""
+        live = PartitionedTable(self.spark, self._live_path(name))
+        if live.versions():
+            return live.read_all()
+        if not exists(self.spark, self.path(name)):
             return self.spark.createDataFrame([], schema)
         return read_snapshot(self.spark, self.path(name))
 
     def manifest(self) -> DataFrame:
         """(name, batch_date, updated_at) of every publication."""
-        if not _exists(self.spark, f"{self.root}/_published"):
+        if not exists(self.spark, f"{self.root}/_published"):
             return self.spark.createDataFrame(
                 [], "name string, batch_date date, updated_at timestamp")
         return self.spark.read.parquet(f"{self.root}/_published")

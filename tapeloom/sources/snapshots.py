@@ -1,7 +1,8 @@
 """Versioned tables: a folder of its own for every write, and a manifest row that names it.
 
-A write that fails leaves a folder that no row names. The row of a version is
-written once, so that the second of two writers of one version is refused.
+A write that fails leaves a folder that no row names. A writer claims its
+version by creating a file that must not exist, before it writes the row, so
+the file system refuses the second of two writers that started from one version.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapeloom.sources.commits import ABANDONED, claim, claims, exists, remove
+
 MANIFEST = (
     "version bigint, operation string, rows bigint, columns array<string>, written_at timestamp, folder string"
 )
@@ -25,14 +28,12 @@ def _manifest(path: str) -> str:
     return f"{path.rstrip('/')}/manifest"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _claims(path: str) -> str:
+    return f"{path.rstrip('/')}/claims"
 
 
 def is_snapshot(spark: SparkSession, path: str) -> bool:
-    return _exists(spark, _manifest(path))
+    return exists(spark, _manifest(path))
 
 
 def snapshot_history(spark: SparkSession, path: str, last: int | None = None) -> DataFrame:
@@ -61,8 +62,10 @@ def write_snapshot(df: DataFrame, path: str, mode: str = "overwrite", keep_histo
     """Write a version and return its number.
 
     ``append`` adds the rows as the next version. ``overwrite`` adds a full
-    version; without ``keep_history`` it starts again at version 0.
-    Rows are counted from the footers of the written files.
+    version; without ``keep_history`` it starts again at version 0, which is for
+    a table with one writer. Rows are counted from the footers of the written
+    files. FileExistsError if another writer took the version meanwhile; its
+    version stands, and the folder of the refused one is removed.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"unknown mode {mode}")
@@ -70,6 +73,10 @@ def write_snapshot(df: DataFrame, path: str, mode: str = "overwrite", keep_histo
     newest = current_version(spark, path) if is_snapshot(spark, path) else None
     fresh = mode == "overwrite" and not keep_history
     version = 0 if newest is None or fresh else newest + 1
+    ages = claims(spark, _claims(path))
+    start = max((int(n.split("-")[0]) for n in ages), default=0) + (1 if fresh else 0)  # counts the restarts
+    while not fresh and f"{start}-{version}" in ages and ages[f"{start}-{version}"] > ABANDONED:
+        version += 1
     target = f"{_data(path)}/{version}-{uuid.uuid4().hex}"
     writer = df.write.mode("errorifexists")
     if partition_by:
@@ -80,6 +87,11 @@ def write_snapshot(df: DataFrame, path: str, mode: str = "overwrite", keep_histo
         F.lit(version).cast("long").alias("version"), F.lit(mode).alias("operation"), "rows",
         F.array(*[F.lit(c) for c in df.columns]).alias("columns"),
         F.current_timestamp().alias("written_at"), F.lit(target).alias("folder")).coalesce(1)
+    try:
+        claim(spark, _claims(path), f"{start}-{version}")
+    except FileExistsError:
+        remove(spark, target)
+        raise
     if fresh:
         row.withColumn("of", F.lit(version)).write.mode("overwrite").option(
             "partitionOverwriteMode", "static").partitionBy("of").parquet(_manifest(path))
@@ -107,5 +119,17 @@ def read_snapshot(spark: SparkSession, path: str, version: int | None = None,
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def expire_snapshots(spark: SparkSession, path: str, keep: int = 10) -> list[int]:
+    """Remove the versions that neither the newest ``keep`` nor the full version they build on need; return their numbers."""
+    log = {r["version"]: r for r in snapshot_history(spark, path).select("version", "operation", "folder").collect()}
+    kept = sorted(log)[-keep:]
+    base = max((v for v, r in log.items() if r["operation"] == "overwrite" and kept and v <= kept[0]), default=None)
+    gone = [v for v in sorted(log) if base is not None and v < base]
+    for v in gone:  # the row first, so that no row names a folder that is gone
+        remove(spark, f"{_manifest(path)}/of={v}")
+        remove(spark, log[v]["folder"])
+    return gone
+
+
 def to_snapshot(spark: SparkSession, path_in: str, path_out: str) -> int:
     return write_snapshot(spark.read.parquet(path_in), path_out)
