@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapeloom.contracts import TableContract
+from tapeloom.operators import timeblocks
 from tapeloom.operators.clean import CRITICAL, null_counts
 from tapeloom.operators.quantiles import quantiles
 
@@ -255,13 +256,25 @@ def clean_metrics(df: DataFrame, mode: str = "null") -> DataFrame:
 
 
 def adjust_splits(bars: DataFrame, splits: DataFrame, price: str = "price") -> DataFrame:
-    """Divide each price by the ratios of all later splits of its ticker."""
-    per_ticker = splits.groupBy("ticker").agg(
-        F.sort_array(F.collect_list(F.struct("split_date", "ratio"))).alias("__splits"))
-    later = F.filter("__splits", lambda s: s["split_date"] > F.col("date"))
-    factor = F.aggregate(later, F.lit(1.0), lambda acc, s: acc * s["ratio"])
-    out = bars.join(per_ticker, "ticker", "left")
-    return out.withColumn(price, F.col(price) / F.coalesce(factor, F.lit(1.0))).drop("__splits")
+    """Divide each price by the ratios of all later splits of its ticker.
+
+    Bars and splits are one series, walked from its end by years; a slice holds
+    a bar and a split a day, whatever the number of splits. Rows without a date
+    or a ticker, and splits without a ratio, change nothing.
+    """
+    daily = splits.dropna(subset=["ticker", "split_date", "ratio"]).groupBy(
+        "ticker", F.col("split_date").alias("date")).agg(F.product("ratio").alias("__ratio"))
+    both = bars.withColumn("__split", F.lit(0)).unionByName(daily.withColumn("__split", F.lit(1)), allowMissingColumns=True)
+    # from the last day back; a split counts for the days before it, so the bar of its day comes first
+    both = both.withColumn("__back", -F.datediff("date", F.lit("1970-01-01")))
+    ratios = F.product("__ratio")
+    out = timeblocks.with_carry(
+        both, ["ticker"], ["__back", "__split"], slice_by=-F.year("date"),
+        local=lambda w: {"__here": ratios.over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))},
+        summary={"__all": ratios},
+        carry=lambda earlier: {"__after": F.product("__all").over(earlier)},
+        combine={"__factor": F.coalesce(F.col("__here"), F.lit(1.0)) * F.coalesce(F.col("__after"), F.lit(1.0))})
+    return out.where("__split = 0").withColumn(price, F.col(price) / F.col("__factor")).select(*bars.columns)
 
 
 def _plain(df: DataFrame) -> list[Column]:

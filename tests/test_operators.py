@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -387,3 +388,20 @@ def test_slopes_of_all_treatments_in_one_pass(spark):
     assert out["k"]["raw_ate"] is None and out["k"]["adjusted_ate"] is None  # a constant has no effect to tell
     empty = models.ate(df.limit(0), "a", "y").first()
     assert empty["raw_ate"] is None
+
+
+def test_many_splits_of_one_ticker(spark):
+    """Against a plain loop: thousands of splits, two on one day, a split on a bar's day, other tickers, gaps of years."""
+    rnd = random.Random(5)
+    first = dt.date(2000, 1, 1)
+    splits = [("A", first + dt.timedelta(days=rnd.randrange(5000)), rnd.choice([0.5, 2.0])) for _ in range(3000)]
+    splits += [("B", first, 4.0), ("B", first + dt.timedelta(days=4000), 2.0), ("B", None, 9.0), (None, first, 9.0), ("B", first, None)]
+    bars = [(t, first + dt.timedelta(days=d), 8.0) for t in ("A", "B", "C") for d in range(0, 5200, 13)] + [("A", None, 3.0), (None, first, 3.0)]
+    got = quality.adjust_splits(spark.createDataFrame(bars, "ticker string, date date, price double"),
+                                spark.createDataFrame(splits, "ticker string, split_date date, ratio double"))
+    assert got.columns == ["ticker", "date", "price"]
+    out = {(r["ticker"], r["date"]): r["price"] for r in got.collect()}
+    assert len(out) == len(bars)
+    for t, d, p in bars:
+        factor = math.prod(r for s, x, r in splits if s == t and s and x and d and r and x > d)
+        assert out[(t, d)] == pytest.approx(p / factor, rel=1e-12)
