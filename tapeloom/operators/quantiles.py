@@ -3,7 +3,9 @@
 The built-in exact ``percentile`` keeps all distinct values of a group in one
 task. Here equal values are counted first, the counts are binned by magnitude
 (a fixed number of bins, whatever the data), and only the bins that hold a
-wanted rank are ordered.
+wanted rank are kept. A kept bin of more than ``ordered`` different values is
+cut into equal ranges, of which again only those that hold a rank are kept, and
+so on until every bin is small enough for one task to order.
 """
 
 from __future__ import annotations
@@ -13,7 +15,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapeloom.sources.staging import stage
+
 BINS_PER_OCTAVE = 64
+CUTS = 1024
 
 
 def _bin(v: Column) -> Column:
@@ -23,12 +28,43 @@ def _bin(v: Column) -> Column:
     return F.when(v == 0, F.lit(0)).when(F.abs(v) == float("inf"), (F.signum(v) * beyond).cast("long")).otherwise((F.signum(v) * level).cast("long")).cast("long")
 
 
+def _inside(rank: Column, below: Column, upto: Column) -> Column:
+    return (below < rank) & (rank <= upto)
+
+
+def _cut(rows: DataFrame, group: Sequence[str], ordered: int) -> DataFrame:
+    """The rows with every bin of more than ``ordered`` values replaced by the ranges of it that hold a wanted rank.
+
+    A bin lies within an octave, so it has at most 2**52 values and each cut
+    leaves a 1,024th of them: six cuts at most, whatever the data.
+    """
+    hot = rows.where(F.col("__values") > ordered).withColumn("__sub", F.least(F.lit(CUTS - 1), F.floor(
+        (F.col("__val") - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * CUTS)))
+    so_far = Window.partitionBy(*group, "__bin").orderBy("__sub").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = F.col("__from_bin") + F.sum("__count").over(so_far)
+    ranges = (
+        hot.groupBy(*group, "__bin", "__sub").agg(
+            F.sum("__n").alias("__count"), F.count(F.lit(1)).alias("__values"),
+            F.min("__val").alias("__lo"), F.max("__val").alias("__hi"),
+            F.first("__below").alias("__from_bin"), F.first("__want").alias("__all"))
+        .withColumn("__upto", upto).withColumn("__below", F.col("__upto") - F.col("__count"))
+        .withColumn("__want", F.filter("__all", lambda w: _inside(w["lo"], F.col("__below"), F.col("__upto"))
+                                       | _inside(w["hi"], F.col("__below"), F.col("__upto"))))
+        .where(F.size("__want") > 0)
+        .select(*group, "__bin", "__sub", "__below", "__values", "__lo", "__hi", "__want")
+    )
+    small = hot.select(*group, "__bin", "__sub", "__val", "__n").join(ranges, [*group, "__bin", "__sub"]).withColumn(
+        "__bin", F.concat_ws("/", "__bin", F.col("__sub").cast("string")))
+    return rows.where(F.col("__values") <= ordered).unionByName(small.select(*rows.columns))
+
+
 def quantiles(
-    df: DataFrame, by: Sequence[str], wanted: Mapping[str, tuple[str, float]]
+    df: DataFrame, by: Sequence[str], wanted: Mapping[str, tuple[str, float]], ordered: int = 250_000
 ) -> DataFrame:
     """One row per ``by`` with ``{output: (column, probability)}``; nulls are skipped.
 
-    Keys must not be null. Groups without a value are absent.
+    Keys must not be null. Groups without a value are absent. No task orders
+    more than ``ordered`` values; the bins that hold a rank are staged.
     """
     columns = sorted({c for c, _ in wanted.values()})
     pairs = F.array(*[
@@ -57,7 +93,8 @@ def quantiles(
         for n, (c, p) in wanted.items()
     ])
     bins = (
-        counts.groupBy(*group, "__bin").agg(F.sum("__n").alias("__n"))
+        counts.groupBy(*group, "__bin").agg(
+            F.sum("__n").alias("__n"), F.count(F.lit(1)).alias("__values"), F.min("__val").alias("__lo"), F.max("__val").alias("__hi"))
         .withColumn("__upto", F.sum("__n").over(so_far))
         .withColumn("__total", F.sum("__n").over(Window.partitionBy(*group)))
         .withColumn("__below", F.col("__upto") - F.col("__n"))
@@ -66,10 +103,10 @@ def quantiles(
         .withColumn("__pos", F.col("__spec.p") * (F.col("__total") - 1))
     )
     lo, hi = F.floor("__pos") + 1, F.ceil("__pos") + 1
-    inside = lambda k: (F.col("__below") < k) & (k <= F.col("__upto"))
+    here = F.col("__below"), F.col("__upto")
     hits = (
-        bins.where(inside(lo) | inside(hi))
-        .groupBy(*group, "__bin", "__below")
+        bins.where(_inside(lo, *here) | _inside(hi, *here))
+        .groupBy(*group, "__bin", "__below", "__values", "__lo", "__hi")
         .agg(F.collect_list(F.struct(
             F.col("__spec.out").alias("out"), F.col("__pos").alias("pos"),
             lo.alias("lo"), hi.alias("hi"))).alias("__want"))
@@ -78,13 +115,16 @@ def quantiles(
         Window.partitionBy(*group, "__bin").orderBy("__val")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    rows = stage(counts.join(hits, [*group, "__bin"]).withColumn("__bin", F.col("__bin").cast("string")), "quantile-bins")
+    while (rows.agg(F.max("__values")).first()[0] or 0) > ordered:
+        rows = stage(_cut(rows, group, ordered), "quantile-bins")
     ranked = (
-        counts.join(hits, [*group, "__bin"])
+        rows
         .withColumn("__to", F.col("__below") + F.sum("__n").over(inner))
         .withColumn("__from", F.col("__to") - F.col("__n"))
         .withColumn("__w", F.explode("__want"))
     )
-    covers = lambda k: (F.col("__from") < k) & (k <= F.col("__to"))
+    covers = lambda k: _inside(k, F.col("__from"), F.col("__to"))
 
     def interpolated(name: str) -> Column:
         mine = F.col("__w.out") == name

@@ -32,3 +32,24 @@ def test_any_values(spark, xs, p):
     got = quantiles(df, ["g"], {"q": ("x", p)}).first()["q"]
     want = pd.Series(xs).quantile(p)
     np.testing.assert_allclose(got, want, rtol=1e-9, atol=1e-9)
+
+
+def test_hot_value_ranges_are_cut_until_they_are_small(spark, monkeypatch):
+    """Many different values inside one bin, some of them in ranges a millionth as wide, and one value that is most rows."""
+    from tapeloom.operators import quantiles as q
+
+    rnd = np.random.default_rng(3)
+    x = np.concatenate([1.0 + rnd.random(40_000) * 1e-3, 1.0005 + rnd.random(40_000) * 1e-9, np.full(15_000, 1.0005), -rnd.random(50)])
+    pdf = pd.DataFrame({"g": np.where(np.arange(len(x)) % 3 == 0, "a", "hot"), "x": x})
+    written = []
+    real = q.stage
+    monkeypatch.setattr(q, "stage", lambda df, name: written.append(real(df, name)) or written[-1])
+    wanted = {f"q{p}": ("x", p / 1000) for p in (0, 1, 250, 500, 733, 999, 1000)}
+    got = quantiles(spark.createDataFrame(pdf), ["g"], wanted, ordered=200).collect()
+    assert len(got) == 2
+    for r in got:
+        mine = pdf[pdf.g == r.g].x
+        for name, (_, p) in wanted.items():
+            np.testing.assert_allclose(r[name], mine.quantile(p), rtol=1e-15)
+    largest = [w.groupBy("g", "__bin").count().selectExpr("max(count)").first()[0] for w in written]
+    assert len(largest) > 2 and largest[0] > 20_000 and largest[-1] <= 200
