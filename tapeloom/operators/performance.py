@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tapeloom.operators import timeblocks
 from tapeloom.operators.risk import YEAR_ROOT
+from tapeloom.sources.staging import stage
 
 COMMISSION = 0.001
 SLIPPAGE = 0.0005
@@ -42,72 +43,96 @@ def equal_weight_targets(bars: DataFrame, dates: DataFrame, n: int = 10) -> Data
         (F.lit(1.0) / F.count(F.lit(1)).over(Window.partitionBy("date"))).alias("weight"))
 
 
-def _periods(targets: DataFrame) -> DataFrame:
-    """(start, until): each rebalance date with the next one."""
-    days = targets.select(F.col("date").alias("start")).distinct()
-    return days.withColumn("until", F.lead("start").over(Window.orderBy("start")))
-
-
-def _held(bars: DataFrame, targets: DataFrame) -> DataFrame:
-    """Closes of the held tickers in each period, the next rebalance day included:
-    (start, ticker, date, close, weight, entry)."""
-    periods = _periods(targets)
-    so_far = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-    inside = (
-        bars.select("date").distinct()
-        .join(periods.select("start", F.col("start").alias("date")), "date", "left")
-        .select("date", F.last("start", True).over(so_far).alias("start")).dropna()
-    )
-    # a rebalance day also ends the period before it
-    ends = periods.dropna().select(F.col("until").alias("date"), "start")
-    day_of = inside.unionByName(ends)
-    weights = targets.select(F.col("date").alias("start"), "ticker", "weight")
-    held_days = weights.join(F.broadcast(day_of), "start")
-    px = bars.select("ticker", "date", "close")
-    entry = px.select("ticker", F.col("date").alias("start"), F.col("close").alias("entry"))
-    return held_days.join(px, ["ticker", "date"], "left").join(entry, ["ticker", "start"])
-
-
-def period_values(bars: DataFrame, targets: DataFrame) -> DataFrame:
+def _period_days(bars: DataFrame, targets: DataFrame) -> DataFrame:
+    """(start, until, date): every bar date with the period it lies in; a rebalance date also ends the one before."""
+    marked = bars.select("date", F.lit(False).alias("first")).unionByName(
+        targets.select("date", F.lit(True).alias("first"))).dropna()
+    days = marked.groupBy("date").agg(F.max("first").alias("first"))
+    w = Window.orderBy("date")
+    own = F.when(F.col("first"), F.col("date"))
+    period = lambda start, until: F.struct(start.alias("start"), until.alias("until"))
+    days = days.withColumns({
+        "start": F.last(own, True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+        "before": F.last(own, True).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+        "until": F.first(own, True).over(w.rowsBetween(1, Window.unboundedFollowing)),
+    })
+    ended = F.when(F.col("first") & F.col("before").isNotNull(), period(F.col("before"), F.col("date")))
+    own_period = F.when(F.col("start").isNotNull(), period(F.col("start"), F.col("until")))
+    return days.select("date", F.explode(F.array_compact(F.array(own_period, ended))).alias("p")).select("p.*", "date")
+
+
+def segments(bars: DataFrame, targets: DataFrame) -> DataFrame:
+    """(start, until, ticker, date, weight, price, entry, value), staged: a row per holding and day of its period.
+
+    A period lasts from a rebalance date to the next one, both included.
+    ``price`` is the last close within the period, ``entry`` the close on its
+    first day and ``value`` the worth of the holding per unit invested at the
+    start. A holding without a positive close on that day is not bought: its
+    ``entry`` is null and its weight stays in cash. Weights of one date and
+    ticker add up; a null weight is 0.
+
+    Bars are not shuffled where the holdings are small enough to be sent to
+    them; a holding has one row per calendar day, which bounds the window.
+    """
+    weights = targets.dropna(subset=["date", "ticker"]).groupBy(F.col("date").alias("start"), "ticker").agg(
+        F.coalesce(F.sum("weight"), F.lit(0.0)).alias("weight"))
+    held = stage(weights.join(F.broadcast(_period_days(bars, targets)), "start"), "held-days")
+    price = F.nanvl(F.col("close").cast("double"), F.lit(None))
+    seen = bars.select("ticker", "date", price.alias("close")).join(held, ["ticker", "date"])
+    rows = held.withColumn("close", F.lit(None).cast("double")).unionByName(seen).groupBy(held.columns).agg(
+        F.max("close").alias("close"))
+    so_far = Window.partitionBy("start", "ticker").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    first = F.first("close").over(so_far)
+    out = rows.withColumns({"price": F.last("close", True).over(so_far), "entry": F.when(first > 0, first)})
+    grown = F.coalesce(F.col("price") / F.col("entry"), F.lit(1.0))
+    return stage(out.select(
+        "start", "until", "ticker", "date", "weight", "price", "entry", (F.col("weight") * grown).alias("value")), "segments")
+
+
+def unpriced_holdings(held: DataFrame) -> DataFrame:
+    """(start, ticker, weight) of the holdings of ``segments`` that could not be bought."""
+    return held.where((F.col("date") == F.col("start")) & F.col("entry").isNull()).select("start", "ticker", "weight")
+
+
+def period_values(bars: DataFrame, targets: DataFrame, held: DataFrame | None = None) -> DataFrame:
     """(start, date, growth): value of 1 invested at the start of each period.
-    A ticker without a bar keeps its last close within the period."""
-    held = _held(bars, targets)
-    filled = timeblocks.last_known(held, ["start", "ticker"], ["date"], {"__px": F.col("close")})
-    return filled.groupBy("start", "date").agg(
-        F.sum(F.col("weight") * F.try_divide("__px", "entry")).alias("growth"))
+    A ticker without a bar keeps its last close within the period.
+
+    Here and below, ``held`` is ``segments(bars, targets)`` where the caller has it."""
+    held = segments(bars, targets) if held is None else held
+    return held.groupBy("start", "date").agg(F.sum("value").alias("growth"))
 
 
-def rebalance_moves(bars: DataFrame, targets: DataFrame) -> DataFrame:
+def rebalance_moves(bars: DataFrame, targets: DataFrame, held: DataFrame | None = None) -> DataFrame:
     """(date, ticker, old, new): drifted and target weight of every holding on each rebalance day."""
-    held = timeblocks.last_known(
-        _held(bars, targets), ["start", "ticker"], ["date"], {"__px": F.col("close")})
-    periods = _periods(targets).where(F.col("until").isNotNull())
-    worth = held.join(F.broadcast(periods.withColumnRenamed("until", "date")), ["start", "date"]).select(
-        "start", "date", "ticker", (F.col("weight") * F.try_divide("__px", "entry")).alias("v"))
-    total = worth.groupBy("date").agg(F.sum("v").alias("total"))
-    drifted = worth.join(total, "date").select(
-        "date", "ticker", F.try_divide("v", "total").alias("old"))
-    return targets.join(drifted, ["date", "ticker"], "full").select(
-        "date", "ticker", F.coalesce("old", F.lit(0.0)).alias("old"), F.coalesce("weight", F.lit(0.0)).alias("new"))
+    held = segments(bars, targets) if held is None else held
+    ends = held.where(F.col("date") == F.col("until"))
+    total = ends.groupBy("date").agg(F.sum("value").alias("total"))
+    bought = F.col("entry").isNotNull()
+    old = ends.where(bought).join(F.broadcast(total), "date").select(
+        "date", "ticker", F.try_divide("value", "total").alias("old"), F.lit(0.0).alias("new"))
+    new = held.where((F.col("date") == F.col("start")) & bought).select(
+        "date", "ticker", F.lit(0.0).alias("old"), F.col("weight").alias("new"))
+    return old.unionByName(new).groupBy("date", "ticker").agg(F.sum("old").alias("old"), F.sum("new").alias("new"))
 
 
 def rebalance_costs(bars: DataFrame, targets: DataFrame, commission: float = COMMISSION,
-                    slippage: float = SLIPPAGE) -> DataFrame:
+                    slippage: float = SLIPPAGE, held: DataFrame | None = None) -> DataFrame:
     """(date, turnover, cost): weight moved from the drifted holdings to the
     targets of each rebalance day, as a share of the portfolio."""
-    return rebalance_moves(bars, targets).groupBy("date").agg(
+    return rebalance_moves(bars, targets, held).groupBy("date").agg(
         F.sum(F.abs(F.col("new") - F.col("old"))).alias("turnover")).withColumn(
         "cost", F.col("turnover") * (commission + slippage))
 
 
 def rebalance_trades(bars: DataFrame, targets: DataFrame, values: DataFrame, commission: float = COMMISSION,
-                     slippage: float = SLIPPAGE, least: float = 1e-9) -> DataFrame:
+                     slippage: float = SLIPPAGE, least: float = 1e-9, held: DataFrame | None = None) -> DataFrame:
     """(date, ticker, side, value, commission, slippage) of every trade.
 
     ``values`` is the portfolio's (date, total_value) after costs, from
     ``portfolio_value``. Changes of weight up to ``least`` are rounding, no trades.
     """
-    moves = rebalance_moves(bars, targets).withColumn("change", F.col("new") - F.col("old"))
+    moves = rebalance_moves(bars, targets, held).withColumn("change", F.col("new") - F.col("old"))
     share = commission + slippage
     day = moves.groupBy("date").agg(F.sum(F.abs("change")).alias("turnover")).join(values, "date").select(
         "date", (F.col("total_value") / (1 - F.col("turnover") * share)).alias("before"))
@@ -118,10 +143,12 @@ def rebalance_trades(bars: DataFrame, targets: DataFrame, values: DataFrame, com
 
 
 def portfolio_value(bars: DataFrame, targets: DataFrame, capital: float = CAPITAL,
-                    commission: float = COMMISSION, slippage: float = SLIPPAGE) -> DataFrame:
+                    commission: float = COMMISSION, slippage: float = SLIPPAGE,
+                    held: DataFrame | None = None) -> DataFrame:
     """(date, total_value): growth chained over periods, costs paid at each rebalance."""
-    values = period_values(bars, targets)
-    costs = rebalance_costs(bars, targets, commission, slippage).select(
+    held = segments(bars, targets) if held is None else held
+    values = period_values(bars, targets, held)
+    costs = rebalance_costs(bars, targets, commission, slippage, held).select(
         F.col("date").alias("start"), "cost")
     ends = values.groupBy("start").agg(F.max_by("growth", "date").alias("growth"))
     w = Window.orderBy("start")

@@ -71,7 +71,9 @@ def low_beta_candidates(df: DataFrame, bench: DataFrame, min_days: int = 252) ->
 
 
 def low_beta_select(candidates: DataFrame, limit: float = BETA_LIMIT, n: int = TOP_N) -> DataFrame:
-    return candidates.where(F.col("beta") < limit).orderBy(
+    """The ``n`` steadiest below the limit. Betas are compared to nine places: the
+    benchmark's own is 1 up to the rounding of sums, whose order no run repeats."""
+    return candidates.where(F.round("beta", 9) < limit).orderBy(
         F.desc("return_stability"), "ticker").limit(n)
 
 

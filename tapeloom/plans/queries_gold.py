@@ -321,7 +321,7 @@ view("candidates", """
   FROM risk_base b JOIN risk_beta x USING (ticker)
        JOIN (SELECT ticker, stddev_pop(daily_return / 100) AS pop FROM priced GROUP BY ticker) p USING (ticker)
   WHERE num_records >= 252 AND x.beta_static IS NOT NULL""")
-view("low_beta", "SELECT * FROM candidates WHERE beta < 1 ORDER BY return_stability DESC, ticker LIMIT 30")
+view("low_beta", "SELECT * FROM candidates WHERE round(beta, 9) < 1 ORDER BY return_stability DESC, ticker LIMIT 30")
 view("low_beta_held", """
   SELECT ticker, sector, beta, return_stability, volatility, avg_return,
          (1 / volatility) / sum(1 / volatility) OVER () AS weight, vix_signal, 'low_beta_quality' AS strategy
@@ -521,9 +521,22 @@ def _targets(spark, sf):
         fx.stock_bars(spark, sf), _rebalances(spark, sf)))
 
 
+def _segments(spark, sf):
+    return staged_once(spark, sf, "segments", lambda: performance.segments(fx.stock_bars(spark, sf), _targets(spark, sf)))
+
+
+def _backtest(spark, sf):
+    """Bars, targets and the segment table the backtest queries share."""
+    return fx.stock_bars(spark, sf), _targets(spark, sf), _segments(spark, sf)
+
+
+def _value_path(spark, sf):
+    bars, targets, held = _backtest(spark, sf)
+    return staged_once(spark, sf, "value_path", lambda: performance.portfolio_value(bars, targets, held=held))
+
+
 def strategy_values(spark, sf):
-    path = staged_once(spark, sf, "value_path", lambda: performance.portfolio_value(
-        fx.stock_bars(spark, sf), _targets(spark, sf)))
+    path = _value_path(spark, sf)
     own = fx.bars(spark, sf).select(F.col("ticker").alias("strategy"), "date", F.col("close").alias("total_value"))
     return path.select(F.lit("equal_weight").alias("strategy"), "date", "total_value").unionByName(own)
 
@@ -547,17 +560,50 @@ def _(spark, sf):
 
 @query("backtest_period_values", "B03", "SELECT start, date, growth FROM growths", "growth")
 def _(spark, sf):
-    return performance.period_values(fx.stock_bars(spark, sf), _targets(spark, sf))
+    return performance.period_values(*_backtest(spark, sf))
 
 
 @query("backtest_portfolio_value", "B03", "SELECT * FROM value_path", "total_value", digits=3)
 def _(spark, sf):
-    return performance.portfolio_value(fx.stock_bars(spark, sf), _targets(spark, sf))
+    bars, targets, held = _backtest(spark, sf)
+    return performance.portfolio_value(bars, targets, held=held)
+
+
+# the same targets a day late, when not every ticker trades and some dates have no bar at all
+view("late_targets", "SELECT date + 1 AS date, ticker, weight FROM targets")
+
+
+def _late_segments(spark, sf):
+    late = _targets(spark, sf).withColumn("date", F.date_add("date", 1))
+    return staged_once(spark, sf, "late_segments", lambda: performance.segments(fx.stock_bars(spark, sf), late))
+
+
+@query("backtest_unpriced", "B03", """
+  SELECT t.date AS start, t.ticker, t.weight FROM late_targets t
+  LEFT JOIN stock_bars b ON b.ticker = t.ticker AND b.date = t.date AND b.close > 0 WHERE b.ticker IS NULL""", "weight")
+def _(spark, sf):
+    return performance.unpriced_holdings(_late_segments(spark, sf))
+
+
+@query("backtest_late_values", "B03", """
+  WITH p AS (SELECT date AS start, lead(date) OVER (ORDER BY date) AS until FROM (SELECT DISTINCT date FROM late_targets)),
+  days AS (SELECT date FROM stock_bars UNION SELECT date FROM late_targets),
+  d AS (SELECT p.start, days.date FROM p JOIN days ON days.date >= p.start AND (p.until IS NULL OR days.date <= p.until)),
+  bought AS (SELECT t.date AS start, t.ticker, t.weight, e.close AS entry FROM late_targets t
+             LEFT JOIN stock_bars e ON e.ticker = t.ticker AND e.date = t.date AND e.close > 0)
+  SELECT start, date, sum(v) AS growth FROM (
+    SELECT start, d.date, x.weight * coalesce(b.close / x.entry, 1) AS v
+    FROM d JOIN bought x USING (start) ASOF LEFT JOIN stock_bars b ON b.ticker = x.ticker AND b.date <= d.date)
+  GROUP BY start, date""", "growth")
+def _(spark, sf):
+    held = _late_segments(spark, sf)
+    return performance.period_values(fx.stock_bars(spark, sf), _targets(spark, sf), held)
 
 
 @query("backtest_costs", "B04", "SELECT * FROM costs", "turnover cost")
 def _(spark, sf):
-    return performance.rebalance_costs(fx.stock_bars(spark, sf), _targets(spark, sf))
+    bars, targets, held = _backtest(spark, sf)
+    return performance.rebalance_costs(bars, targets, held=held)
 
 
 view("moves", """
@@ -574,9 +620,8 @@ view("moves", """
         FROM moves m JOIN costs c USING (date) JOIN value_path v USING (date) WHERE abs(m.change) > 1e-9)""",
        "value commission slippage", digits=3)
 def _(spark, sf):
-    bars, targets = fx.stock_bars(spark, sf), _targets(spark, sf)
-    values = staged_once(spark, sf, "value_path", lambda: performance.portfolio_value(bars, targets))
-    return performance.rebalance_trades(bars, targets, values)
+    bars, targets, held = _backtest(spark, sf)
+    return performance.rebalance_trades(bars, targets, _value_path(spark, sf), held=held)
 
 
 view("value_steps", """

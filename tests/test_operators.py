@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tapeloom.contracts import CONTRACTS
 from tapeloom.functions import labels, text
-from tapeloom.operators import calendars, clean, features, models, performance, quality, risk, sectors
+from tapeloom.operators import calendars, clean, features, models, performance, portfolios, quality, risk, sectors
 
 D = lambda i: dt.date(2020, 1, 1) + dt.timedelta(days=i)
 BAR = "ticker string, date date, open double, high double, low double, close double, volume bigint"
@@ -244,6 +244,39 @@ def test_portfolio_value_two_periods(spark):
     assert got[days[3]] == pytest.approx(paid * (0.5 * 0.5 + 0.5))
 
 
+def test_unpriced_holdings_stay_in_cash(spark):
+    days = [dt.date(2020, 1, 2), dt.date(2020, 1, 3), dt.date(2020, 1, 6), dt.date(2020, 1, 7)]
+    px = {"A": [100, 110, 121, 133.1], "Z": [0, 5, 10, 10], "N": [None, 4, 4, 4], "G": [10, None, float("nan"), 20]}
+    df = spark.createDataFrame(
+        [(t, d, None if v is None else float(v)) for t, vs in px.items() for d, v in zip(days, vs)],
+        "ticker string, date date, close double")
+    # the second rebalance falls on a day without bars, and names one ticker twice
+    sunday = dt.date(2020, 1, 5)
+    targets = spark.createDataFrame(
+        [(days[0], t, 0.25) for t in "AZNG"] + [(sunday, "A", 0.5), (days[2], "A", 0.5), (days[2], "A", 0.25),
+         (days[2], "Z", None), (None, "A", 1.0)], "date date, ticker string, weight double")
+    held = performance.segments(df, targets)
+    assert {tuple(r) for r in performance.unpriced_holdings(held).collect()} == {
+        (days[0], "Z", 0.25), (days[0], "N", 0.25), (sunday, "A", 0.5)}
+    got = {(r.start, r.date): r.growth for r in performance.period_values(df, targets, held).collect()}
+    assert got == pytest.approx({
+        (days[0], days[0]): 1.0, (days[0], days[1]): 0.25 * 1.1 + 0.75, (days[0], sunday): 0.25 * 1.1 + 0.75,
+        (sunday, sunday): 0.5, (sunday, days[2]): 0.5, (days[2], days[2]): 0.75, (days[2], days[3]): 0.825})
+    moves = {(r.date, r.ticker): (r.old, r.new) for r in performance.rebalance_moves(df, targets, held).collect()}
+    worth = 0.25 * 1.1 + 0.75
+    assert moves == {
+        (days[0], "A"): (0.0, 0.25), (days[0], "G"): (0.0, 0.25), (sunday, "A"): (pytest.approx(0.275 / worth), 0.0),
+        (sunday, "G"): (pytest.approx(0.25 / worth), 0.0), (days[2], "A"): (0.0, 0.75), (days[2], "Z"): (0.0, 0.0)}
+    none = performance.segments(df, targets.limit(0))
+    assert none.count() == 0 and performance.rebalance_moves(df, targets, none).count() == 0
+
+
+def test_the_benchmark_itself_has_no_low_beta(spark):
+    cand = spark.createDataFrame(
+        [("SPY", 1 - 1e-15, 0.3), ("A", 0.9, 0.2), ("B", 1.1, 0.9)], "ticker string, beta double, return_stability double")
+    assert [r.ticker for r in portfolios.low_beta_select(cand).collect()] == ["A"]
+
+
 def test_treatment_p_value(spark):
     rows = [(float(i), 1.0 + (i % 5) * 0.1 + (2.0 if i >= 50 else 0.0)) for i in range(100)]
     df = spark.createDataFrame(rows, "x double, y double")

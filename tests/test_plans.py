@@ -57,6 +57,12 @@ def scans(df):
     return text.count("FileScan parquet")
 
 
+def test_a_backtest_scans_its_segments(spark):
+    """Values, costs and chain come from the staged segments: neither bars nor targets are read again."""
+    text = plan(spark, "backtest_portfolio_value").split("Initial Plan")[0]
+    assert "lineitem" not in text and text.count("FileScan parquet") <= 10
+
+
 def test_source_is_scanned_once(spark, tmp_path):
     from tapeloom.operators import clean, risk
     from tapeloom.plans import fixtures as fx
