@@ -3,7 +3,8 @@
 A fixed public vocabulary gives the pieces and their first weights; expected
 piece counts over the words of the training documents re-weight them. A word of
 the training documents has one more arc that spans it, weighted by its count. A
-text's score sums over all its segmentations. The base score is the usual word
+text's score sums over all its segmentations, word by word, as no piece crosses
+a word start. The base score is the usual word
 unigram with half a count added.
 """
 
@@ -20,8 +21,11 @@ from tapeloom.llm.common import bytes_of, fold, stage
 from tapeloom.llm.lattice import Lattice, default_path, first_weights, vocabulary, word_of
 
 
-def word_counts(docs: DataFrame, at_once: int = 300_000) -> DataFrame:
-    """(word, n) over all rows of ``docs``; tasks add up their own words first, ``at_once`` distinct ones at a time."""
+def word_counts(docs: DataFrame, training: Column, at_once: int = 300_000) -> DataFrame:
+    """(word, n) of every word of ``docs``; ``n`` counts it in the training rows and may be 0.
+
+    Tasks add up their own words first, ``at_once`` distinct ones at a time.
+    """
 
     def rows(batches):
         found: Counter = Counter()
@@ -30,20 +34,25 @@ def word_counts(docs: DataFrame, at_once: int = 300_000) -> DataFrame:
             return pd.DataFrame({"word": list(found.keys()), "n": list(found.values())})
 
         for b in batches:
-            for text in b["text"]:
-                found.update(text.lower().split())
+            for text, learn in zip(b["text"], b["learn"]):
+                words = text.lower().split()
+                if learn:
+                    found.update(words)
+                else:
+                    for w in words:
+                        found.setdefault(w, 0)
                 if len(found) >= at_once:
                     yield out()
                     found.clear()
         yield out()
 
-    return docs.select(bytes_of(F.col("text")).alias("text")).mapInPandas(rows, "word binary, n long").groupBy(
+    learn = F.coalesce(training, F.lit(False)).alias("learn")
+    return docs.select(learn, bytes_of(F.col("text")).alias("text")).mapInPandas(rows, "word binary, n long").groupBy(
         "word").agg(F.sum("n").alias("n"))
 
 
-def reweigh(words: DataFrame, pieces: list[tuple[str, float]], *, ends: int, rounds: int = 2,
-            prior: float = 100.0) -> np.ndarray:
-    """Natural log probability of every piece, and of the end of a text after them.
+def reweigh(words: DataFrame, pieces: list[tuple[str, float]], *, rounds: int = 2, prior: float = 100.0) -> np.ndarray:
+    """Natural log probability of every piece.
 
     Each round takes the expected counts of the pieces over all of ``words``
     (word, n) and adds ``prior`` times their first weights.
@@ -67,97 +76,102 @@ def reweigh(words: DataFrame, pieces: list[tuple[str, float]], *, ends: int, rou
             count[r["piece"]] = r["uses"]
         share = count + prior * first
         share /= share.sum()
-    total = float(count.sum()) if rounds else 0.0
-    stop = (ends + 0.5) / (total + ends + 1.0)
     with np.errstate(divide="ignore"):
-        return np.log(np.append(share * (1 - stop), stop))
+        return np.log(share)
 
 
-def span_share(words: DataFrame, pieces: list[tuple[str, float]], logp: np.ndarray, total: int) -> float:
-    """Share of the arcs that span a word, the likeliest one of a grid when each occurrence is scored by the others."""
-    grid = np.arange(1, 20) / 20
+def spelled_words(counts: DataFrame, pieces: list[tuple[str, float]], logp: np.ndarray) -> DataFrame:
+    """(word, n, spelled): the log10 probability of each word over all its segmentations."""
 
     def rows(batches):
-        cut, value = Lattice(pieces), np.zeros(len(grid))
+        cut = Lattice(pieces)
         for b in batches:
-            n = b["n"].to_numpy(float)
-            spelled = np.exp(cut.forward([word_of(w) for w in b["word"]], logp[:-1, None])[:, 0])
-            value += np.log(np.maximum(np.outer((n - 1) / total, grid) + np.outer(spelled, 1 - grid), 1e-300)).T @ n
-        yield pd.DataFrame({"k": np.arange(len(grid)), "value": value})
+            found = cut.forward([word_of(w) for w in b["word"]], logp[:, None])[:, 0]
+            yield pd.DataFrame({"word": b["word"], "n": b["n"], "spelled": found / np.log(10)})
+
+    return counts.mapInPandas(rows, "word binary, n long, spelled double")
 
+
+def span_share(table: DataFrame, total: int) -> float:
+    """Share of the arcs that span a word, the likeliest one of a grid when each occurrence is scored by the others."""
+    grid = [k / 20 for k in range(1, 20)]
     if not total:
         return 0.0
-    best = words.mapInPandas(rows, "k long, value double").groupBy("k").agg(F.sum("value").alias("value")).collect()
-    return float(grid[max(best, key=lambda r: (r["value"], -r["k"]))["k"]])
+    others, spelled = (F.col("n") - 1) / total, F.pow(F.lit(10.0), F.col("spelled"))
+    fit = table.where("n > 0").agg(*[
+        F.sum(F.col("n") * F.log(F.greatest(others * g + spelled * (1 - g), F.lit(1e-300)))).alias(f"g{k}")
+        for k, g in enumerate(grid)]).first()
+    return grid[max(range(len(grid)), key=lambda k: (fit[k], -k))]
 
 
 def lm_scores(docs: DataFrame, training: Column, *, vocabulary_path: str | None = None, frequent: int = 50_000,
               rounds: int = 2) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score (both log10) of every row of ``docs``.
 
-    ``training`` is a condition on ``doc_id``. The ``frequent`` commonest words
-    travel to every task, all other counts are joined; the results do not
+    A text ends before each word with one probability and goes on with a word
+    otherwise; a word is taken whole, by its share of the training words, or
+    spelled in pieces, by one share for all. Words and pieces have probabilities
+    that add up to 1, so those of all texts add up to no more.
+
+    ``training`` is a condition on ``doc_id``, an integer or a string. Every
+    distinct word goes through the lattice once. The ``frequent`` commonest
+    words travel to every task, all others are joined; the results do not
     depend on that number. Null and empty texts have one token, their end. With
     no training rows the pieces keep their first weights. Repeated rows get a
     row each; other columns, whatever their names, are ignored.
     """
     pieces = vocabulary(vocabulary_path or default_path())
-    learned = docs.where(training)
-    counts = stage(word_counts(learned), "lm-words")
-    ends = learned.count()
-    size = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    counts = stage(word_counts(docs, training), "lm-words")
+    ends = docs.where(training).count()
+    size = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     total, distinct = size["n"] + ends, size["v"] + (ends > 0)
     spread = total + 0.5 * (distinct + 1)
-    logp = reweigh(counts, pieces, ends=ends, rounds=rounds)
-    span = span_share(counts, pieces, logp, size["n"])
-    often = counts.orderBy(F.desc("n"), "word").limit(frequent).toPandas()
-    top = dict(zip(map(bytes, often["word"]), often["n"].tolist()))
-    end_base, end_score = float(np.log10((ends + 0.5) / spread)), float(logp[-1] / np.log(10))
+    stop = (ends + 0.5) / (total + 1.0)
+    logp = reweigh(counts.where("n > 0"), pieces, rounds=rounds)
+    table = stage(spelled_words(counts, pieces, logp), "lm-spelled")
+    span = span_share(table, size["n"])
+    base = F.log10((F.col("n") + 0.5) / F.lit(spread))
+    word = F.log10(F.lit(1 - stop)) + F.when(F.col("n") > 0, F.log10(
+        F.lit(span) * F.col("n") / F.lit(max(size["n"], 1)) + F.lit(1 - span) * F.pow(F.lit(10.0), "spelled"))
+    ).otherwise(F.log10(F.lit(1 - span)) + F.col("spelled"))
+    table = table.select("word", "n", base.alias("base"), word.alias("score"))
+    often = table.where("n > 0").orderBy(F.desc("n"), "word").limit(frequent).toPandas()
+    place = {bytes(w): i for i, w in enumerate(often["word"])}
+    bases, scores = often["base"].to_numpy(float), often["score"].to_numpy(float)
+    end_base, end_score = float(np.log10((ends + 0.5) / spread)), float(np.log10(stop))
 
     def rows(batches):
-        cut, known = Lattice(pieces), {}
-        table = logp[:-1, None]
         for b in batches:
-            texts = [t.lower().split() for t in b["text"]]
-            places = {w: i for i, w in enumerate(set().union(*texts))}
-            new = [w for w in places if w not in known]
-            if len(known) + len(new) > 400_000:
-                known.clear()
-                new = list(places)
-            known.update(zip(new, cut.forward([word_of(w) for w in new], table)[:, 0] / np.log(10)))
-            names = list(places)
-            score = np.fromiter((known[w] for w in names), float, len(names))
-            n = np.fromiter((top.get(w, 0) for w in names), float, len(names))
-            base = np.where(n > 0, np.log10((n + 0.5) / spread), 0.0)
-            whole = np.where(n > 0, np.log10(span * n / max(size["n"], 1) + (1 - span) * 10.0**score), 0.0)
-            out = {k: [] for k in ("row", "word", "n", "spelled", "n_tokens", "n_known", "base", "score")}
-            for row, words in zip(b["row"], texts):
-                at = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
-                rest, times = np.unique(at[n[at] == 0], return_counts=True)
+            out = {k: [] for k in ("row", "doc_id", "word", "times", "n_tokens", "n_known", "base", "score")}
+            for row, doc_id, text in zip(b["row"], b["doc_id"], b["text"]):
+                times = Counter(text.lower().split())
+                here = [(place[w], k) for w, k in times.items() if w in place]
+                rest = {w: k for w, k in times.items() if w not in place}
+                at, k = np.array(here, np.int64).reshape(-1, 2).T
+                known, none = int(k.sum()), [0] * len(rest)
                 out["row"] += [row] * (len(rest) + 1)
-                out["word"] += [None, *(names[i] for i in rest)]
-                out["n"] += [0, *times.tolist()]
-                out["spelled"] += [0.0, *score[rest].tolist()]
-                out["n_tokens"] += [len(words) + 1] + [0] * len(rest)
-                out["n_known"] += [int((n[at] > 0).sum()) + (ends > 0)] + [0] * len(rest)
-                out["base"] += [float(base[at].sum()) + end_base] + [0.0] * len(rest)
-                out["score"] += [float(whole[at].sum()) + end_score] + [0.0] * len(rest)
+                out["doc_id"] += [doc_id, *[None] * len(rest)]
+                out["word"] += [None, *rest]
+                out["times"] += [0, *rest.values()]
+                out["n_tokens"] += [known + sum(rest.values()) + 1, *none]
+                out["n_known"] += [known + (ends > 0), *none]
+                out["base"] += [float(bases[at] @ k) + end_base, *none]
+                out["score"] += [float(scores[at] @ k) + end_score, *none]
             yield pd.DataFrame(out)
 
-    keyed = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", bytes_of(F.col("text")).alias("text"))
-    parts = stage(keyed.select("row", "text").mapInPandas(
-        rows, "row long, word binary, n long, spelled double, n_tokens long, n_known long, base double, score double"), "lm-parts")
-    c = F.coalesce(F.col("c"), F.lit(0))
-    spelled = F.col("spelled") + F.log10(F.lit(1 - span))  # the arc of a rare word needs its count
-    spanned = F.when(c > 0, F.log10(F.lit(span) * c / max(size["n"], 1) + F.pow(F.lit(10.0), spelled))).otherwise(spelled)
-    rest = parts.where(F.col("word").isNotNull()).select("row", "word", "n", "spelled").join(
-        counts.select("word", F.col("n").alias("c")), "word", "left").groupBy("row").agg(
-        F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("n") * F.log10((c + 0.5) / F.lit(spread))).alias("more_base"),
-        F.sum(F.col("n") * spanned).alias("more_score"))
-    whole = parts.where(F.col("word").isNull()).drop("word", "n", "spelled").join(rest, "row", "left")
-    return keyed.select("row", "doc_id").join(whole, "row").select(
-        "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+    # numbers and keys of the rows are written once, with what they belong to
+    keyed = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("string").alias("doc_id"),
+                        bytes_of(F.col("text")).alias("text"))
+    parts = stage(keyed.mapInPandas(
+        rows, "row long, doc_id string, word binary, times long, n_tokens long, n_known long, base double, score double"), "lm-parts")
+    times = F.col("times")
+    rest = parts.where(F.col("word").isNotNull()).select("row", "word", "times").join(table, "word").groupBy("row").agg(
+        F.sum(F.when(F.col("n") > 0, times).otherwise(0)).alias("more_known"),
+        F.sum(times * F.col("base")).alias("more_base"), F.sum(times * F.col("score")).alias("more_score"))
+    whole = parts.where(F.col("word").isNull()).drop("word", "times").join(rest, "row", "left")
+    return whole.select(
+        F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "n_tokens",
+        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
         (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"))
