@@ -14,7 +14,9 @@ last byte of a stream, a zero, is what the writer adds as line separator.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
 import zlib
 from array import array
@@ -40,55 +42,153 @@ def tokenizer_json(path: str | None = None) -> str:
         return f.read()
 
 
-class Encoder:
-    """Encodes whole texts, remembering the ids of the stretches between single spaces.
+#: classes of bytes: what may be anything, white space, letters, digits, other signs, the apostrophe
+ANY, SPACE, LETTER, DIGIT, SIGN, QUOTE = range(6)
+
+
+def _classes() -> np.ndarray:
+    out = np.full(256, ANY, np.uint8)
+    out[0x21:0x7F] = SIGN
+    for kind, chars in ((SPACE, b" \t\n\v\f\r"), (DIGIT, b"0123456789"), (QUOTE, b"'"),
+                        (LETTER, bytes([*range(0x41, 0x5B), *range(0x61, 0x7B)]))):
+        out[list(chars)] = kind
+    return out
+
+
+def _pairs() -> np.ndarray:
+    """Whether a unit of the byte-level pre-tokenizer always ends between two classes."""
+    out = np.zeros((6, 6), bool)
+    out[LETTER, [SPACE, DIGIT, SIGN, QUOTE]] = out[DIGIT, [SPACE, LETTER, SIGN, QUOTE]] = True
+    out[SIGN, [SPACE, LETTER, DIGIT]] = out[QUOTE, [SPACE, DIGIT]] = True  # an apostrophe may take letters along
+    return out.ravel()
+
+
+def _byte_letters() -> dict[int, int]:
+    """The character by which a byte-level vocabulary writes each byte."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    return {b: 0x100 + n for n, b in enumerate(b for b in range(256) if b not in set(plain))}
+
 
-    The byte-level pre-tokenizer always starts a new unit at a single space
-    between two other characters, so the ids of a text are those of its
-    stretches in turn. Special tokens that a text holds have their own ids. Stretches that touch other white space stay joined.
+def is_byte_level(definition: dict) -> bool:
+    """Whether ids of a text are those of its stretches: the usual byte-level pattern and nothing that looks beyond a unit."""
+    before = definition.get("pre_tokenizer") or {}
+    return (
+        before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space", True)
+        and not definition.get("normalizer") and not definition.get("truncation") and not definition.get("padding")
+        and not any(t.get(k) for t in definition.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip")))
+
+
+class Encoder:
+    """Encodes whole texts, remembering the ids of the stretches between sure ends of the pre-tokenizer's units.
+
+    A unit of the byte-level pre-tokenizer is white space with a run of letters,
+    of digits or of other signs behind it, and nothing in a unit depends on what
+    stands beyond it. So the ids of a text are those of its stretches in turn,
+    wherever these begin between a character that is no white space and one of
+    another class. Characters whose class is not plain stay joined to their
+    neighbours, and special tokens stay whole. Other pre-tokenizers get whole texts.
     """
 
-    def __init__(self, definition: str, at_once: int = 100_000):
+    LETTERS = (0xC3, 0xC4, 0xC5, 0xD0, 0xD1)  # first bytes of letters, but for U+00D7 and U+00F7
+    #: stretches that are one unit
+    UNIT = re.compile(rb" ?(?:(?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF]|[\xC4\xC5\xD0\xD1][\x80-\xBF])+|[0-9]+|[!-&(-/:-@[-`{-~]+)")
+
+    def __init__(self, definition: str, at_once: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallel units
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[str, int] = {}
-        self.starts, self.ids, self.at_once = array("q", [0]), array("I"), at_once
-
-    @staticmethod
-    def stretches(text: str) -> list[str]:
-        first, *rest = text.split(" ")
-        out = [first]
-        for part in rest:
-            if part and not part[0].isspace() and out[-1] and not out[-1][-1].isspace():
-                out.append(" " + part)
-            else:
-                out[-1] += " " + part
+        told = json.loads(definition)
+        self.tokenizer, self.at_once = Tokenizer.from_str(definition), at_once
+        self.cuts, self.special = is_byte_level(told), [t["content"].encode() for t in told.get("added_tokens", [])]
+        self.classes, self.pairs, self.model = _classes(), _pairs(), self.tokenizer.model
+        self.letters = _byte_letters()
+        self.inside = [t for t in self.special if self.UNIT.fullmatch(t) or self.UNIT.fullmatch(t + b"a")]  # may be part of a unit
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.held = 0  # bytes of the stretches
+        self.starts, self.ids = array("q", [0, 1]), array("I", [END])  # the first entry is the end of a document
+
+    def begins(self, data: bytes) -> np.ndarray:
+        """Whether a stretch begins, for every byte of ``data``."""
+        raw = np.frombuffer(data, np.uint8)
+        out = np.zeros(len(raw), bool)
+        if not self.cuts or len(raw) < 2:
+            return out
+        kind = self.classes[raw]
+        first = np.flatnonzero(np.isin(raw[:-1], self.LETTERS))
+        first = first[(raw[first] != 0xC3) | ((raw[first + 1] != 0x97) & (raw[first + 1] != 0xB7))]
+        kind[first] = kind[first + 1] = LETTER
+        out[1:] = self.pairs[kind[:-1] * np.uint8(6) + kind[1:]]
+        # a space behind another character beyond ASCII, unless that is white space itself
+        at = np.flatnonzero((kind[1:] == SPACE) & (kind[:-1] == ANY) & (raw[:-1] >= 0x80)) + 1
+        one, two, three = raw[at - 1], raw[np.maximum(at - 2, 0)], raw[np.maximum(at - 3, 0)]
+        blank = (two == 0xC2) | ((three == 0xE2) & (two == 0x80) & ((one < 0x90) | (one >= 0xA8) & (one < 0xB0))) | (
+            (three == 0xE2) & (two == 0x81)) | ((three == 0xE3) & (two == 0x80)) | ((three == 0xE1) & ((two == 0x9A) | (two == 0xA0)))
+        out[at[~blank]] = True
+        for token in self.special:
+            place = data.find(token) if token else -1
+            while place >= 0:
+                out[place + 1:place + len(token)] = False
+                place = data.find(token, place + 1)
         return out
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.stretches(t) for t in texts]
-        new = list(set().union(*split).difference(self.known))
-        if len(self.known) + len(new) > self.at_once:
-            self.known.clear()
-            self.starts, self.ids = array("q", [0]), array("I")
-            new = list(set().union(*split))
-        for lo in range(0, len(new), 5_000):
-            part = new[lo:lo + 5_000]
-            for stretch, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[stretch] = len(self.starts) - 1
-                self.ids.extend(e.ids)
-                self.starts.append(len(self.ids))
-        starts, ids = np.array(self.starts, np.int64), np.array(self.ids, np.uint32)
-        out = []
-        for parts in split:
-            at = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+    def _entries(self, units: pa.Array) -> np.ndarray:
+        """Entries of the stretches, which are encoded where they are new."""
+        coded = units.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [u for u in distinct if u not in self.known]
+        if len(self.known) + len(new) > self.at_once or self.held + sum(map(len, new)) > 64 * self.at_once:  # go on with those in use
+            starts, ids, kept = self.starts, self.ids, [(u, self.known[u]) for u in distinct if u in self.known]
+            self._forget()
+            for u, at in kept:
+                self._add(u, ids[starts[at]:starts[at + 1]])
+        mixed, one = [], self.UNIT.fullmatch
+        for u in new:
+            if self.cuts and one(u) and not (self.inside and any(t in u for t in self.inside)):
+                # one unit: the model's part of the work is all there is
+                word = u.decode().replace(" ", "\u0120") if u.isascii() else u.decode("latin-1").translate(self.letters)
+                self._add(u, [t.id for t in self.model.tokenize(word)])
+            else:
+                mixed.append(u)
+        for lo in range(0, len(mixed), 5_000):
+            part = mixed[lo:lo + 5_000]
+            for u, e in zip(part, self.tokenizer.encode_batch_fast([u.decode() for u in part], add_special_tokens=False)):
+                self._add(u, e.ids)
+        entries = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        return entries[coded.indices.to_numpy()]
+
+    def _add(self, unit: bytes, ids) -> None:
+        self.known[unit] = len(self.starts) - 1
+        self.held += len(unit)
+        self.ids.extend(ids)
+        self.starts.append(len(self.ids))
+
+    def encode(self, texts: list[str], units: int = 500_000) -> list[np.ndarray]:
+        """The ids of each text and the end id; ``units`` stretches are looked up at once."""
+        raw = [t.encode() for t in texts]
+        data, ends = b"".join(raw), np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
+        begin = self.begins(data)
+        begin[(ends - np.fromiter(map(len, raw), np.int64, len(raw)))[[len(r) > 0 for r in raw]]] = True
+        place = np.append(np.flatnonzero(begin), len(data))
+        ended = np.searchsorted(place[:-1], ends)  # stretches before the end of each text
+        got, sizes = [], []
+        for lo in range(0, len(place) - 1, units):
+            bounds = place[lo:lo + units + 1]
+            part = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(data)])
+            at = self._entries(part)
+            starts = np.array(self.starts, np.int64)
             size = starts[at + 1] - starts[at]
-            ends = np.cumsum(size)
-            place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[at] - (ends - size), size)
-            out.append(np.append(ids[place], np.uint32(END)))
-        return out
+            stop = np.cumsum(size)
+            got.append(np.array(self.ids, np.uint32)[np.arange(stop[-1]) + np.repeat(starts[at] - (stop - size), size)])
+            sizes.append(size)
+        before = np.append(0, np.cumsum(np.concatenate(sizes) if sizes else np.zeros(0, np.int64)))
+        flat = np.concatenate(got) if got else np.zeros(0, np.uint32)
+        stops = before[ended]
+        flat = np.insert(flat, stops, np.uint32(END))
+        return np.split(flat, (stops + np.arange(1, len(stops) + 1))[:-1]) if len(stops) else []
 
 
 def stream(ids: np.ndarray, width: int, marks: dict[str, bytes]) -> bytes:
@@ -142,16 +242,14 @@ def write(docs: DataFrame, path: str, *, tokenizer: str | None = None, width: in
             return pd.DataFrame({"content": [stream(np.concatenate(held), width, marks)[:-1]]})
 
         for b in batches:
-            for lo in range(0, len(b), 64):
-                some = b.iloc[lo:lo + 64]
-                for key, none, ids in zip(some["doc_id"], some["none"], coder.encode([t.decode("utf-8", "replace") for t in some["text"]])):
-                    keys.append(key)
-                    bare.append(none)
-                    held.append(ids.astype(kind))
-                    size += len(ids)
-                    if size >= file_ids:
-                        yield file()
-                        number, held, keys, bare, size = number + 1, [], [], [], 0
+            for key, none, ids in zip(b["doc_id"], b["none"], coder.encode([t.decode("utf-8", "replace") for t in b["text"]])):
+                keys.append(key)
+                bare.append(none)
+                held.append(ids.astype(kind))
+                size += len(ids)
+                if size >= file_ids:
+                    yield file()
+                    number, held, keys, bare, size = number + 1, [], [], [], 0
         if held:
             yield file()
 

@@ -1,6 +1,7 @@
 """Token files, packing and page texts."""
 
 import itertools
+import json
 import zlib
 
 import numpy as np
@@ -29,6 +30,31 @@ def test_stretches_encode_like_whole_texts(text):
 ENCODER, PLAIN = token_file.Encoder(token_file.tokenizer_json(), at_once=40), plain_tokenizer()
 
 
+@given(st.lists(st.text(" \t\n\r'’“aZéñßÀ×÷ЖёΩ·日。1٣²½.,-_<|>\x00\x1c\x7f\x85\xa0\u0301\u1680\u180e\u2003\u200b\u2028\u202f\u205f\u3000\ufeff😀st", max_size=40), max_size=4))
+@limits(max_examples=400, deadline=None)
+def test_cuts_between_classes(texts):
+    texts = [*texts, "it's don't '' 'll x''s <|endoftext|>s <|endoftext|>  é", "".join(texts)]
+    for ids, text in zip(ENCODER.encode(texts, units=7), texts, strict=True):
+        assert ids.tolist() == USUAL.encode(text, add_special_tokens=False).ids + [0]
+
+
+USUAL = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_words_are_encoded_once_whatever_stands_behind_them():
+    coder = token_file.Encoder(token_file.tokenizer_json())
+    text = " ".join(f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}é{end}" for end in ".,;:!?)-\"#%&*+/=" for i in range(100))
+    assert coder.encode([text])[0].tolist() == USUAL.encode(text, add_special_tokens=False).ids + [0]
+    assert len(coder.known) < 150  # 1,600 when a word and the sign behind it were one stretch
+
+
+def test_other_pre_tokenizers_get_whole_texts():
+    told = json.loads(token_file.tokenizer_json())
+    told["pre_tokenizer"]["add_prefix_space"] = True
+    plain, text = Tokenizer.from_str(json.dumps(told)), "one two, three"
+    assert token_file.Encoder(json.dumps(told)).encode([text])[0].tolist() == plain.encode(text, add_special_tokens=False).ids + [0]
+
+
 def want(rows):
     out, start = [], 0
     for key, text in rows:
