@@ -19,9 +19,12 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -82,25 +85,21 @@ def parts_of(queries: Queries, terms: int, passages: int = 2_000) -> Iterator[Qu
         yield part
 
 
-def in_passages(places: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """For words at ``places`` the passages they are in (two columns, the second -1 if none), and the number of passages."""
-    count = max(1, -(-(total - PASSAGE) // STRIDE) + 1) if total else 0
-    last = np.minimum(places // STRIDE, count - 1)
-    before = np.where((places // STRIDE >= 1) & (places // STRIDE - 1 < count - 1), places // STRIDE - 1, -1)
-    return last, before, count
+def term_rows(ids: np.ndarray, sizes: np.ndarray, terms: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(passage, term, times) of the known words of texts of ``sizes`` words, and the first passage of every text and of one more.
 
-
-def term_rows(ids: np.ndarray, terms: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(passage, term, times) of a document's known words, and the number of words of every passage."""
+    Passages are numbered through all texts; a word is in one or two of them.
+    """
+    count = np.where(sizes > 0, np.maximum(1, -(-(sizes - PASSAGE) // STRIDE) + 1), 0)
+    offsets, first = np.append(0, np.cumsum(count)), np.cumsum(sizes) - sizes
     known = np.flatnonzero(ids >= 0)
-    last, before, count = in_passages(known, len(ids))
-    keep = before >= 0
-    key = np.concatenate([last * terms + ids[known], before[keep] * terms + ids[known][keep]])
+    text = np.repeat(np.arange(len(sizes)), sizes)[known]
+    place, term = (known - first[text]) // STRIDE, ids[known]
+    last = np.minimum(place, count[text] - 1)
+    two = np.flatnonzero((place >= 1) & (place < count[text]))
+    key = np.concatenate([(offsets[text] + last) * terms + term, (offsets[text[two]] + place[two] - 1) * terms + term[two]])
     key, times = np.unique(key, return_counts=True)
-    at = np.arange(len(ids))
-    a, b, _ = in_passages(at, len(ids))
-    sizes = np.bincount(a, minlength=count) + np.bincount(b[b >= 0], minlength=count)
-    return key // terms, key % terms, times, sizes
+    return key // terms, key % terms, times, offsets
 
 
 def common_subsequence(a: list[str], b: list[str]) -> int:
@@ -128,26 +127,58 @@ def common_run(a: list[str], b: list[str]) -> int:
     return SequenceMatcher(None, a, b, autojunk=False).find_longest_match().size
 
 
-class _Numbers(dict):
-    """Term numbers of words as they stand in a text; -1 for other words, -2 where only marks are left."""
-
-    def __init__(self, index: dict[str, int], at_once: int = 200_000):
-        super().__init__()
-        self.index, self.at_once = index, at_once
-
-    def __missing__(self, raw: str) -> int:
-        word = raw.strip(_MARKS)
-        number = self.index.get(word, -1) if word else -2
-        if len(self) >= self.at_once:
-            self.clear()
-        self[raw] = number
-        return number
-
-    def of(self, text: bytes) -> np.ndarray:
-        """The numbers of the words that ``tidy`` keeps."""
-        words = text.decode("utf-8", "replace").lower().split()
-        out = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return out[out > -2]
+class _Numbers:
+    """Term numbers of the words that ``tidy`` keeps; -1 for words that are no terms."""
+
+    def __init__(self, index: dict[str, int]):
+        self.terms = pa.array([w.encode() for w in sorted(index, key=index.get)], pa.large_binary())
+        self.signs, self.two, self.three = np.zeros(256, bool), [], []
+        for mark in (m.encode() for m in _MARKS):
+            if len(mark) == 1:
+                self.signs[mark[0]] = True
+            else:
+                (self.two if len(mark) == 2 else self.three).append(int.from_bytes(mark))
+
+    def _marks(self, raw: np.ndarray, first: np.ndarray, last: np.ndarray, left: bool) -> np.ndarray:
+        """The size of the mark at one end of the words from ``first`` to before ``last``; 0 where there is none."""
+        size, long = last - first, len(raw) - 1
+        at = first if left else last - 1
+        out = np.where((size >= 1) & self.signs[raw[np.clip(at, 0, long)]], 1, 0)
+        for n, marks in ((2, self.two), (3, self.three)):
+            some = np.flatnonzero((size >= n) & (out == 0) & (raw[np.clip(at, 0, long)] >= 0x80))
+            code = np.zeros(len(some), np.int64)
+            for k in range(n):
+                code = code << 8 | raw[(first[some] if left else last[some] - n) + k]
+            out[some[np.isin(code, marks)]] = n
+        return out
+
+    def of(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the words of all texts, and how many words each text has."""
+        split = [t.decode("utf-8", "replace").lower().split() for t in texts]
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        if not sizes.sum():
+            return np.zeros(0, np.int64), sizes
+        data = "\n".join(chain.from_iterable(split)).encode()
+        raw = np.frombuffer(data, np.uint8)
+        stops = np.append(np.flatnonzero(raw == 0x0A), len(raw))
+        starts = np.append(0, stops[:-1] + 1)
+        for left in (True, False):
+            at = np.arange(len(starts))
+            while len(at):
+                found = self._marks(raw, starts[at], stops[at], left)
+                at, found = at[found > 0], found[found > 0]
+                (starts if left else stops)[at] += found if left else -found
+        keep = starts < stops
+        size = (stops - starts)[keep]
+        ends = np.cumsum(size)
+        inside = np.repeat(starts[keep] - (ends - size), size)
+        inside += np.arange(len(inside))
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [
+            None, pa.py_buffer(np.append(0, ends)), pa.py_buffer(raw[inside])])
+        numbers = pc.fill_null(pc.index_in(words, self.terms), -1).to_numpy().astype(np.int64)
+        whole = np.append(0, np.cumsum(keep))
+        last = np.cumsum(sizes)
+        return numbers, whole[last] - whole[last - sizes]
 
 
 def idf_of(texts: DataFrame, queries: Queries, *, common: float) -> tuple[dict[str, int], np.ndarray]:
@@ -162,10 +193,9 @@ def idf_of(texts: DataFrame, queries: Queries, *, common: float) -> tuple[dict[s
     def rows(batches):
         found, passages, numbers = np.zeros(len(index) + 1, np.int64), 0, _Numbers(index)
         for b in batches:
-            for text in b["text"]:
-                _, term, _, sizes = term_rows(numbers.of(text), max(len(index), 1))
-                found[:-1] += np.bincount(term, minlength=len(index))
-                passages += len(sizes)
+            _, term, _, offsets = term_rows(*numbers.of(b["text"]), max(len(index), 1))
+            found[:-1] += np.bincount(term, minlength=len(index))
+            passages += offsets[-1]
         found[-1] = passages
         used = np.flatnonzero(found)
         yield pd.DataFrame({"term": used, "n": found[used]})
@@ -214,18 +244,17 @@ def gate_of(queries: Queries, index: dict[str, int], weight: np.ndarray, basis:
 
 
 def _products(sums: np.ndarray, term: np.ndarray, v: np.ndarray, first: np.ndarray, size: np.ndarray, at_once: int = 1_000_000) -> None:
-    """Add x x' to ``sums`` for every passage x, given by its terms and values from ``first`` on."""
+    """Add the upper triangle of x x' to ``sums`` for every passage x, given by its ascending terms and values from ``first`` on."""
     flat, terms = sums.ravel(), len(sums)
-    ends = np.cumsum(size * size)
+    ends = np.cumsum(size * (size + 1) // 2)
     lo = 0
     while lo < len(first):
         done = ends[lo - 1] if lo else 0
         hi = max(lo + 1, int(np.searchsorted(ends, done + at_once, side="right")))
-        each = np.repeat(size[lo:hi], size[lo:hi])  # for every term of these passages the number of its partners
-        left = np.repeat(np.arange(first[lo], first[lo] + len(each)), each)
-        start = np.repeat(np.repeat(first[lo:hi], size[lo:hi]), each)
-        right = start + np.arange(len(left)) - np.repeat(np.cumsum(each) - each, each)
-        np.add.at(flat, term[left] * terms + term[right], v[left] * v[right])
+        at = np.arange(first[lo], first[hi - 1] + size[hi - 1])
+        each = np.repeat(first[lo:hi] + size[lo:hi], size[lo:hi]) - at  # a term and those behind it in its passage
+        right = np.arange(each.sum()) + np.repeat(at - (np.cumsum(each) - each), each)
+        np.add.at(flat, np.repeat(term[at] * terms, each) + term[right], np.repeat(v[at], each) * v[right])
         lo = hi
 
 
@@ -245,18 +274,20 @@ def latent(texts: DataFrame, queries: Queries, index: dict[str, int], weight: np
     def rows(batches):
         sums, energy, numbers = np.zeros((terms, terms), np.float32), 0.0, _Numbers(index)
         for b in batches:
-            for text in b["text"]:
-                passage, term, times, _ = term_rows(numbers.of(text), terms)
-                v = damped(times) * idf[term]
-                use = v > 0
-                passage, term, v = passage[use], term[use], v[use]
-                if not len(v):
-                    continue
-                first = np.flatnonzero(np.append(True, np.diff(passage) > 0))
-                energy += len(first)
-                size = np.diff(np.append(first, len(v)))
-                v = v / np.repeat(np.sqrt(np.add.reduceat(v * v, first)), size)
-                _products(sums, term, v.astype(np.float32), first, size)
+            passage, term, times, _ = term_rows(*numbers.of(b["text"]), terms)
+            v = damped(times) * idf[term]
+            use = v > 0
+            passage, term, v = passage[use], term[use], v[use]
+            if not len(v):
+                continue
+            first = np.flatnonzero(np.append(True, np.diff(passage) > 0))
+            energy += len(first)
+            size = np.diff(np.append(first, len(v)))
+            v = v / np.repeat(np.sqrt(np.add.reduceat(v * v, first)), size)
+            _products(sums, term, v.astype(np.float32), first, size)
+        own = sums.diagonal().copy()
+        sums += sums.T.copy()  # the lower triangle was empty
+        np.fill_diagonal(sums, own)
         sketch = (sums @ omega).astype(float)
         used = np.flatnonzero(sketch.any(axis=1))
         yield pd.DataFrame({"term": np.append(used, -1), "row": [*sketch[used], np.array([energy])]})
@@ -294,48 +325,42 @@ def search(docs: DataFrame, queries: Queries, index: dict[str, int], weight: np.
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         numbers = _Numbers(index)
         for b in batches:
-            out = []
-            for key, text in zip(b["doc_id"], b["text"]):
-                ids = numbers.of(text)
-                if not len(ids):
-                    continue
-                passage, term, times, sizes = term_rows(ids, len(index))
-                v = (damped(times) * idf[term]).astype(np.float32)
-                use = v > 0
-                passage, term, v = passage[use], term[use], v[use]
-                if not len(v):
-                    continue
-                near = np.bincount(passage, v * reach[term], len(sizes)) >= cosine * (1 - 1e-4)
-                use = near[passage]
-                passage, term, v = passage[use], term[use], v[use]
-                if not len(v):
-                    continue
-                words = tidy(text)
-                starts = np.flatnonzero(np.append(True, np.diff(passage) > 0))
-                best: dict[int, tuple] = {}
-                for lo in range(0, len(starts), some):
-                    a = starts[lo]
-                    e = starts[lo + some] if lo + some < len(starts) else len(passage)
-                    like = np.add.reduceat(close[term[a:e]] * v[a:e, None], starts[lo:lo + some] - a, axis=0)
-                    at = passage[starts[lo:lo + some]]
-                    for w, q in zip(*np.nonzero(like >= cosine * (1 - 1e-4))):
-                        asked = queries.words[q]
-                        start = max(0, int(at[w]) * STRIDE - len(asked))
-                        region = words[start:int(at[w]) * STRIDE + PASSAGE + len(asked)]
-                        if sum(map(needs[q].__contains__, region)) < min(covered, partly) * len(asked):  # a bound of what they share
-                            continue
-                        if len(asked) < 8:
-                            share, answered = float(holds(region, asked)), False
-                        else:
-                            share = common_subsequence(asked, region) / len(asked)
-                            answered = holds(region, queries.answers[q])
-                            if partly <= share < covered and queries.around[q]:  # a copy across the passage's border
-                                run = common_run(queries.around[q], region) / PASSAGE
-                                share = max(share, min(run, 1.0) if run >= covered else 0.0)
-                        if share >= covered or share >= partly and answered:
-                            got = (share, min(1.0, float(like[w, q])), answered)
-                            best[queries.items[q]] = max(got, best.get(queries.items[q], got))
-                out += [(key, item, c, s, a) for item, (s, c, a) in best.items()]
+            passage, term, times, offsets = term_rows(*numbers.of(b["text"]), len(index))
+            v = (damped(times) * idf[term]).astype(np.float32)
+            near = np.bincount(passage, v * reach[term], offsets[-1]) >= cosine * (1 - 1e-4)
+            use = (v > 0) & near[passage]
+            passage, term, v = passage[use], term[use], v[use]
+            starts = np.flatnonzero(np.append(True, np.diff(passage) > 0)) if len(v) else np.zeros(0, int)
+            best: dict[tuple[int, int], tuple] = {}
+            text, words = -1, []
+            for lo in range(0, len(starts), some):
+                a = starts[lo]
+                e = starts[lo + some] if lo + some < len(starts) else len(passage)
+                like = np.add.reduceat(close[term[a:e]] * v[a:e, None], starts[lo:lo + some] - a, axis=0)
+                at = passage[starts[lo:lo + some]]
+                texts = np.searchsorted(offsets, at, side="right") - 1
+                for w, q in zip(*np.nonzero(like >= cosine * (1 - 1e-4))):
+                    if texts[w] != text:
+                        text = int(texts[w])
+                        words = tidy(b["text"].iloc[text])
+                    asked, begin = queries.words[q], int(at[w] - offsets[text]) * STRIDE
+                    start = max(0, begin - len(asked))
+                    region = words[start:begin + PASSAGE + len(asked)]
+                    if sum(map(needs[q].__contains__, region)) < min(covered, partly) * len(asked):  # a bound of what they share
+                        continue
+                    if len(asked) < 8:
+                        share, answered = float(holds(region, asked)), False
+                    else:
+                        share = common_subsequence(asked, region) / len(asked)
+                        answered = holds(region, queries.answers[q])
+                        if partly <= share < covered and queries.around[q]:  # a copy across the passage's border
+                            run = common_run(queries.around[q], region) / PASSAGE
+                            share = max(share, min(run, 1.0) if run >= covered else 0.0)
+                    if share >= covered or share >= partly and answered:
+                        got = (share, min(1.0, float(like[w, q])), answered)
+                        pair = text, queries.items[q]
+                        best[pair] = max(got, best.get(pair, got))
+            out = [(b["doc_id"].iloc[text], item, c, s, a) for (text, item), (s, c, a) in best.items()]
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "cosine", "covered", "answered"])
 
     # the key travels as text: pandas would make a float of a long that may be null

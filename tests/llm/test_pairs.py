@@ -251,3 +251,32 @@ def test_items_without_ids(spark):
     docs = spark.createDataFrame([(i, texts[i]) for i in (0, 100, 229)] + [(900, "seven old men sat by the cold sea and sang low")], "doc_id long, text string")
     got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, items, block=200).collect()}
     assert got == {(0, None), (100, None), (229, None), (900, 7)}
+
+
+def test_passages_of_a_batch_of_texts():
+    from collections import Counter
+
+    rng = np.random.default_rng(4)
+    signs = list(" \n\t\x1c\x85\xa0\u3000.,«»“”‘…\"'ÉßaéΣİ日|") + ["de", " la ", " é", " que", " ß "]
+    texts = [b"", b" ... ", b"\xff\xfe a \xc3"] + ["".join(rng.choice(signs, rng.integers(0, 900))).encode() for _ in range(60)]
+    index = {w: i for i, w in enumerate(["de", "la", "que", "é", "ß", "a", "日", "aé"])}
+    ids, sizes = decontam._Numbers(index).of(texts)
+    passage, term, times, offsets = decontam.term_rows(ids, sizes, len(index))
+    got = Counter(dict(zip(zip(passage.tolist(), term.tolist()), times.tolist())))
+    want, at = Counter(), 0
+    for text, size, first in zip(texts, sizes, offsets):
+        words = decontam.tidy(text)
+        assert (len(words), at) == (size, first)
+        last = max(-(-(len(words) - decontam.PASSAGE) // decontam.STRIDE), 0) if words else -1
+        for k in range(last + 1):
+            lo = k * decontam.STRIDE
+            want.update((at + k, index[w]) for w in words[lo:lo + decontam.PASSAGE] if w in index)
+        at += last + 1
+    assert got == want and offsets[-1] == at and len(set(sizes)) > 20
+    first = np.flatnonzero(np.append(True, np.diff(passage) > 0))
+    size, v, dense = np.diff(np.append(first, len(passage))), times.astype(np.float32), np.zeros((at, len(index)), np.float32)
+    dense[passage, term] = v
+    for at_once in (7, 1_000_000):
+        sums = np.zeros((len(index), len(index)), np.float32)
+        decontam._products(sums, term, v, first, size, at_once)
+        assert np.allclose(sums, np.triu(dense.T @ dense))
