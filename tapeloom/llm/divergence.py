@@ -9,46 +9,90 @@ shares in whole numbers, of which terms that neither source has need no row.
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeloom.llm.common import LOWER, UPPER, stage
+from tapeloom.llm.common import bytes_of, stage
 
-#: between terms, which are runs of ASCII letters and characters beyond ASCII
-BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: terms are runs of ASCII letters and bytes beyond ASCII; A-Z in lower case, every other byte a blank
+TERMS = bytes(b if b > 127 else ord(chr(b).lower()) if chr(b).isalpha() else 32 for b in range(256))
 #: between a language and its term; no term holds it
 CUT = "\x00"
+#: distinct terms a task holds before their levels are handed on, in rows of so many terms
+HELD, IN_ROW = 500_000, 50_000
 LARGEST = 2**31 - 1
 SCALE = 1_000_000_000
 
 
+def _read(docs: DataFrame) -> DataFrame:
+    return docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source")], bytes_of(F.col("text")).alias("text"))
+
+
 def _documents(docs: DataFrame) -> DataFrame:
-    text = F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER)
-    lang = F.coalesce(F.col("lang"), F.lit(""))
-    terms = F.transform(F.array_remove(F.split(text, BETWEEN), ""), lambda t: F.concat(lang, F.lit(CUT), t))
-    return docs.select(lang.alias("lang"), F.coalesce(F.col("source"), F.lit("")).alias("source"), terms.alias("terms"))
+    """(lang, source, terms): every document's terms in order, with their language; an empty term may stand at either end."""
+    def cut(batches):
+        for batch in batches:
+            lang, source, text = batch.columns
+            clean = pa.array([t.translate(TERMS) for t in text.to_pylist()], pa.binary()).view(pa.string())
+            found = pc.ascii_split_whitespace(clean)
+            of = pc.take(lang, pc.list_parent_indices(found))
+            terms = pa.ListArray.from_arrays(found.offsets, pc.binary_join_element_wise(of, found.flatten(), CUT))
+            yield pa.RecordBatch.from_arrays([lang, source, terms], ["lang", "source", "terms"])
+
+    return _read(docs).mapInArrow(cut, "lang string, source string, terms array<string>")
 
 
-def _vectorisers(read: DataFrame, min_docs: int, at_once: int) -> list[tuple[DataFrame, CountVectorizerModel]]:
+def _levels(docs: DataFrame, min_docs: int) -> DataFrame:
+    """Rows of distinct terms: a term is in as many rows as documents of its language hold it, if these are fewer than ``min_docs``.
+
+    The k-th row of a stretch of documents holds the terms that k of them have.
+    From the ``min_docs``-th on a row would say nothing: its terms are kept anyway.
+    """
+    def levels(held):
+        terms = [(lang + CUT.encode() + t, n) for lang, mine in held.items() for t, n in mine.items()]
+        for k in range(1, max(min_docs, 1) + 1):
+            terms = [x for x in terms if x[1] >= k]
+            for at in range(0, len(terms), IN_ROW):  # a row may be cut: its terms are distinct
+                values = pa.array([t for t, _ in terms[at:at + IN_ROW]], pa.binary()).view(pa.string())
+                row = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+                yield pa.RecordBatch.from_arrays([row], ["terms"])
+
+    def count(batches):
+        held = {}
+        for batch in batches:
+            for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
+                held.setdefault(lang.encode(), Counter()).update(set(text.translate(TERMS).split()))
+                if sum(map(len, held.values())) > HELD:
+                    yield from levels(held)
+                    held = {}
+        yield from levels(held)
+
+    return _read(docs).select("lang", "text").mapInArrow(count, "terms array<string>")
+
+
+def _vectorisers(docs: DataFrame, min_docs: int, at_once: int) -> list[tuple[DataFrame, CountVectorizerModel]]:
     """Documents and model of each part of the terms; no part keeps more than ``at_once``.
 
     The vocabulary size is never what limits a vocabulary: a part that keeps
     more terms than may lie on the driver is dealt out again, by hash.
     """
+    read, levels = _documents(docs), _levels(docs, min_docs)
     # a vectoriser refuses an empty vocabulary: this term is of no language
-    some = read.sparkSession.range(min_docs).select(
-        F.lit("").alias("lang"), F.lit("").alias("source"), F.array(F.lit("")).alias("terms"))
+    some = docs.sparkSession.range(min_docs).select(F.array(F.lit("")).alias("terms"))
     parts = 1
     while True:
         out = []
         for part in range(parts):
-            mine = read if parts == 1 else read.withColumn(
-                "terms", F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(parts)) == part))
+            mine, learnt = (df if parts == 1 else df.withColumn(
+                "terms", F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(parts)) == part)) for df in (read, levels))
             size = min(at_once + 2, LARGEST)
-            model = CountVectorizer(inputCol="terms", outputCol="v", minDF=float(min_docs), vocabSize=size).fit(mine.unionAll(some))
+            model = CountVectorizer(inputCol="terms", outputCol="v", minDF=float(min_docs), vocabSize=size).fit(learnt.unionAll(some))
             out.append((mine, model))
             if len(model.vocabulary) == size and size < LARGEST:
                 break
@@ -66,7 +110,7 @@ def group_counts(docs: DataFrame, min_docs: int = 10, at_once: int = 2_000_000)
     reads the texts on its own.
     """
     out = []
-    for mine, model in _vectorisers(_documents(docs), min_docs, at_once):
+    for mine, model in _vectorisers(docs, min_docs, at_once):
         names = docs.sparkSession.createDataFrame(list(enumerate(model.vocabulary)), "i int, name string")
         entries = model.transform(mine).select(
             "lang", "source", F.explode(F.arrays_zip(F.unwrap_udt("v")["indices"].alias("i"), F.unwrap_udt("v")["values"].alias("c"))).alias("e"))

@@ -68,3 +68,27 @@ def test_query(spark, con):
     rows = [tuple(r) for r in read(spark, SF, "documents").select("doc_id", "text", "lang", "source", "n_chars").collect()]
     assert ours == want(rows, 10)
     assert ours == sorted(con.sql(SQL["op12_divergence"]).fetchall())
+
+
+def test_learns_from_no_more_rows_than_needed(spark, nothing, monkeypatch):
+    texts = ["The cat, the dog"] * 40 + ["a rare ÉÉ bird", "ÉÉ"]
+    rows = [(i, t, lang, "x", 0) for lang in ("en", None) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, nothing.schema).coalesce(1)
+    fit, seen = divergence.CountVectorizer.fit, []
+
+    def watched(self, given):
+        seen.extend(t for r in given.collect() for t in r["terms"] if t)
+        return fit(self, given)
+
+    monkeypatch.setattr(divergence.CountVectorizer, "fit", watched)
+    for least in (1, 2, 10, 41):
+        seen.clear()
+        assert got(df, min_docs=least) == want(rows, least)
+        held = {"the": 40, "cat": 40, "dog": 40, "a": 1, "rare": 1, "ÉÉ": 2, "bird": 1}
+        assert Counter(seen) == {f"{lang}\0{t}": min(n, least) for lang in ("en", "") for t, n in held.items()}
+        # stretches end where a task holds enough
+        monkeypatch.setattr(divergence, "HELD", 2)
+        monkeypatch.setattr(divergence, "IN_ROW", 2)
+        assert got(df, min_docs=least) == want(rows, least)
+        monkeypatch.undo()
+        monkeypatch.setattr(divergence.CountVectorizer, "fit", watched)
