@@ -1,6 +1,6 @@
 """How far the sources of a language differ in their words.
 
-Every document becomes an exact sparse vector of term counts
+The documents of a group become exact sparse vectors of term counts
 (:class:`pyspark.ml.feature.CountVectorizer`, one vocabulary a language: a term
 is counted under its language). The vectors are summed by language and source
 as sparse entries, and the sources of a language are compared on smoothed
@@ -9,7 +9,7 @@ shares in whole numbers, of which terms that neither source has need no row.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from functools import reduce
 
 import pyarrow as pa
@@ -26,6 +26,8 @@ TERMS = bytes(b if b > 127 else ord(chr(b).lower()) if chr(b).isalpha() else 32
 CUT = "\x00"
 #: distinct terms a task holds before their levels are handed on, in rows of so many terms
 HELD, IN_ROW = 500_000, 50_000
+#: bytes of texts a task holds to bring those of a group together, in rows of so many bytes
+TEXTS, IN_TEXT = 32 << 20, 2 << 20
 LARGEST = 2**31 - 1
 SCALE = 1_000_000_000
 
@@ -34,16 +36,38 @@ def _read(docs: DataFrame) -> DataFrame:
     return docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source")], bytes_of(F.col("text")).alias("text"))
 
 
+def _stretches(items, size, most: int):
+    """Lists of items in order, each ended as soon as its size reaches ``most``."""
+    out, n = [], 0
+    for x in items:
+        out.append(x)
+        n += size(x)
+        if n >= most:
+            yield out
+            out, n = [], 0
+    if out:
+        yield out
+
+
 def _documents(docs: DataFrame) -> DataFrame:
-    """(lang, source, terms): every document's terms in order, with their language; an empty term may stand at either end."""
+    """(lang, source, terms): all terms of a stretch of documents of one group, with their language.
+
+    Texts of a group are read as one, a blank between them, so a term's entries are
+    fewer and the sums the same. An empty term may stand at either end.
+    """
     def cut(batches):
-        for batch in batches:
-            lang, source, text = batch.columns
-            clean = pa.array([t.translate(TERMS) for t in text.to_pylist()], pa.binary()).view(pa.string())
-            found = pc.ascii_split_whitespace(clean)
-            of = pc.take(lang, pc.list_parent_indices(found))
-            terms = pa.ListArray.from_arrays(found.offsets, pc.binary_join_element_wise(of, found.flatten(), CUT))
-            yield pa.RecordBatch.from_arrays([lang, source, terms], ["lang", "source", "terms"])
+        every = ((key, text) for b in batches for *key, text in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        for some in _stretches(every, lambda x: len(x[1]) + 100, TEXTS):
+            groups = defaultdict(list)
+            for key, text in some:
+                groups[tuple(key)].append(text)
+            rows = ((*key, b" ".join(t)) for key, texts in groups.items() for t in _stretches(texts, len, IN_TEXT))
+            for part in _stretches(rows, lambda x: len(x[2]) + 100, IN_TEXT):
+                lang, source, text = zip(*part, strict=True)
+                found = pc.ascii_split_whitespace(pa.array([t.translate(TERMS) for t in text], pa.binary()).view(pa.string()))
+                of = pc.take(pa.array(lang, pa.string()), pc.list_parent_indices(found))
+                terms = pa.ListArray.from_arrays(found.offsets, pc.binary_join_element_wise(of, found.flatten(), CUT))
+                yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(source, pa.string()), terms], ["lang", "source", "terms"])
 
     return _read(docs).mapInArrow(cut, "lang string, source string, terms array<string>")
 

@@ -89,6 +89,8 @@ def test_learns_from_no_more_rows_than_needed(spark, nothing, monkeypatch):
         # stretches end where a task holds enough
         monkeypatch.setattr(divergence, "HELD", 2)
         monkeypatch.setattr(divergence, "IN_ROW", 2)
+        monkeypatch.setattr(divergence, "TEXTS", 500)
+        monkeypatch.setattr(divergence, "IN_TEXT", 40)
         assert got(df, min_docs=least) == want(rows, least)
         monkeypatch.undo()
         monkeypatch.setattr(divergence.CountVectorizer, "fit", watched)
