@@ -74,3 +74,29 @@ def test_source_is_scanned_once(spark, tmp_path):
     text = out._jdf.queryExecution().optimizedPlan().toString()
     assert "raw" not in {f.rsplit("/", 2)[-2].split("-")[0] for f in out.inputFiles()} and "ingested_at" in text
     assert scans(risk.risk_metrics(priced(spark, SF))) <= 3
+
+
+def test_block_keys_need_no_second_shuffle(spark):
+    """The averages that enter the blocks are joined where the rows lie: the keys have one type, and rows are
+    shuffled by slice and by block only, the news joined by the key of the slices."""
+    text = plan(spark, "features_full").split("Initial Plan")[0]
+    assert "cast(__key" not in text
+    spine = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line]
+    assert not any(re.search(r"hashpartitioning\((date|ticker)#\d+, (ticker|date)#\d+", line) for line in spine)
+
+
+def test_a_staged_table_leaves_no_shuffle_files(spark):
+    from pyspark.sql import functions as F
+
+    from tapeloom.session import tune
+    from tapeloom.sources.staging import stage
+
+    def files():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {x for x in (blocks.apply(i).toString() for i in range(blocks.size())) if x.startswith("shuffle_")}
+
+    had = files()
+    out = stage(tune(spark).range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "shuffled")
+    assert out.count() == 7
+    out.count()
+    assert not files() - had
