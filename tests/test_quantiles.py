@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -53,3 +54,23 @@ def test_hot_value_ranges_are_cut_until_they_are_small(spark, monkeypatch):
             np.testing.assert_allclose(r[name], mine.quantile(p), rtol=1e-15)
     largest = [w.groupBy("g", "__bin").count().selectExpr("max(count)").first()[0] for w in written]
     assert len(largest) > 2 and largest[0] > 20_000 and largest[-1] <= 200
+
+
+def test_describing_shuffles_only_values_of_bins_with_a_quartile(spark, monkeypatch):
+    """The moments come from the counts of the bins; rows are not written, and most values are only counted."""
+    from tapeloom.operators import features, quantiles as q
+
+    rng = np.random.default_rng(5)
+    wide = pd.DataFrame({"a": rng.normal(0, 3, 20_000), "b": np.exp(rng.normal(0, 2, 20_000)), "c": np.nan, "d": 7.0})
+    wide.loc[::11, "b"] = np.nan
+    staged, stage = {}, q.stage
+    monkeypatch.setattr(q, "stage", lambda df, name: staged.setdefault(name, stage(df, name)))
+    df = spark.createDataFrame(wide).select(*[F.nanvl(c, F.lit(None)).alias(c) for c in wide.columns])
+    got = {r["feature"]: r for r in features.describe_features(df, ["a", "b", "c", "d"]).collect()}
+    for c in "ab":
+        v = wide[c].dropna()
+        want = [len(v), v.mean(), v.std(), v.min(), v.max(), *v.quantile([0.25, 0.5, 0.75])]
+        assert [got[c][k] for k in ("count", "mean", "std", "min", "max", "q25", "q50", "q75")] == pytest.approx(want, rel=1e-9, abs=1e-12)
+    assert list(got["c"])[1:] == [0, *[None] * 7]
+    assert [got["d"][k] for k in ("count", "mean", "std", "q25", "q75")] == [20_000, 7.0, 0.0, 7.0, 7.0]
+    assert 0 < staged["quantile-values"].count() < 4_000
