@@ -19,6 +19,7 @@ from tapeloom.contracts import TableContract
 from tapeloom.operators import timeblocks
 from tapeloom.operators.clean import CRITICAL, null_counts
 from tapeloom.operators.quantiles import quantiles
+from tapeloom.sources.staging import stage
 
 # Valid ranges per column.
 VALID_RANGES: dict[str, tuple[float, float]] = {
@@ -308,17 +309,22 @@ def _whole_row(df: DataFrame) -> Column:
 def row_counts(df: DataFrame, hashes: Sequence[Column] | None = None) -> DataFrame:
     """One row: ``rows`` and ``distinct_rows``, by whole rows of any width.
 
-    Hashes are grouped first. Only rows whose hashes came more than once are
-    compared, by a digest of all their values; the values themselves are never
-    shuffled, and copies of one row are counted where they lie.
+    Hashes are grouped first, and those that came more than once are staged with
+    the number of all others. Only rows with a staged hash are compared, by a digest
+    of all their values: the values themselves are never shuffled, copies of one row
+    are counted where they lie, and without a repeated hash no row is read again.
     """
     h1, h2 = hashes or row_hashes(df)
     both = ["__h1", "__h2"]
-    rows = df.select(h1.alias("__h1"), h2.alias("__h2"), _whole_row(df).alias("__row"))
-    seen = rows.groupBy(*both).agg(F.count(F.lit(1)).alias("__n"))
-    again = rows.join(seen.where("__n > 1").select(*both), both, "left_semi").groupBy(*both, "__row").agg(F.lit(1).alias("__one"))
+    rows = df.select(h1.alias("__h1"), h2.alias("__h2"), F.unhex(_whole_row(df)).alias("__row"))
+    more = F.col("__n") > 1
+    seen = stage(
+        rows.groupBy(*both).agg(F.count(F.lit(1)).alias("__n"))
+        .groupBy(more.alias("__more"), *[F.when(more, F.col(c)).alias(c) for c in both]).agg(F.sum("__n").alias("__n")), "row-hashes")
+    again = rows.join(seen.where("__more").select(*both), both, "left_semi").groupBy(*both, "__row").agg(F.lit(1).alias("__one"))
     twice = again.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return seen.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"), F.count_if(F.col("__n") == 1).alias("once")).select(
+    once = F.coalesce(F.sum(F.when(~F.col("__more"), F.col("__n"))), F.lit(0))
+    return seen.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"), once.alias("once")).select(
         "rows", (F.col("once") + twice).alias("distinct_rows"))
 
 

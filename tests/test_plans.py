@@ -100,3 +100,38 @@ def test_a_staged_table_leaves_no_shuffle_files(spark):
     assert out.count() == 7
     out.count()
     assert not files() - had
+
+
+def test_sectors_come_to_the_slices(spark):
+    """The cleaned rows are shuffled by key and by slice, not once more by ticker for their sector."""
+    from tapeloom.operators import clean
+    from tapeloom.plans import fixtures as fx
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = clean.clean_bars(fx.bars_dirty(spark, SF), fx.metadata(spark, SF))
+        tree = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    closes = [i for i, line in enumerate(tree.splitlines()) if "FileScan" in line and "high#" in line.split("]")[0]]
+    assert len(closes) == 1 and "__key" in tree
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    lines, above, at = tree.splitlines(), [], 10**9
+    for line in reversed(lines[:closes[0]]):  # from the scan of the rows to the top
+        if depth(line) < at:
+            at = depth(line)
+            above += [line] if "Exchange" in line else []
+    assert len(above) == 1 and "hashpartitioning(__key" in above[0]
+
+
+def test_no_hashes_of_rows_meet_when_none_repeats(spark):
+    """Whole rows are compared only where their hashes repeat: without any, the rows are not read for it."""
+    from pyspark.sql import functions as F
+
+    from tapeloom.operators import quality
+
+    df = spark.range(20_000).select("id", (F.col("id") * 3).alias("x"))
+    counted = quality.row_counts(df)
+    assert tuple(counted.first()) == (20_000, 20_000)
+    assert counted.inputFiles() and all("row-hashes" in f for f in counted.inputFiles())
+    assert tuple(quality.row_counts(df.unionByName(df.limit(5))).first()) == (20_005, 20_000)
