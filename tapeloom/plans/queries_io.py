@@ -87,10 +87,10 @@ def _(spark, sf):
 def _(spark, sf):
     bars = fx.bars(spark, sf)
     fields = ("open", "high", "low", "close", "volume")
-    tickers = sorted(r["ticker"] for r in bars.select("ticker").distinct().collect())  # the columns of the wide file
     path = folder(spark, "wide")
-    bars.groupBy("date").pivot("ticker", tickers).agg(*[F.first(c).alias(c) for c in fields]).write.parquet(path)
-    return readers.unpivot_bars(spark.read.parquet(path), tickers, fields)
+    wide, places = readers.widen_bars(bars, fields)  # blocks of tickers: no file has a column for every ticker
+    wide.write.parquet(path)
+    return readers.unpivot_bars(spark.read.parquet(path), places, fields)
 
 
 @query("source_normalize", "S07", """

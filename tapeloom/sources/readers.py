@@ -66,12 +66,44 @@ def import_vendor_csv(spark: SparkSession, path: str, start=None, end=None) -> D
     return between(out, start, end).withColumn("ingested_at", F.current_timestamp())
 
 
+#: tickers of one wide row; a table of more has several rows a day
+WIDE_TICKERS = 100
+
+
+def widen_bars(bars: DataFrame, fields: Sequence[str] = ("open", "high", "low", "close", "volume"),
+               width: int = WIDE_TICKERS) -> tuple[DataFrame, list[str]]:
+    """Long to wide, for :func:`unpivot_bars`: the table and its places.
+
+    A table has ``width`` places whatever the number of tickers, with the columns
+    ``<place>_ticker`` and ``<place>_<field>``; each block of tickers has its own row a
+    day. The first bar of a ticker and day counts.
+    """
+    from tapeloom.sources.staging import stage
+
+    names = stage(bars.select("ticker").distinct(), "wide-tickers")
+    buckets = max(1, -(-names.count() * 4 // (3 * width)))  # three quarters full, so that few run over
+    inside = F.row_number().over(Window.partitionBy("__bucket").orderBy("ticker")) - 1
+    placed = (
+        names.withColumn("__bucket", F.pmod(F.xxhash64("ticker"), F.lit(buckets)))
+        .withColumn("__at", inside)
+        .select(F.col("ticker").alias("__name"), (F.col("__bucket") + buckets * F.floor(F.col("__at") / width)).alias("__block"),
+                (F.col("__at") % width).alias("__place")))
+    # one shuffle by block and day serves every step, so no wide row is shuffled
+    rows = bars.join(placed, F.col("ticker").eqNullSafe(F.col("__name"))).repartition("__block", "date")
+    one = rows.groupBy("__block", "date", "__place", "ticker").agg(*[F.first(c).alias(c) for c in fields])
+    there = F.map_from_entries(F.collect_list(F.struct("__place", F.struct("ticker", *fields))))
+    wide = one.groupBy("__block", "date").agg(there.alias("__there"))
+    columns = [F.col("__there")[i][c].alias(f"p{i}_{c}") for i in range(width) for c in ("ticker", *fields)]
+    return wide.select("date", *columns), [f"p{i}" for i in range(width)]
+
+
 def unpivot_bars(df: DataFrame, tickers: Sequence[str],
                  fields: Sequence[str] = ("open", "high", "low", "close", "volume")) -> DataFrame:
     """Wide to long: columns ``<ticker>_<field>`` become a row per ticker; rows
-    without any value are dropped."""
+    without any value are dropped. Where a place has a column ``<place>_ticker``
+    (:func:`widen_bars`), the ticker is what stands there."""
     groups = F.array(*[
-        F.struct(F.lit(t).alias("ticker"), *[
+        F.struct((F.col(f"`{t}_ticker`") if f"{t}_ticker" in df.columns else F.lit(t)).alias("ticker"), *[
             (F.col(f"`{t}_{f}`").cast("double") if f"{t}_{f}" in df.columns
              else F.lit(None).cast("double")).alias(f) for f in fields])
         for t in tickers

@@ -204,3 +204,20 @@ def test_big_dates_are_dealt_over_files(spark, tmp_path):
     files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "days").iterdir() if d.is_dir()}
     assert files["date=2020-01-01"] >= 3 and files["date=2020-01-02"] == 1
     assert spark.read.parquet(path).count() == len(rows)
+
+
+def test_wide_tables_have_as_many_columns_for_any_number_of_tickers(spark):
+    from pyspark.sql import functions as F
+
+    from tapeloom.sources import readers
+
+    long = spark.range(700).select(
+        F.when(F.col("id") % 70 > 0, F.concat(F.lit("T"), (F.col("id") % 70).cast("string"))).alias("ticker"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") / 70).cast("int")).alias("date"),
+        F.when(F.col("id") % 9 > 0, F.col("id") * 1.5).alias("close"), F.col("id").alias("volume"))
+    wide, places = readers.widen_bars(long, ("close", "volume"), width=8)
+    assert len(places) == 8 and len(wide.columns) == 25
+    back = readers.unpivot_bars(wide, places, ("close", "volume"))
+    assert back.columns == ["date", "ticker", "close", "volume"]
+    key = lambda r: (r["date"], r["ticker"] or "", r["close"], r["volume"])
+    assert sorted(map(key, back.collect()), key=str) == sorted(map(key, long.collect()), key=str)
