@@ -438,3 +438,15 @@ def test_many_splits_of_one_ticker(spark):
     for t, d, p in bars:
         factor = math.prod(r for s, x, r in splits if s == t and s and x and d and r and x > d)
         assert out[(t, d)] == pytest.approx(p / factor, rel=1e-12)
+
+
+def test_a_forest_reads_few_partitions(spark, monkeypatch):
+    """The sums that a partition sends in a round do not shrink with it."""
+    read, fit = [], models.RandomForestClassifier.fit
+    monkeypatch.setattr(models.RandomForestClassifier, "fit", lambda self, df: read.append(df.rdd.getNumPartitions()) or fit(self, df))
+    most = 4 * spark.sparkContext.defaultParallelism
+    df = spark.range(0, 4000, 1, 3 * most).select(
+        (F.col("id") % 17).cast("double").alias("noise"), (F.col("id") * 7 % 13).cast("double").alias("signal"),
+        (F.col("id") * 7 % 13 > 6).cast("int").alias("target_direction"))
+    out = models.feature_importance(df, ["noise", "signal"], trees=5, depth=3).collect()
+    assert out[0].feature == "signal" and read == [most]
